@@ -1,0 +1,110 @@
+"""Run registered jobs against their DuckDB oracle SQL and compare results.
+
+Usage: python -m tests.oracle_harness [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import json
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 6)
+    if isinstance(v, decimal.Decimal):
+        return round(float(v), 6)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return v
+
+
+def normalize(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tuple]]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    cols = [columns[i] for i in order]
+    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    out.sort(key=lambda r: json.dumps(r, default=str))
+    return cols, out
+
+
+def spark_rows(df) -> tuple[list[str], list[tuple]]:
+    return df.columns, [tuple(r) for r in df.collect()]
+
+
+def duck_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
+    cur = con.execute(sql)
+    cols = [d[0] for d in cur.description]
+    return cols, cur.fetchall()
+
+
+def compare(spark, name: str, sf_dir: str, con=None) -> dict:
+    import __spark_entry__ as se
+    con = con or duck(sf_dir)
+    t0 = time.time()
+    s_cols, s_rows = spark_rows(se.queries()[name](spark, sf_dir))
+    t1 = time.time()
+    res = {"name": name, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
+    sql = se.oracle_sql().get(name)
+    if sql is None:
+        res["oracle"] = None
+        return res
+    d_cols, d_rows = duck_rows(con, sql)
+    sc, sr = normalize(s_cols, s_rows)
+    dc, dr = normalize(d_cols, d_rows)
+    res.update(oracle_rows=len(d_rows), columns_match=sc == dc, values_match=sr == dr)
+    if sc != dc:
+        res["spark_cols"], res["oracle_cols"] = sc, dc
+    elif sr != dr:
+        missing = [r for r in dr if r not in set(sr)][:3]
+        extra = [r for r in sr if r not in set(dr)][:3]
+        res["oracle_only"], res["spark_only"] = missing, extra
+    return res
+
+
+def main(argv: list[str]) -> int:
+    from carebook.session import build_session
+    import __spark_entry__ as se
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    names = argv[1:] or list(se.queries())
+    spark = build_session(shuffle_partitions=8)
+    con = duck(sf_dir)
+    bad = 0
+    for name in names:
+        try:
+            r = compare(spark, name, sf_dir, con)
+        except Exception as exc:  # report and continue
+            r = {"name": name, "error": repr(exc)[:800]}
+        ok = r.get("values_match", r.get("oracle", 1) is None and "error" not in r)
+        bad += 0 if ok else 1
+        print(json.dumps(r, default=str), flush=True)
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main(sys.argv[1:]))
