@@ -147,18 +147,19 @@ def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int) -> Da
     gap = _interval_seconds(gap_seconds)
     d = df.select(*key, ts).withColumn(BUCKET, F.to_date(ts))
     w = Window.partitionBy(*key, BUCKET).orderBy(ts)
-    prev = F.lag(ts).over(w)
     local = (
-        d.withColumn("_break", F.when(prev.isNull() | (F.col(ts) > prev + gap), 1).otherwise(0))
+        d.withColumn("_prev", F.lag(ts).over(w))
+        .withColumn("_break", F.when(F.col("_prev").isNull() | (F.col(ts) > F.col("_prev") + gap), 1)
+                    .otherwise(0))
         .withColumn("_run", F.sum("_break").over(w.rowsBetween(_UNBOUNDED_PRECEDING, _CURRENT)))
         .groupBy(*key, BUCKET, "_run")
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n"))
     )
     w2 = Window.partitionBy(*key).orderBy("_first")
-    prev_last = F.lag("_last").over(w2)
     return (
-        local.withColumn("_break", F.when(prev_last.isNull() | (F.col("_first") > prev_last + gap), 1)
-                         .otherwise(0))
+        local.withColumn("_prev", F.lag("_last").over(w2))
+        .withColumn("_break", F.when(F.col("_prev").isNull() | (F.col("_first") > F.col("_prev") + gap), 1)
+                    .otherwise(0))
         .withColumn("_episode", F.sum("_break").over(w2.rowsBetween(_UNBOUNDED_PRECEDING, _CURRENT)))
         .groupBy(*key, "_episode")
         .agg(F.min("_first").alias("episode_start"),

@@ -12,11 +12,12 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str],
                    cols: Sequence[str]) -> DataFrame:
     """The last row of each key by ``order`` (ascending; later columns break ties).
 
-    Written as ``max(struct(order..., cols...))`` rather than ``row_number() = 1``:
-    a hash aggregate keeps one candidate per key in every map task before the
-    shuffle, so a key holding a third of all rows ships one row per task, and
-    no sort of the input is needed. ``order`` must make rows unique per key
-    for the result to be deterministic.
+    Written as ``max(struct(order..., cols...))``: a partial aggregate keeps
+    one candidate per key in every map task before the shuffle, so a key
+    holding a third of all rows ships one row per task. Struct buffers are
+    aggregated sort-based (Spark sorts each map task's rows by the key only,
+    not by the full order as ``row_number()`` would). ``order`` must make rows
+    unique per key for the result to be deterministic.
     """
     key, order = list(key), list(order)
     rest = [c for c in cols if c not in key and c not in order]

@@ -154,14 +154,14 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY 1, 2, 3
     """,
     "lapsed_persons": """
-        SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00'
+        SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00' AND user_id IS NOT NULL
         EXCEPT
-        SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'
+        SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' AND user_id IS NOT NULL
     """,
     "retained_persons": """
-        SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00'
+        SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-02 00:00:00' AND user_id IS NOT NULL
         INTERSECT
-        SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'
+        SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' AND user_id IS NOT NULL
     """,
     # Streams: drained once with availableNow; append mode emits only what the
     # final watermark (latest ts - 1 hour) has closed.

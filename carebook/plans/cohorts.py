@@ -16,9 +16,9 @@ LATE_FROM = dt.datetime(2024, 1, 30)
 
 def _persons(events: DataFrame, cond) -> DataFrame:
     # Distinct per side first: each side's partial aggregate collapses a busy
-    # person to one row per map task, and the set operation then runs on the
-    # already hash-partitioned distinct keys.
-    return events.where(cond).select("user_id").distinct()
+    # person to one row per map task. Entries without a person belong to no
+    # cohort and are dropped.
+    return events.where(cond & F.col("user_id").isNotNull()).select("user_id").distinct()
 
 
 def _periods(spark: SparkSession, sf_dir: str):
@@ -27,13 +27,20 @@ def _periods(spark: SparkSession, sf_dir: str):
             _persons(e, F.col("ts") >= ntz(LATE_FROM)))
 
 
+# Both sides are distinct, non-null person keys, so EXCEPT DISTINCT and
+# INTERSECT DISTINCT are exactly a left anti and a left semi join on the key.
+# ``subtract`` / ``intersect`` would plan the same joins on a null-safe key
+# (coalesce(key), isnull(key)) and shuffle both distinct sides a second time;
+# the plain equi-join reuses the hash partitioning of the two distincts.
+
+
 def lapsed_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persons with an entry before 2024-01-02 and none from 2024-01-30 on (EXCEPT)."""
     early, late = _periods(spark, sf_dir)
-    return early.subtract(late)
+    return early.join(late, "user_id", "left_anti")
 
 
 def retained_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persons with entries in both periods (INTERSECT)."""
     early, late = _periods(spark, sf_dir)
-    return early.intersect(late)
+    return early.join(late, "user_id", "left_semi")

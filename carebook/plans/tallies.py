@@ -46,17 +46,16 @@ def worker_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _entries_per_district(t: Tables, by_kind: bool = False) -> DataFrame:
-    """Entry counts per district (and kind), counted per person first.
+def _entries_per_district(t: Tables) -> DataFrame:
+    """Entry counts per district, counted per person first.
 
     Counting per person before the register join means the join shuffles one
-    row per person (and kind), not one per entry.
+    row per person, not one per entry, and reuses the count's partitioning.
     """
-    keys = ["user_id", "event_type"] if by_kind else ["user_id"]
-    per_person = t.events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_person = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     persons = t.customer.select("c_custkey", "c_nationkey")
     return (per_person.join(persons, F.col("user_id") == F.col("c_custkey"), "inner")
-            .groupBy("c_nationkey", *keys[1:]).agg(F.sum("n").alias("n")))
+            .groupBy("c_nationkey").agg(F.sum("n").alias("n")))
 
 
 def district_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,12 +77,19 @@ def district_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def district_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per district, one count column per kind of care (0 if none).
 
-    The pivot uses the fixed kind list, so Spark runs no extra job to find the
-    values; it pivots per-district partial counts.
+    The pivot runs at the person grain over the fixed kind list, as one
+    conditional count per kind in a single aggregate. ``GroupedData.pivot``
+    would first aggregate per (person, kind) and then pivot per person, one
+    more shuffle for the same columns. The result has one row per person,
+    hash-partitioned by person, which the register join reuses; the district
+    aggregate then adds up five columns.
     """
     t = Tables(spark, sf_dir)
-    counts = (_entries_per_district(t, by_kind=True)
-              .groupBy("c_nationkey").pivot("event_type", ENTRY_KINDS).agg(F.sum("n")))
+    per_person = t.events.groupBy("user_id").agg(
+        *[F.count_if(F.col("event_type") == k).alias(k) for k in ENTRY_KINDS])
+    persons = t.customer.select("c_custkey", "c_nationkey")
+    counts = (per_person.join(persons, F.col("user_id") == F.col("c_custkey"), "inner")
+              .groupBy("c_nationkey").agg(*[F.sum(k).alias(k) for k in ENTRY_KINDS]))
     names = t.nation.select("n_nationkey", "n_name")
     return names.join(counts, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(
         "n_nationkey", "n_name", *[F.coalesce(F.col(k), F.lit(0)).cast("long").alias(k) for k in ENTRY_KINDS])

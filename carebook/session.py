@@ -24,6 +24,7 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
