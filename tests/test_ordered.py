@@ -1,0 +1,103 @@
+"""Per-person ordered jobs on made-up diaries: boundaries, ties, a hot person.
+
+The day-bucketed operators must equal a plain per-person SQL window exactly,
+whatever the data. Besides hand-made boundary cases, Hypothesis generates
+diaries dominated by one person, with tied timestamps and gaps that fall
+exactly on the 2-hour and 7-day limits, and compares every ordered job with
+its oracle SQL (DuckDB, whole-person windows).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import tempfile
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from carebook.plans import history
+from tests.conftest import T, write_events
+from tests.oracle_harness import compare, duck
+
+
+def _fixture(rows):
+    d = tempfile.mkdtemp(prefix="carebook-fixture-")
+    write_events(d, rows)
+    return d
+
+
+def _e(i, ts, user=1, kind="view", value=1.0, props='{"k": 1}'):
+    return (i, T(ts), user, kind, value, props)
+
+
+def test_episode_boundaries(spark):
+    rows = [
+        _e(1, "2024-01-05 10:00:00"),
+        _e(2, "2024-01-05 12:00:00"),     # exactly 2 h later: same episode
+        _e(3, "2024-01-05 14:00:01"),     # 2 h + 1 s later: new episode
+        _e(4, "2024-01-05 23:30:00"),
+        _e(5, "2024-01-06 01:00:00"),     # crosses midnight: same episode
+        _e(6, "2024-01-06 01:00:00"),     # tie
+        _e(7, "2024-01-05 11:00:00", user=2),
+    ]
+    got = sorted(tuple(r) for r in history.care_episodes(spark, _fixture(rows)).collect())
+    assert got == [
+        (1, T("2024-01-05 10:00:00"), T("2024-01-05 14:00:00"), 2),
+        (1, T("2024-01-05 14:00:01"), T("2024-01-05 16:00:01"), 1),
+        (1, T("2024-01-05 23:30:00"), T("2024-01-06 03:00:00"), 3),
+        (2, T("2024-01-05 11:00:00"), T("2024-01-05 13:00:00"), 1),
+    ]
+
+
+def test_trailing_window_boundaries_and_running_sum(spark):
+    rows = [
+        _e(1, "2024-01-01 10:00:00", value=1.10),
+        _e(2, "2024-01-08 10:00:00", value=2.20),   # exactly 7 days later: includes #1
+        _e(3, "2024-01-08 10:00:00", value=3.30),   # tie on ts: counts #2 too
+        _e(4, "2024-01-08 10:00:01", value=4.40),   # 7 days + 1 s after #1: excludes it
+        _e(5, "2024-01-09 09:00:00", value=0.01),
+    ]
+    out = history.running_and_trailing_load(spark, _fixture(rows))
+    got = {r.event_id: (r.running_value, r.trailing_entries) for r in out.collect()}
+    assert got == {1: (1.10, 1), 2: (3.30, 3), 3: (6.60, 3), 4: (11.00, 3), 5: (11.01, 4)}
+
+
+def test_latest_entry_tie_takes_highest_event_id(spark):
+    rows = [_e(1, "2024-01-03 08:00:00"), _e(9, "2024-01-03 08:00:00", kind="error"),
+            _e(4, "2024-01-02 08:00:00")]
+    got = [tuple(r) for r in history.latest_entry(spark, _fixture(rows)).collect()]
+    assert [(g[0], g[2], g[3]) for g in got] == [(1, 9, "error")]
+
+
+def test_days_without_entry_covers_persons_idle_all_period(spark):
+    rows = [_e(1, "2024-01-01 09:00:00"), _e(2, "2024-01-03 09:00:00"), _e(3, "2024-01-30 23:59:59"),
+            _e(4, "2023-12-20 10:00:00", user=2)]   # person 2 has no entry in the period
+    got = history.days_without_entry(spark, _fixture(rows)).collect()
+    p1 = sorted(r.day for r in got if r.user_id == 1)
+    p2 = sorted(r.day for r in got if r.user_id == 2)
+    assert p1 == [dt.date(2024, 1, 2)] + [dt.date(2024, 1, d) for d in range(4, 30)]
+    assert p2 == [dt.date(2024, 1, d) for d in range(1, 31)]
+
+
+BASE = dt.datetime(2023, 12, 30)
+# Users drawn so that person 1 holds most entries (a hot key).
+USERS = st.sampled_from([1, 1, 1, 1, 1, 1, 2, 3, 4])
+# Half-hour slots over ~5 weeks; jitters hit exact 2 h and 7 day distances and ties.
+SLOTS = st.integers(min_value=0, max_value=36 * 48)
+JITTER = st.sampled_from([0, 0, 0, 1, 59, 1799])
+ROWS = st.lists(st.tuples(USERS, SLOTS, JITTER, st.integers(-500, 50_000)), min_size=1, max_size=120)
+
+ORDERED_JOBS = ["running_and_trailing_load", "care_episodes", "latest_entry", "days_without_entry",
+                "lapsed_persons", "retained_persons", "weekly_sliding_tally", "person_day_services"]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ROWS)
+def test_ordered_jobs_equal_whole_person_sql(spark, raw):
+    rows = [(i, BASE + dt.timedelta(minutes=30 * slot, seconds=jit), user, "view", cents / 100, '{"k": 1}')
+            for i, (user, slot, jit, cents) in enumerate(raw)]
+    d = _fixture(rows)
+    con = duck(d)
+    for name in ORDERED_JOBS:
+        r = compare(spark, name, d, con)
+        assert r["columns_match"] and r["values_match"], r
