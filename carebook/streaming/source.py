@@ -12,19 +12,22 @@ EVENT_TIME = "event_time"
 
 def read_entries_stream(spark: SparkSession, folder: str, glob: str | None = "events.parquet",
                         max_files_per_trigger: int | None = None,
-                        max_bytes_per_trigger: str | None = None) -> DataFrame:
+                        max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Entries arriving as parquet files in ``folder`` (fixed schema).
 
-    ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound each
-    micro-batch, and with it what any one key can put into one task per batch.
+    ``max_files_per_trigger`` or ``max_bytes_per_trigger`` (one of them, as
+    Spark requires) bounds each micro-batch, and with it what any one key can
+    put into one task per batch.
     Adds ``event_time``: ``ts`` as a TIMESTAMP (watermarks need one), read as
     UTC wall clock whatever the session time zone.
     """
     reader = spark.readStream.schema(EVENTS).format("parquet")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("set max_files_per_trigger or max_bytes_per_trigger, not both")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
     return reader.load(folder).withColumn(EVENT_TIME, ntz_to_instant("ts"))
