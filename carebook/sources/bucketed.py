@@ -1,0 +1,31 @@
+"""Tables bucketed by a join key, for joins repeated many times.
+
+A stream-static join plans the static side again in every micro-batch. A
+register too large to broadcast would be re-read and re-shuffled each time.
+Written once as a table bucketed by the join key, it is read in bucket layout
+and only the micro-batch's own rows are shuffled to match it.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from carebook.session import fresh_dir
+
+
+def save_bucketed(spark: SparkSession, df: DataFrame, key: str, buckets: int | None = None,
+                  purpose: str = "bucketed") -> DataFrame:
+    """Write ``df`` bucketed by ``key`` under the shared folder and return the table.
+
+    The table is external (its files live under ``spark.checkpoint.dir``),
+    registered under a fresh name in the session catalog. ``buckets`` defaults
+    to ``spark.sql.shuffle.partitions``, so a join at that parallelism needs no
+    exchange on this side.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"carebook_{purpose.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    (df.write.mode("errorifexists").bucketBy(buckets, key)
+     .option("path", fresh_dir(spark, purpose)).saveAsTable(name))
+    return spark.table(name)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from carebook.functions.columns import instant_day, instant_to_ntz
 from carebook.plans.register import register
+from carebook.sources.bucketed import save_bucketed
 from carebook.sources.tables import Tables
 from carebook.streaming.sink import drain_and_read
 from carebook.streaming.source import EVENT_TIME, read_entries_stream
@@ -42,7 +43,11 @@ def dedup_entries(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 
 def enrich(entries: DataFrame, register_df: DataFrame) -> DataFrame:
-    """Stream-static inner join of entries with person, district and area."""
+    """Stream-static inner join of entries with person, district and area.
+
+    Pass the register as a table bucketed by ``c_custkey`` (``save_bucketed``)
+    when it is too large to broadcast: each micro-batch then shuffles only its
+    own entries, never the register."""
     e = entries.select("event_id", "ts", "user_id", "event_type", "value")
     return e.join(register_df, F.col("user_id") == F.col("c_custkey"), "inner").drop("c_custkey")
 
@@ -68,7 +73,8 @@ def dedup_entries_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reg = register(Tables(spark, sf_dir))
+    """Enrich arriving entries; the register is bucketed once for all micro-batches."""
+    reg = save_bucketed(spark, register(Tables(spark, sf_dir)), "c_custkey", purpose="register")
     return drain_and_read(spark, enrich(read_entries_stream(spark, sf_dir), reg), "enrich")
 
 

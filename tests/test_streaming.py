@@ -79,3 +79,21 @@ def test_enrich_stream_matches_batch_join(spark):
     batch = e.join(reg, e.user_id == reg.c_custkey).drop("c_custkey")
     assert out.count() == batch.count()
     assert out.exceptAll(batch.select(*out.columns)).count() == 0
+
+
+def test_enrich_stream_never_shuffles_the_bucketed_register(spark):
+    from carebook.sources.bucketed import save_bucketed
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reg = save_bucketed(spark, register(Tables(spark, SMOKE_DIR)), "c_custkey", purpose="t-register")
+        q = (jobs.enrich(read_entries_stream(spark, SMOKE_DIR), reg).writeStream.format("noop")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        plan = q._jsq.explainInternal(False)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in plan
+    scan = [line for line in plan.splitlines() if "carebook_t_register" in line]
+    assert scan and all("Exchange" not in line for line in scan)
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(user_id")
