@@ -53,20 +53,36 @@ def json_attr(c: str | Column, key: str) -> Column:
     return F.get_json_object(col_(c), f"$.{key}")
 
 
-def ntz_to_instant(c: str | Column) -> Column:
-    """TIMESTAMP_NTZ -> TIMESTAMP, reading the wall clock as UTC.
+def ntz_micros(c: str | Column) -> Column:
+    """Microseconds from 1970-01-01 00:00 to a TIMESTAMP_NTZ's wall clock.
 
-    Streaming watermarks need TIMESTAMP. A plain cast would read the wall clock
-    in the session time zone (shifting day windows and DST-gap times), so the
-    instant is built from the date and time fields instead.
+    Built from the date and time fields, so no time zone is involved (a cast
+    to TIMESTAMP would read the wall clock in the session time zone).
     """
     c = col_(c)
-    micros = (
+    return (
         F.unix_date(F.to_date(c)).cast("long") * MICROS_PER_DAY
         + (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * 1_000_000
         + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
     )
-    return F.timestamp_micros(micros)
+
+
+def time_bucket(c: str | Column, seconds: int) -> Column:
+    """Number of the ``seconds``-wide slot holding a TIMESTAMP_NTZ (slot 0
+    starts at 1970-01-01 00:00; a width of 86400 numbers calendar days)."""
+    width = F.lit(int(seconds) * 1_000_000)
+    micros = ntz_micros(c)
+    # The numerator is an exact multiple of the width, so the division is exact.
+    return ((micros - F.pmod(micros, width)) / width).cast("long")
+
+
+def ntz_to_instant(c: str | Column) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP, reading the wall clock as UTC.
+
+    Streaming watermarks need TIMESTAMP. A plain cast would read the wall clock
+    in the session time zone (shifting day windows and DST-gap times).
+    """
+    return F.timestamp_micros(ntz_micros(c))
 
 
 def instant_day(c: str | Column) -> Column:

@@ -3,13 +3,14 @@
 A plain ``Window.partitionBy(person).orderBy(ts)`` sends every entry of a
 person to a single task. If one person holds a third of the diary, that task
 holds a third of the data. The operators here split each person's timeline
-into day buckets and work in two levels:
+into time buckets (a day by default, ``bucket_seconds`` to choose finer) and
+work in two levels:
 
-1. Row level: windows partitioned by (person, day). A task never holds more
-   than one person-day of rows.
-2. Day level: a summary with one row per person-day (its last row, its total,
-   its count), scanned per person. Its size per person is bounded by the
-   number of calendar days, not by the number of entries.
+1. Row level: windows partitioned by (person, bucket). A task never holds
+   more than one person-bucket of rows.
+2. Bucket level: a summary with one row per person-bucket (its last row, its
+   total, its count), scanned per person. Its size per person is bounded by
+   the calendar span / bucket width, not by the number of entries.
 
 The day-level result is brought back to the rows as *carry rows*: extra rows
 unioned into the row-level input, keyed by (person, day) and sorted before the
@@ -27,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carebook.functions.columns import money
+from carebook.functions.columns import money, time_bucket
 
 BUCKET = "_bucket"
 KIND = "_row_kind"  # 0: carry row, 1: real row, 2: shadow row (see trailing counts)
@@ -75,7 +76,8 @@ def previous_in_order(df: DataFrame, key: Sequence[str], order: Sequence[str], b
 
 def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
                                      value: str, days: int, total_out: str = "running_value",
-                                     count_out: str = "trailing_entries") -> DataFrame:
+                                     count_out: str = "trailing_entries",
+                                     bucket_seconds: int = 86_400) -> DataFrame:
     """Per row of each key:
 
     * ``total_out``: exact running sum of ``value`` in (``ts``, ``tiebreak``)
@@ -83,31 +85,37 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     * ``count_out``: rows of the key with ``ts`` in [ts - ``days`` days, ts],
       ties on ``ts`` included (``RANGE INTERVAL n DAYS PRECEDING``).
 
-    Windows are partitioned by (key, day of ``ts``). For an entry at time t on
-    day d the trailing count is
+    Windows are partitioned by (key, bucket of ``ts``), ``bucket_seconds``
+    wide, which must divide the window (n days) into k whole buckets. For an
+    entry at time t in bucket b the trailing count is
 
-    * rows of day d with ts <= t                       (range frame in the day),
-    * plus all rows of days d-(n-1) .. d-1            (day-level range frame),
-    * plus rows of day d-n with ts >= t - n days.
+    * rows of bucket b with ts <= t                 (range frame in the bucket),
+    * plus all rows of buckets b-(k-1) .. b-1      (bucket-level range frame),
+    * plus rows of bucket b-k with ts >= t - n days.
 
-    The last term needs day d-n's rows next to day d's: each row is also sent,
-    shifted by n days, as a *shadow row* into bucket d+n. Shadows carry four
-    narrow columns only.
+    The last term needs bucket b-k's rows next to bucket b's: each row is also
+    sent, shifted by n days, as a *shadow row* into bucket b+k. Shadows carry
+    four narrow columns only.
     """
     key = list(key)
-    d = df.withColumn(BUCKET, F.to_date(ts)).withColumn("_v", money(value).cast("decimal(32,2)"))
+    window_seconds = int(days) * 86_400
+    if bucket_seconds <= 0 or window_seconds % bucket_seconds:
+        raise ValueError("bucket_seconds must divide the trailing window")
+    k = window_seconds // bucket_seconds
+    d = (df.withColumn(BUCKET, time_bucket(ts, bucket_seconds))
+         .withColumn("_v", money(value).cast("decimal(32,2)")))
 
     summary = d.groupBy(*key, BUCKET).agg(
-        F.sum("_v").alias("_day_sum"), F.count(F.lit(1)).alias("_day_n"))
-    per_key = Window.partitionBy(*key).orderBy(F.unix_date(F.col(BUCKET)))
+        F.sum("_v").alias("_bucket_sum"), F.count(F.lit(1)).alias("_bucket_n"))
+    per_key = Window.partitionBy(*key).orderBy(BUCKET)
     carries = summary.select(
         *key, BUCKET, F.lit(0).alias(KIND),
-        F.sum("_day_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1))
+        F.sum("_bucket_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1))
         .cast("decimal(32,2)").alias("_v"),
-        F.sum("_day_n").over(per_key.rangeBetween(-(days - 1), -1)).alias("_recent"),
+        F.sum("_bucket_n").over(per_key.rangeBetween(-(k - 1), -1)).alias("_recent"),
     )
     shadows = d.select(
-        *key, F.date_add(F.col(BUCKET), days).alias(BUCKET), F.lit(2).alias(KIND),
+        *key, (F.col(BUCKET) + k).alias(BUCKET), F.lit(2).alias(KIND),
         (F.col(ts) + F.expr(f"INTERVAL {int(days)} DAYS")).alias("_t"))
     rows = d.withColumn(KIND, F.lit(1)).withColumn("_t", F.col(ts))
 
@@ -129,7 +137,8 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     )
 
 
-def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int) -> DataFrame:
+def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int,
+             bucket_seconds: int = 86_400) -> DataFrame:
     """Runs of a key's rows in which no two consecutive rows are more than
     ``gap_seconds`` apart (a gap of exactly ``gap_seconds`` joins the run).
 
@@ -137,15 +146,15 @@ def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int) -> Da
     ``episode_end`` (last ``ts`` + gap, as ``session_window`` reports it) and
     ``entries``.
 
-    Level 1 finds the runs inside each (key, day) with ``lag`` and a running
-    count of breaks, and aggregates them in place (the aggregate reuses the
-    window's partitioning). Level 2 merges runs that continue across midnight;
-    it sees one row per run per day, so at most about 24h / gap + 1 rows per
-    person-day.
+    Level 1 finds the runs inside each (key, bucket) with ``lag`` and a
+    running count of breaks, and aggregates them in place (the aggregate
+    reuses the window's partitioning). Level 2 merges runs that continue
+    across a bucket boundary; it sees one row per run per bucket, at most
+    about bucket / gap + 1 rows per person-bucket.
     """
     key = list(key)
     gap = _interval_seconds(gap_seconds)
-    d = df.select(*key, ts).withColumn(BUCKET, F.to_date(ts))
+    d = df.select(*key, ts).withColumn(BUCKET, time_bucket(ts, bucket_seconds))
     w = Window.partitionBy(*key, BUCKET).orderBy(ts)
     local = (
         d.withColumn("_prev", F.lag(ts).over(w))

@@ -101,3 +101,29 @@ def test_ordered_jobs_equal_whole_person_sql(spark, raw):
     for name in ORDERED_JOBS:
         r = compare(spark, name, d, con)
         assert r["columns_match"] and r["values_match"], r
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ROWS, st.sampled_from([1800, 3600]))
+def test_finer_buckets_give_the_same_results(spark, raw, bucket_seconds):
+    from pyspark.sql import functions as F
+
+    from carebook.oracle import ORACLE_SQL
+    from carebook.operators.ordered import episodes, running_total_and_trailing_count
+    from carebook.sources.tables import Tables
+    from tests.oracle_harness import normalize
+
+    rows = [(i, BASE + dt.timedelta(minutes=30 * slot, seconds=jit), user, "view", cents / 100, '{"k": 1}')
+            for i, (user, slot, jit, cents) in enumerate(raw)]
+    d = _fixture(rows)
+    con = duck(d)
+    e = Tables(spark, d).events
+    run = running_total_and_trailing_count(e.select("event_id", "ts", "user_id", "value"), ["user_id"], "ts",
+                                           "event_id", "value", 7, bucket_seconds=bucket_seconds)
+    run = run.select("event_id", "user_id", "ts", F.col("running_value").cast("double"), "trailing_entries")
+    eps = episodes(e.select("user_id", "ts"), ["user_id"], "ts", 7200, bucket_seconds=bucket_seconds)
+    for df, name in ((run, "running_and_trailing_load"), (eps, "care_episodes")):
+        cur = con.execute(ORACLE_SQL[name])
+        want = normalize([c[0] for c in cur.description], cur.fetchall())
+        got = normalize(df.columns, [tuple(r) for r in df.collect()])
+        assert got == want, name
