@@ -20,25 +20,29 @@ RULE_MISSING_ATTRIBUTE = "missing_attribute_k"
 def quality_report(events: DataFrame, persons: DataFrame) -> DataFrame:
     """One row per rule (``rule``, ``violations``) over ``events``.
 
-    Three rules are counted in a single aggregate pass (one partial count per
-    map task, a one-row result). The register rule pre-aggregates entries per
-    person before the anti join, so only one row per person is shuffled
-    against the register.
+    One scan: entries are counted per person (all entries, non-positive
+    values, missing attribute) in a partial aggregate, so each map task ships
+    one row per person. That per-person table is left-joined to the register
+    keys once to flag unknown persons, and summed to one row. Entries with no
+    person form the null group.
     """
-    scan = events.agg(
-        F.count_if(F.col("user_id").isNull()).alias(RULE_NULL_PERSON),
-        F.count_if(F.col("value") <= 0).alias(RULE_NON_POSITIVE_VALUE),
-        F.count_if(json_attr("props", "k").isNull()).alias(RULE_MISSING_ATTRIBUTE),
-    ).unpivot([], [RULE_NULL_PERSON, RULE_NON_POSITIVE_VALUE, RULE_MISSING_ATTRIBUTE],
-              "rule", "violations")
-    unknown = (
-        events.where(F.col("user_id").isNotNull())
-        .groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-        .join(persons.select(F.col("c_custkey").alias("user_id")), "user_id", "left_anti")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
-        .select(F.lit(RULE_UNKNOWN_PERSON).alias("rule"), "violations")
+    per_person = events.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("value") <= 0).alias("n_non_positive"),
+        F.count_if(json_attr("props", "k").isNull()).alias("n_missing_k"),
     )
-    return scan.select("rule", F.col("violations").cast("long")).unionByName(unknown)
+    known = persons.select(F.col("c_custkey").alias("user_id"), F.lit(True).alias("known")).distinct()
+    flagged = per_person.join(known, "user_id", "left")
+    unknown = F.col("user_id").isNotNull() & F.col("known").isNull()
+    totals = flagged.agg(
+        F.sum(F.when(F.col("user_id").isNull(), F.col("n")).otherwise(0)).alias(RULE_NULL_PERSON),
+        F.sum("n_non_positive").alias(RULE_NON_POSITIVE_VALUE),
+        F.sum(F.when(unknown, F.col("n")).otherwise(0)).alias(RULE_UNKNOWN_PERSON),
+        F.sum("n_missing_k").alias(RULE_MISSING_ATTRIBUTE),
+    )
+    rules = [RULE_NULL_PERSON, RULE_NON_POSITIVE_VALUE, RULE_UNKNOWN_PERSON, RULE_MISSING_ATTRIBUTE]
+    return totals.select([F.coalesce(F.col(r), F.lit(0)).cast("long").alias(r) for r in rules]).unpivot(
+        [], rules, "rule", "violations")
 
 
 def diary_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
