@@ -1,4 +1,4 @@
-"""Reference SQL for each registered job, written for DuckDB.
+"""Oracle SQL for each registered job, written for DuckDB.
 
 Each statement is the plain, unoptimised definition of what the Spark job
 computes, over the same parquet tables (views named as the tables). Column
