@@ -15,10 +15,12 @@ def write_by_day(entries: DataFrame, path: str) -> None:
     """Write entries as ``path/day=YYYY-MM-DD/*.parquet``.
 
     No shuffle: each task writes the days it holds (Spark sorts a task's rows
-    by ``day`` before writing, so it keeps one file open at a time). Diary files
-    are laid out by time, so a task touches few days and a busy day is spread
-    over many tasks instead of landing in one. ``errorifexists`` keeps a rerun
-    from mixing two exports; callers pass a fresh path.
+    by ``day`` before writing, so it keeps one file open at a time). A busy
+    day is written by every task that holds some of it, never funnelled into
+    one task; when the input files are laid out by time, as diary files
+    usually are, each task also touches only a few days and writes few files.
+    ``errorifexists`` keeps a rerun from mixing two exports; callers pass a
+    fresh path.
     """
     (entries.withColumn("day", F.to_date("ts"))
      .write.mode("errorifexists").partitionBy("day").parquet(path))
