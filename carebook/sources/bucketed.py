@@ -23,9 +23,13 @@ def save_bucketed(spark: SparkSession, df: DataFrame, key: str, buckets: int | N
     registered under a fresh name in the session catalog. ``buckets`` defaults
     to ``spark.sql.shuffle.partitions``, so a join at that parallelism needs no
     exchange on this side.
+
+    The rows are first hash-partitioned by ``key`` into ``buckets`` partitions
+    (the same hash bucketing uses), so each write task holds one bucket and
+    writes one file, instead of every task writing a file per bucket.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"carebook_{purpose.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    (df.write.mode("errorifexists").bucketBy(buckets, key)
+    (df.repartition(buckets, key).write.mode("errorifexists").bucketBy(buckets, key)
      .option("path", fresh_dir(spark, purpose)).saveAsTable(name))
     return spark.table(name)

@@ -97,3 +97,13 @@ def test_enrich_stream_never_shuffles_the_bucketed_register(spark):
     scan = [line for line in plan.splitlines() if "carebook_t_register" in line]
     assert scan and all("Exchange" not in line for line in scan)
     assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(user_id")
+
+
+def test_bucketed_table_has_one_file_per_bucket(spark):
+    import os
+
+    from carebook.sources.bucketed import save_bucketed
+    t = save_bucketed(spark, Tables(spark, SMOKE_DIR).events, "user_id", buckets=4, purpose="t-bucket-files")
+    path = t.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) <= 4 and t.count() == Tables(spark, SMOKE_DIR).events.count()
