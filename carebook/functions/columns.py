@@ -15,7 +15,8 @@ MICROS_PER_DAY = 86_400_000_000
 MICROS_PER_HOUR = 3_600_000_000
 MICROS_PER_MINUTE = 60_000_000
 
-# Amounts have at most two decimals; sums are taken exactly in this type.
+# Amounts have at most two decimals. Each is read as this exact type (half-up
+# rounding of the double) and summed in whole cents as a long.
 MONEY = "decimal(12,2)"
 
 
@@ -28,9 +29,20 @@ def money(c: str | Column) -> Column:
     return col_(c).cast(MONEY)
 
 
+def cents(c: str | Column) -> Column:
+    """An amount in whole cents, exactly ``money(c) * 100`` as a long."""
+    return (money(c) * 100).cast("long")
+
+
 def exact_sum(c: str | Column) -> Column:
-    """Exact decimal sum, reported as double (the same value in every engine)."""
-    return F.sum(money(c)).cast("double")
+    """Exact sum of amounts, reported as double.
+
+    Summing long cents is exact (overflow raises under ANSI mode) and stays on
+    Spark's fast integer path; a ``decimal(12,2)`` sum widens to
+    ``decimal(22,2)``, which Spark aggregates with big-decimal objects. The
+    double is the same value a decimal sum cast to double gives.
+    """
+    return F.sum(cents(c)) / 100
 
 
 def day_of(c: str | Column) -> Column:

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carebook.functions.columns import money, time_bucket
+from carebook.functions.columns import cents, time_bucket
 
 BUCKET = "_bucket"
 KIND = "_row_kind"  # 0: carry row, 1: real row, 2: shadow row (see trailing counts)
@@ -81,7 +81,8 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     """Per row of each key:
 
     * ``total_out``: exact running sum of ``value`` in (``ts``, ``tiebreak``)
-      order, this row included (``ROWS UNBOUNDED PRECEDING``), as decimal;
+      order, this row included (``ROWS UNBOUNDED PRECEDING``), summed in whole
+      cents and reported as double;
     * ``count_out``: rows of the key with ``ts`` in [ts - ``days`` days, ts],
       ties on ``ts`` included (``RANGE INTERVAL n DAYS PRECEDING``).
 
@@ -103,15 +104,14 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
         raise ValueError("bucket_seconds must divide the trailing window")
     k = window_seconds // bucket_seconds
     d = (df.withColumn(BUCKET, time_bucket(ts, bucket_seconds))
-         .withColumn("_v", money(value).cast("decimal(32,2)")))
+         .withColumn("_v", cents(value)))
 
     summary = d.groupBy(*key, BUCKET).agg(
         F.sum("_v").alias("_bucket_sum"), F.count(F.lit(1)).alias("_bucket_n"))
     per_key = Window.partitionBy(*key).orderBy(BUCKET)
     carries = summary.select(
         *key, BUCKET, F.lit(0).alias(KIND),
-        F.sum("_bucket_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1))
-        .cast("decimal(32,2)").alias("_v"),
+        F.sum("_bucket_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1)).alias("_v"),
         F.sum("_bucket_n").over(per_key.rangeBetween(-(k - 1), -1)).alias("_recent"),
     )
     shadows = d.select(
@@ -126,7 +126,7 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     is_real = (F.col(KIND) == 1).cast("int")
     is_shadow = (F.col(KIND) == 2).cast("int")
     return (
-        u.withColumn(total_out, F.sum("_v").over(in_order))
+        u.withColumn(total_out, F.sum("_v").over(in_order) / 100)
         .withColumn(count_out, (
             F.sum(is_real).over(by_time.rangeBetween(_UNBOUNDED_PRECEDING, _CURRENT))
             + F.sum(is_shadow).over(by_time.rangeBetween(_CURRENT, _UNBOUNDED_FOLLOWING))

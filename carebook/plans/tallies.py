@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carebook.functions.columns import day_of, exact_sum, money
+from carebook.functions.columns import cents, day_of, exact_sum
 from carebook.operators.broadcast import bounded_broadcast
 from carebook.plans.register import districts
 from carebook.sources.schemas import ENTRY_KINDS, MAX_DISTRICTS
@@ -30,7 +30,7 @@ def worker_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     plans without the 2x ``Expand`` of two distinct aggregates.
     """
     t = Tables(spark, sf_dir)
-    lines = t.lineitem.select("l_orderkey", "l_suppkey", money("l_quantity").alias("q"))
+    lines = t.lineitem.select("l_orderkey", "l_suppkey", cents("l_quantity").alias("q"))
     visits = t.orders.select("o_orderkey", "o_custkey",
                              F.year("o_orderdate").cast("long").alias("year"),
                              F.month("o_orderdate").cast("long").alias("month"))
@@ -42,7 +42,7 @@ def worker_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_visit.groupBy("l_suppkey", "year", "month").agg(
         F.count(F.lit(1)).alias("visits"),
         F.count_distinct("o_custkey").alias("persons"),
-        F.sum("q").cast("double").alias("quantity"),
+        (F.sum("q") / 100).alias("quantity"),
     )
 
 
