@@ -17,7 +17,7 @@ from carebook.plans.register import register
 from carebook.sources.bucketed import save_bucketed
 from carebook.sources.tables import Tables
 from carebook.streaming.sink import drain_and_read
-from carebook.streaming.source import EVENT_TIME, read_entries_stream
+from carebook.streaming.source import EVENT_TIME, read_entries_table_stream
 
 LATENESS = "1 hour"
 EPISODE_GAP = "2 hours"
@@ -65,18 +65,18 @@ def closed_episodes(entries: DataFrame, lateness: str = LATENESS, gap: str = EPI
 
 
 def daily_tally_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drain_and_read(spark, daily_tally(read_entries_stream(spark, sf_dir)), "daily-tally")
+    return drain_and_read(spark, daily_tally(read_entries_table_stream(spark, sf_dir)), "daily-tally")
 
 
 def dedup_entries_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drain_and_read(spark, dedup_entries(read_entries_stream(spark, sf_dir)), "dedup-entries")
+    return drain_and_read(spark, dedup_entries(read_entries_table_stream(spark, sf_dir)), "dedup-entries")
 
 
 def enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrich arriving entries; the register is bucketed once for all micro-batches."""
     reg = save_bucketed(spark, register(Tables(spark, sf_dir)), "c_custkey", purpose="register")
-    return drain_and_read(spark, enrich(read_entries_stream(spark, sf_dir), reg), "enrich")
+    return drain_and_read(spark, enrich(read_entries_table_stream(spark, sf_dir), reg), "enrich")
 
 
 def episodes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drain_and_read(spark, closed_episodes(read_entries_stream(spark, sf_dir)), "episodes")
+    return drain_and_read(spark, closed_episodes(read_entries_table_stream(spark, sf_dir)), "episodes")

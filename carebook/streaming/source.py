@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from carebook.functions.columns import ntz_to_instant
 from carebook.sources.schemas import EVENTS
+from carebook.sources.tables import table_path
 
 EVENT_TIME = "event_time"
 
@@ -31,3 +32,23 @@ def read_entries_stream(spark: SparkSession, folder: str, glob: str | None = "ev
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
     return reader.load(folder).withColumn(EVENT_TIME, ntz_to_instant("ts"))
+
+
+def _is_directory(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(hpath).isDirectory()
+
+
+def read_entries_table_stream(spark: SparkSession, base_dir: str, **limits) -> DataFrame:
+    """The ``events`` table under ``base_dir`` as a stream.
+
+    ``events.parquet`` may be a folder of part files (new files arriving in
+    it) or a single file; a file stream source needs a folder, so a single
+    file is read from its parent folder with a file-name filter.
+    """
+    path = table_path(base_dir, "events")
+    if _is_directory(spark, path):
+        return read_entries_stream(spark, path, glob=None, **limits)
+    return read_entries_stream(spark, base_dir, glob="events.parquet", **limits)

@@ -107,3 +107,11 @@ def test_bucketed_table_has_one_file_per_bucket(spark):
     path = t.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
     files = [f for f in os.listdir(path) if f.endswith(".parquet")]
     assert len(files) <= 4 and t.count() == Tables(spark, SMOKE_DIR).events.count()
+
+
+def test_stream_jobs_read_an_events_folder_of_part_files(spark):
+    d = tempfile.mkdtemp(prefix="carebook-parts-")
+    for part in range(3):
+        write_events(f"{d}/events.parquet", [_e(10 * part + i, f"2024-01-0{part + 1} 10:0{i}:00") for i in range(4)],
+                     name=f"part-{part}.parquet")
+    assert jobs.dedup_entries_stream(spark, d).count() == 12
