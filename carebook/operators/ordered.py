@@ -120,8 +120,11 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     rows = d.withColumn(KIND, F.lit(1)).withColumn("_t", F.col(ts))
 
     u = rows.unionByName(carries, allowMissingColumns=True).unionByName(shadows, allowMissingColumns=True)
+    # One sort serves every window: rows run by (_t, kind, tiebreak). Carry
+    # rows have no _t and come first; a shadow row adds nothing to the running
+    # sum; the range frames order by _t alone, a prefix of the same sort.
     part = Window.partitionBy(*key, BUCKET)
-    in_order = part.orderBy(F.col(KIND), F.col(ts), F.col(tiebreak)).rowsBetween(_UNBOUNDED_PRECEDING, _CURRENT)
+    in_order = part.orderBy(F.col("_t"), F.col(KIND), F.col(tiebreak)).rowsBetween(_UNBOUNDED_PRECEDING, _CURRENT)
     by_time = part.orderBy(F.col("_t"))
     is_real = (F.col(KIND) == 1).cast("int")
     is_shadow = (F.col(KIND) == 2).cast("int")

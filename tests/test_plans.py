@@ -112,3 +112,9 @@ def test_sliding_tally_expands_daily_counts_not_entries(plans):
     plan = plans["weekly_sliding_tally"].splitlines()
     i = next(i for i, line in enumerate(plan) if "Expand" in line)
     assert "HashAggregate" in plan[i + 1] and "count(1)" in plan[i + 1]
+
+
+def test_running_and_trailing_sorts_the_row_union_once(plans):
+    sorts = [line for line in plans["running_and_trailing_load"].splitlines()
+             if "Sort [" in line and "_bucket#" in line and "_t#" in line]
+    assert len(sorts) == 1, sorts
