@@ -32,12 +32,13 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
+    # Doubles compare exactly: sums are exact (whole cents) in both engines.
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return repr(v)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return repr(float(v))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
