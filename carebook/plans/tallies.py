@@ -28,6 +28,12 @@ def worker_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra shuffle) and removes the repeated lines, so the month aggregate needs
     ``count(*)`` for visits and only one distinct count (persons), which Spark
     plans without the 2x ``Expand`` of two distinct aggregates.
+
+    A visit holding a huge share of the lines is a skewed join partition.
+    Because the aggregate relies on the join's partitioning, AQE splits it
+    only with ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (set by
+    ``build_session``); without it the hot visit's lines stream through one
+    task (slow, not out of memory: the visit side holds one row per key).
     """
     t = Tables(spark, sf_dir)
     lines = t.lineitem.select("l_orderkey", "l_suppkey", cents("l_quantity").alias("q"))

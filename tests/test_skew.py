@@ -67,3 +67,27 @@ def test_hot_person_counts_are_exact(spark):
     d = _hot_diary()
     got = {r.n_nationkey: r.view for r in tallies.district_by_kind(spark, d).collect()}
     assert got[0] == N and all(v == 0 for k, v in got.items() if k != 0)
+
+
+def test_hot_visit_in_worker_load_is_split_and_exact(spark, tmp_path):
+    import shutil
+
+    from pyspark.sql import functions as F
+
+    src = "/root/testdata/sf0.001"
+    d = str(tmp_path)
+    li = spark.read.parquet(f"{src}/lineitem.parquet")
+    # a third of all service lines moved onto one visit
+    li = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") % 3 == 0, F.lit(1)).otherwise(F.col("l_orderkey")))
+    li.repartition(8).write.parquet(f"{d}/lineitem.parquet")
+    shutil.copy(f"{src}/orders.parquet", f"{d}/orders.parquet")
+
+    def run():
+        df = tallies.worker_month_load(spark, d)
+        rows = sorted(tuple(r) for r in df.collect())
+        return rows, df._jdf.queryExecution().executedPlan().toString()
+
+    split, plan = _with_conf(spark, dict(AQE_SMALL, **{"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}), run)
+    whole, _ = _with_conf(spark, {"spark.sql.adaptive.skewJoin.enabled": "false"}, run)
+    assert "skew=true" in plan
+    assert split == whole and len(split) > 0
