@@ -34,11 +34,11 @@ RECOMMENDED_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "carebook") -> SparkSession:
+                  app_name: str = "carebook", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and benchmarks."""
     master = master or os.environ.get("CAREBOOK_MASTER", "local[8]")
     builder = SparkSession.builder.master(master).appName(app_name)
-    for key, value in RECOMMENDED_CONF.items():
+    for key, value in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -115,3 +115,20 @@ def test_stream_jobs_read_an_events_folder_of_part_files(spark):
         write_events(f"{d}/events.parquet", [_e(10 * part + i, f"2024-01-0{part + 1} 10:0{i}:00") for i in range(4)],
                      name=f"part-{part}.parquet")
     assert jobs.dedup_entries_stream(spark, d).count() == 12
+
+
+def test_restarted_stream_resumes_from_its_checkpoint(spark):
+    """A query restarted on the same checkpoint (as after a lost driver)
+    neither re-emits processed rows nor forgets the ids it has seen."""
+    from carebook.session import fresh_dir
+    from carebook.streaming.sink import drain_to_parquet
+
+    folder = _batches([[_e(1, "2024-01-01 10:00:00"), _e(2, "2024-01-01 10:05:00")]])
+    out, ckpt = fresh_dir(spark, "t-restart-out"), fresh_dir(spark, "t-restart-ckpt")
+    drain_to_parquet(jobs.dedup_entries(_stream(spark, folder)), out, ckpt)
+    path = write_events(folder, [_e(2, "2024-01-01 10:05:00"), _e(3, "2024-01-01 10:20:00")],
+                        name="part-100.parquet")   # #2 redelivered after the restart
+    os.utime(path, (1_700_010_000, 1_700_010_000))
+    drain_to_parquet(jobs.dedup_entries(_stream(spark, folder)), out, ckpt)
+    ids = sorted(r.event_id for r in spark.read.parquet(out).collect())
+    assert ids == [1, 2, 3]
