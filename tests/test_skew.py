@@ -91,3 +91,26 @@ def test_hot_visit_in_worker_load_is_split_and_exact(spark, tmp_path):
     whole, _ = _with_conf(spark, {"spark.sql.adaptive.skewJoin.enabled": "false"}, run)
     assert "skew=true" in plan
     assert split == whole and len(split) > 0
+
+
+def test_no_task_receives_the_hot_persons_history(tmp_path):
+    """Task-level evidence from Spark's event log: with one person holding a
+    third of all entries, no task of the ordered jobs reads much more than an
+    even share of any shuffle (8 partitions: 1/8), while a plain per-person
+    window puts at least that third in one task."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    d = _hot_diary()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    jobs = ["running_and_trailing_load", "care_episodes", "latest_entry", "days_without_entry",
+            "plain_person_window"]
+    out = subprocess.run([sys.executable, "-m", "tests.skew_probe", d, str(tmp_path), *jobs],
+                         cwd=root, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    share = json.loads(out.stdout.strip().splitlines()[-1])
+    assert share["plain_person_window"] >= 1 / 3, share
+    for job in jobs[:-1]:
+        assert share.get(job, 0.0) < 0.25, (job, share)
