@@ -22,12 +22,30 @@ def _hot_diary():
     for part in range(8):
         write_events(f"{d}/events.parquet", rows[part::8], name=f"part-{part}.parquet")
     write_customers(d, list(range(0, 401)))
+    _write_hot_orders(d)
     for t in ("nation", "region"):
         import shutil
         shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", f"{d}/{t}.parquet")
     return d
 
 
+def _write_hot_orders(d: str) -> None:
+    """Visits over 300 days; person 0 has a third of them."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    import os
+    base = dt.datetime(2023, 1, 1)
+    schema = pa.schema([("o_orderkey", pa.int64()), ("o_custkey", pa.int64()), ("o_orderstatus", pa.string()),
+                        ("o_totalprice", pa.float64()), ("o_orderdate", pa.timestamp("us")),
+                        ("o_orderpriority", pa.string())])
+    rows = [{"o_orderkey": i, "o_custkey": 0 if i % 3 == 0 else 1 + i % 400, "o_orderstatus": "O",
+             "o_totalprice": 1.0, "o_orderdate": base + dt.timedelta(days=(i * 7) % 300),
+             "o_orderpriority": "1"} for i in range(N)]
+    os.makedirs(f"{d}/orders.parquet", exist_ok=True)
+    for part in range(8):
+        pq.write_table(pa.Table.from_pylist(rows[part::8], schema=schema), f"{d}/orders.parquet/part-{part}.parquet")
+
+
 AQE_SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -106,7 +124,7 @@ def test_no_task_receives_the_hot_persons_history(tmp_path):
     d = _hot_diary()
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     jobs = ["running_and_trailing_load", "care_episodes", "latest_entry", "days_without_entry",
-            "plain_person_window"]
+            "visit_gaps", "plain_person_window"]
     out = subprocess.run([sys.executable, "-m", "tests.skew_probe", d, str(tmp_path), *jobs],
                          cwd=root, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
