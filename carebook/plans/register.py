@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 from carebook.functions.columns import ntz
 from carebook.operators.broadcast import bounded_broadcast
-from carebook.sources.schemas import MAX_AREAS, MAX_DISTRICTS
+from carebook.sources.schemas import MAX_DISTRICTS
 from carebook.sources.tables import Tables
 
 
 def districts(t: Tables) -> DataFrame:
-    """District with its area: nation x region, both closed lists (broadcast, size checked)."""
-    region = bounded_broadcast(t.region.select("r_regionkey", "r_name"), MAX_AREAS)
+    """District with its area (nation x region, two closed lists).
+
+    Callers broadcast the result behind one size check of the joined table,
+    which bounds it however the two small tables were joined.
+    """
+    region = t.region.select("r_regionkey", "r_name")
     return t.nation.select("n_nationkey", "n_name", "n_regionkey").join(
         region, F.col("n_regionkey") == F.col("r_regionkey"), "inner").drop("n_regionkey")
 

@@ -90,11 +90,10 @@ SCHEMAS = {
     "supplier": SUPPLIER,
 }
 
-# Fixed-size domains. A district or area table is a closed list for the region
-# (the stand-ins have 25 districts and 5 areas); these bounds are what makes
-# broadcasting them safe at any data size. They are checked, not assumed.
+# Fixed-size domain. Districts (with their areas) are a closed list for the
+# region (the stand-ins have 25 districts in 5 areas); this bound is what makes
+# broadcasting them safe at any data size. It is checked, not assumed.
 MAX_DISTRICTS = 10_000
-MAX_AREAS = 1_000
 
 # Kinds of care an entry records (fixed list; the pivot report has one column each).
 ENTRY_KINDS = ["click", "error", "purchase", "signup", "view"]
