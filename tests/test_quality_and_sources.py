@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-import shutil
 import tempfile
 
 import pytest
@@ -64,7 +63,6 @@ def test_day_export_partitions_and_prunes(spark):
     assert one.count() == src.where(F.to_date("ts") == dt.date(2024, 1, 5)).count()
     with pytest.raises(Exception):
         export.diary_day_export(spark, SMOKE_DIR, out)   # never mixes two exports
-    shutil.rmtree(out, ignore_errors=True)
 
 
 def test_bounded_broadcast_respects_bound(spark):
