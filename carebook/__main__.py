@@ -2,6 +2,11 @@
 
     python -m carebook list
     python -m carebook run JOB INPUT_DIR OUTPUT_PATH
+    python -m carebook stream TRANSFORM INPUT_DIR OUTPUT_PATH CHECKPOINT_PATH
+        [--trigger "1 minute" | --available-now] [--max-files N]
+
+``stream`` appends a Structured Streaming query's output to parquet; restart
+it with the same checkpoint to resume where it stopped.
 
 The session comes from the environment (``spark-submit`` or
 ``spark-defaults.conf``), so the same command runs locally and on a cluster.
@@ -23,6 +28,15 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("job", choices=sorted(JOBS))
     run.add_argument("input_dir", help="folder holding events.parquet, customer.parquet, ...")
     run.add_argument("output_path", help="new parquet output path (must not exist)")
+    from carebook.streaming.jobs import TRANSFORMS
+    stream = sub.add_parser("stream", help="run a streaming transformation into parquet")
+    stream.add_argument("transform", choices=sorted(TRANSFORMS))
+    stream.add_argument("input_dir", help="folder holding events.parquet (a file or a folder of arriving files)")
+    stream.add_argument("output_path")
+    stream.add_argument("checkpoint_path")
+    stream.add_argument("--trigger", default="1 minute", help="processing-time trigger interval")
+    stream.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    stream.add_argument("--max-files", type=int, default=None, help="files per micro-batch")
     args = parser.parse_args(argv)
 
     if args.cmd == "list":
@@ -32,9 +46,20 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     from pyspark.sql import SparkSession
-    spark = SparkSession.builder.appName(f"carebook-{args.job}").getOrCreate()
-    JOBS[args.job](spark, args.input_dir).write.mode("errorifexists").parquet(args.output_path)
-    return 0
+    name = args.job if args.cmd == "run" else args.transform
+    spark = SparkSession.builder.appName(f"carebook-{name}").getOrCreate()
+    if args.cmd == "run":
+        JOBS[args.job](spark, args.input_dir).write.mode("errorifexists").parquet(args.output_path)
+        return 0
+
+    from carebook.streaming.sink import start_to_parquet
+    from carebook.streaming.source import read_entries_table_stream
+    entries = read_entries_table_stream(spark, args.input_dir, max_files_per_trigger=args.max_files)
+    out = TRANSFORMS[args.transform](spark, args.input_dir, entries)
+    q = start_to_parquet(out, args.output_path, args.checkpoint_path, processing_time=args.trigger,
+                         available_now=args.available_now, query_name=f"carebook_{args.transform}")
+    q.awaitTermination()
+    return 0 if q.exception() is None else 1
 
 
 if __name__ == "__main__":

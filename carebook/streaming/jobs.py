@@ -80,3 +80,18 @@ def enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def episodes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_and_read(spark, closed_episodes(read_entries_table_stream(spark, sf_dir)), "episodes")
+
+
+def _enrich_with_bucketed_register(spark: SparkSession, base_dir: str, entries: DataFrame) -> DataFrame:
+    reg = save_bucketed(spark, register(Tables(spark, base_dir)), "c_custkey", purpose="register")
+    return enrich(entries, reg)
+
+
+# Transformations for long-running queries (python -m carebook stream ...):
+# name -> (spark, base_dir, entry_stream) -> stream to append.
+TRANSFORMS = {
+    "daily_tally": lambda spark, base_dir, entries: daily_tally(entries),
+    "dedup_entries": lambda spark, base_dir, entries: dedup_entries(entries),
+    "enrich": _enrich_with_bucketed_register,
+    "closed_episodes": lambda spark, base_dir, entries: closed_episodes(entries),
+}

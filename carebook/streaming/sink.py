@@ -1,26 +1,40 @@
-"""Parquet sink for streams, drained with ``availableNow``."""
+"""Parquet sink for streams: long-running, or drained once with ``availableNow``."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from carebook.session import fresh_dir
 
 
-def drain_to_parquet(stream: DataFrame, out_dir: str, checkpoint_dir: str,
-                     query_name: str | None = None) -> None:
-    """Process everything available now into ``out_dir`` and stop.
+def start_to_parquet(stream: DataFrame, out_dir: str, checkpoint_dir: str,
+                     processing_time: str | None = None, available_now: bool = False,
+                     query_name: str | None = None) -> StreamingQuery:
+    """Start appending ``stream`` to parquet files in ``out_dir``.
 
-    The file sink with a checkpoint is exactly-once: a restarted query (after a
-    lost driver or executor) resumes from the checkpoint's offsets and state,
+    The file sink with a checkpoint is exactly-once: a restarted query (after
+    a lost driver or executor) resumes from the checkpoint's offsets and state,
     and readers of ``out_dir`` see only committed files (``_spark_metadata``).
+    ``processing_time`` (e.g. ``"1 minute"``) starts a micro-batch on that
+    interval; ``available_now`` processes what is there and stops.
     """
-    q = (stream.writeStream.format("parquet").outputMode("append")
+    w = (stream.writeStream.format("parquet").outputMode("append")
          .option("path", out_dir).option("checkpointLocation", checkpoint_dir)
-         .queryName(query_name or f"carebook_{uuid.uuid4().hex}")
-         .trigger(availableNow=True).start())
+         .queryName(query_name or f"carebook_{uuid.uuid4().hex}"))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def drain_to_parquet(stream: DataFrame, out_dir: str, checkpoint_dir: str,
+                     query_name: str | None = None) -> None:
+    """Process everything available now into ``out_dir`` and stop."""
+    q = start_to_parquet(stream, out_dir, checkpoint_dir, available_now=True, query_name=query_name)
     q.awaitTermination()
     err = q.exception()
     if err is not None:
