@@ -29,6 +29,11 @@ def worker_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``count(*)`` for visits and only one distinct count (persons), which Spark
     plans without the 2x ``Expand`` of two distinct aggregates.
 
+    The distinct-persons count shuffles twice: by (worker, month, person),
+    then, after a partial count, by (worker, month). One shuffle by (worker,
+    month) would do, but it would ship unreduced rows, so a busy worker-month
+    would land whole in one task; this way it leaves each task as one row.
+
     A visit holding a huge share of the lines is a skewed join partition.
     Because the aggregate relies on the join's partitioning, AQE splits it
     only with ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (set by
