@@ -114,12 +114,19 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
         F.sum("_bucket_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1)).alias("_v"),
         F.sum("_bucket_n").over(per_key.rangeBetween(-(k - 1), -1)).alias("_recent"),
     )
-    shadows = d.select(
-        *key, (F.col(BUCKET) + k).alias(BUCKET), F.lit(2).alias(KIND),
-        (F.col(ts) + F.expr(f"INTERVAL {int(days)} DAYS")).alias("_t"))
-    rows = d.withColumn(KIND, F.lit(1)).withColumn("_t", F.col(ts))
-
-    u = rows.unionByName(carries, allowMissingColumns=True).unionByName(shadows, allowMissingColumns=True)
+    # Each entry and its shadow come out of one scan: every row is emitted
+    # twice (kind 1 as itself, kind 2 shifted n days into bucket b+k); the
+    # shadow keeps only the key, bucket and shifted time.
+    real = F.col(KIND) == 1
+    rows = (d.withColumn(KIND, F.explode(F.array(F.lit(1), F.lit(2))))
+            .select(*key, F.when(real, F.col(BUCKET)).otherwise(F.col(BUCKET) + k).alias(BUCKET), KIND,
+                    F.when(real, F.col(ts)).alias(ts), F.when(real, F.col(tiebreak)).alias(tiebreak),
+                    F.when(real, F.col("_v")).alias("_v"),
+                    F.when(real, F.col(ts)).otherwise(F.col(ts) + F.expr(f"INTERVAL {int(days)} DAYS"))
+                    .alias("_t"),
+                    *[F.when(real, F.col(c)).alias(c) for c in df.columns if c not in (*key, ts, tiebreak)]))
+
+    u = rows.unionByName(carries, allowMissingColumns=True)
     # One sort serves every window: rows run by (_t, kind, tiebreak). Carry
     # rows have no _t and come first; a shadow row adds nothing to the running
     # sum; the range frames order by _t alone, a prefix of the same sort.
