@@ -25,9 +25,10 @@ EPISODE_GAP = "2 hours"
 
 def daily_tally(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Entries per day and kind. A day is emitted once the watermark (latest
-    event time - ``lateness``) passes its end; rows older than the watermark
-    are dropped. The partial aggregate folds each micro-batch per task before
-    the state-store shuffle."""
+    event time - ``lateness``) passes its end; a row that arrives after its
+    day was closed is dropped (Spark checks late rows against the previous
+    micro-batch's watermark). The partial aggregate folds each micro-batch per
+    task before the state-store shuffle."""
     return (entries.withWatermark(EVENT_TIME, lateness)
             .groupBy(F.window(EVENT_TIME, "1 day").alias("w"), "event_type")
             .agg(F.count(F.lit(1)).alias("entries"))
