@@ -31,7 +31,7 @@ def quality_report(events: DataFrame, persons: DataFrame) -> DataFrame:
         F.count_if(F.col("value") <= 0).alias("n_non_positive"),
         F.count_if(json_attr("props", "k").isNull()).alias("n_missing_k"),
     )
-    known = persons.select(F.col("c_custkey").alias("user_id"), F.lit(True).alias("known")).distinct()
+    known = persons.select(F.col("c_custkey").alias("user_id")).distinct().withColumn("known", F.lit(True))
     flagged = per_person.join(known, "user_id", "left")
     unknown = F.col("user_id").isNotNull() & F.col("known").isNull()
     totals = flagged.agg(
