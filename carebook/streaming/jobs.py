@@ -43,6 +43,25 @@ def dedup_entries(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
             .drop(EVENT_TIME))
 
 
+def dedup_entries_combined(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Drop redelivered entries with map-side combining, for ids that may be
+    redelivered massively.
+
+    ``dropDuplicatesWithinWatermark`` sends every copy of an id to one task.
+    Here copies are grouped by (``event_id``, event time) in a streaming
+    aggregation, whose partial aggregate collapses them to one row per task
+    before the state shuffle. The price: an entry is emitted only once the
+    watermark passes its event time, and copies must carry the same ``ts``
+    (as redelivered records do). Of copies that differ elsewhere, the smallest
+    record is kept, whole.
+    """
+    rest = [c for c in entries.columns if c not in ("event_id", EVENT_TIME)]
+    return (entries.withWatermark(EVENT_TIME, lateness)
+            .groupBy("event_id", EVENT_TIME)
+            .agg(F.min(F.struct(*rest)).alias("_entry"))
+            .select("event_id", *[F.col(f"_entry.{c}").alias(c) for c in rest]))
+
+
 def enrich(entries: DataFrame, register_df: DataFrame) -> DataFrame:
     """Stream-static inner join of entries with person, district and area.
 
@@ -93,6 +112,7 @@ def _enrich_with_bucketed_register(spark: SparkSession, base_dir: str, entries:
 TRANSFORMS = {
     "daily_tally": lambda spark, base_dir, entries: daily_tally(entries),
     "dedup_entries": lambda spark, base_dir, entries: dedup_entries(entries),
+    "dedup_entries_combined": lambda spark, base_dir, entries: dedup_entries_combined(entries),
     "enrich": _enrich_with_bucketed_register,
     "closed_episodes": lambda spark, base_dir, entries: closed_episodes(entries),
 }

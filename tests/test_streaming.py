@@ -132,3 +132,26 @@ def test_restarted_stream_resumes_from_its_checkpoint(spark):
     drain_to_parquet(jobs.dedup_entries(_stream(spark, folder)), out, ckpt)
     ids = sorted(r.event_id for r in spark.read.parquet(out).collect())
     assert ids == [1, 2, 3]
+
+
+def test_combined_dedup_collapses_massive_redelivery(spark):
+    # id 1 is delivered 300 times across three files; ids 2 and 3 once.
+    hot = [_e(1, "2024-01-01 10:00:00")] * 100
+    folder = _batches([
+        hot + [_e(2, "2024-01-01 10:05:00")],
+        hot,
+        hot + [_e(3, "2024-01-01 13:00:00")],      # watermark -> 12:00: ids 1 and 2 emitted
+    ])
+    out = drain_and_read(spark, jobs.dedup_entries_combined(_stream(spark, folder)), "t-dedup-combined")
+    rows = out.collect()
+    assert sorted(r.event_id for r in rows) == [1, 2]      # 3 is still ahead of the watermark
+    assert set(out.columns) == {"event_id", "ts", "user_id", "event_type", "value", "props"}
+
+
+def test_combined_dedup_reduces_copies_before_the_state_shuffle(spark):
+    q = (jobs.dedup_entries_combined(read_entries_stream(spark, SMOKE_DIR)).writeStream.format("noop")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    lines = q._jsq.explainInternal(False).splitlines()
+    i = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(event_id" in line)
+    assert "partial_min" in lines[i + 1]
