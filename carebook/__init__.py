@@ -8,6 +8,8 @@ Subpackages:
   ordered scans, latest/top-k per key, missing calendar days)
 * ``plans``     - the batch jobs, one function per report
 * ``streaming`` - Structured Streaming jobs over arriving diary entries
+
+``carebook.registry.JOBS`` names every job; ``python -m carebook`` runs them.
 """
 
 __version__ = "0.1.0"
