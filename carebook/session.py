@@ -13,7 +13,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job is written against. AQE and its skew-join split are on by
+# Settings the plans are designed for. Results do not depend on them (the jobs
+# give the same rows in a plain session); they decide how skew is split and
+# how much is merged before shuffles. AQE and its skew-join split are on by
 # default in Spark 4; they are listed so a cluster profile cannot silently drop
 # them. The session time zone does not affect batch jobs (all diary times are
 # TIMESTAMP_NTZ); streaming jobs convert explicitly and do not depend on it.
