@@ -96,3 +96,31 @@ def test_event_time_conversion_ignores_session_time_zone(spark):
         assert r.day == r.ts.date()
         epoch = dt.datetime(1970, 1, 1)
         assert r.micros == (r.ts - epoch) // dt.timedelta(microseconds=1)
+
+
+def test_top_workers_break_ties_by_lower_worker_key(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from carebook.plans import history
+
+    d = tempfile.mkdtemp(prefix="carebook-topk-")
+    # district 0: workers 5, 3, 4 with 2 visits each and worker 9 with 1 (plus a
+    # repeated line on one visit, which must not count twice); district 1: worker 7.
+    lines = [(1, 5), (2, 5), (3, 3), (4, 3), (4, 3), (5, 4), (6, 4), (7, 9), (8, 7)]
+    li_schema = pa.schema([("l_orderkey", pa.int64()), ("l_partkey", pa.int64()), ("l_suppkey", pa.int64()),
+                           ("l_linenumber", pa.int32()), ("l_quantity", pa.float64()),
+                           ("l_extendedprice", pa.float64()), ("l_discount", pa.float64()), ("l_tax", pa.float64()),
+                           ("l_returnflag", pa.string()), ("l_linestatus", pa.string()),
+                           ("l_shipdate", pa.timestamp("us"))])
+    pq.write_table(pa.Table.from_pylist([
+        {"l_orderkey": o, "l_partkey": 1, "l_suppkey": s, "l_linenumber": 1, "l_quantity": 1.0,
+         "l_extendedprice": 1.0, "l_discount": 0.0, "l_tax": 0.0, "l_returnflag": "N", "l_linestatus": "O",
+         "l_shipdate": dt.datetime(2024, 1, 1)} for o, s in lines], schema=li_schema), f"{d}/lineitem.parquet")
+    su_schema = pa.schema([("s_suppkey", pa.int64()), ("s_name", pa.string()), ("s_nationkey", pa.int32()),
+                           ("s_acctbal", pa.float64())])
+    pq.write_table(pa.Table.from_pylist([
+        {"s_suppkey": s, "s_name": f"w{s}", "s_nationkey": 1 if s == 7 else 0, "s_acctbal": 0.0}
+        for s in (3, 4, 5, 7, 9)], schema=su_schema), f"{d}/supplier.parquet")
+    got = sorted(tuple(r) for r in history.top_workers_by_district(spark, d).collect())
+    assert got == [(0, 3, 2, 1), (0, 4, 2, 2), (0, 5, 2, 3), (1, 7, 1, 1)]
