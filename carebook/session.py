@@ -28,6 +28,10 @@ RECOMMENDED_CONF = {
     # then adds a shuffle of the already reduced rows instead of leaving one
     # task with a hot key's rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Let AQE replace a sort-merge join by a shuffled hash join when every
+    # build-side partition is measured under this size: no sort of either
+    # side, and a hash table that is known to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",

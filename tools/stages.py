@@ -4,7 +4,7 @@
 
 Reads plain, zstd-compressed and rolling (``eventlog_v2_*``) logs. For each
 stage it prints wall time, tasks, records read from shuffle and input, bytes
-written to shuffle, and ``max/total``: the largest single task's share of the
+written to shuffle, bytes spilled to disk, and ``max/total``: the largest single task's share of the
 records the stage read from shuffle. A stage in which one key's rows meet in
 one task shows that share near the key's share of the data.
 """
@@ -62,6 +62,7 @@ def stage_summary(events) -> list[dict]:
                 "records": sr.get("Total Records Read", 0) + inp.get("Records Read", 0),
                 "shuffle_records": sr.get("Total Records Read", 0),
                 "shuffle_write_bytes": sw.get("Shuffle Bytes Written", 0),
+                "spill_bytes": m.get("Disk Bytes Spilled", 0),
             })
         elif kind == "SparkListenerStageCompleted":
             info = e["Stage Info"]
@@ -77,6 +78,7 @@ def stage_summary(events) -> list[dict]:
         shuffled = sum(t["shuffle_records"] for t in ts)
         s.update(tasks=len(ts), records=total, shuffle_records=shuffled,
                  shuffle_write_bytes=sum(t["shuffle_write_bytes"] for t in ts),
+                 spill_bytes=sum(t["spill_bytes"] for t in ts),
                  max_share=(max(t["records"] for t in ts) / total) if total else 0.0,
                  max_shuffle_share=(max(t["shuffle_records"] for t in ts) / shuffled) if shuffled else 0.0)
         out.append(s)
@@ -91,10 +93,11 @@ def main() -> None:
     rows = stage_summary(read_events(args.path))
     if args.top:
         rows = sorted(rows, key=lambda s: -(s["ms"] or 0))[:args.top]
-    print(f"{'stage':>5} {'ms':>7} {'tasks':>5} {'records':>10} {'shuf_w_MB':>9} {'max/total':>9}  name")
+    print(f"{'stage':>5} {'ms':>7} {'tasks':>5} {'records':>10} {'shuf_w_MB':>9} {'spill_MB':>8} {'max/total':>9}  job")
     for s in rows:
         print(f"{s['stage']:>5} {s['ms'] or 0:>7} {s['tasks']:>5} {s['records']:>10} "
-              f"{s['shuffle_write_bytes'] / 1e6:>9.2f} {s['max_shuffle_share']:>9.2f}  {s['name']}")
+              f"{s['shuffle_write_bytes'] / 1e6:>9.2f} {s['spill_bytes'] / 1e6:>8.1f} {s['max_shuffle_share']:>9.2f}  "
+              f"{s['job'] or s['name']}")
 
 
 if __name__ == "__main__":
