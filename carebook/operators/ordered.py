@@ -19,6 +19,16 @@ anyway, so there is no join back and no second pass over the big input.
 
 Every expression is deterministic (no random salt, no partition ids), so a
 lost executor's tasks recompute the same rows.
+
+Cost: one carry row per key and bucket after the key's first, plus the
+bucket-level summary (a sort-based aggregate when it keeps a whole last row).
+For dense keys (many rows per bucket) that is small. For sparse keys (about
+one row per bucket, like visits per customer-day) the window shuffle nearly
+doubles: ``visit_gaps`` on 4.5M visits took 8.2-8.5 s against 2.3-2.8 s for
+a plain per-person window (local[8]). That is the price of never putting one
+key's history in one task. Routing only hot keys through the buckets would
+remove it for ordinary keys, but needs a bounded hot-key list; it is left
+for later.
 """
 
 from __future__ import annotations
