@@ -46,6 +46,7 @@ def quality_report(events: DataFrame, persons: DataFrame) -> DataFrame:
 
 
 def diary_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations per rule: no person, value <= 0, person not in the register, no ``$.k``."""
     t = Tables(spark, sf_dir)
     return quality_report(t.events, t.customer)
 
@@ -58,6 +59,7 @@ def entries_between(events: DataFrame, start: dt.datetime, end: dt.datetime) ->
 def diary_entries_between(spark: SparkSession, sf_dir: str,
                           start: dt.datetime = dt.datetime(2024, 1, 10),
                           end: dt.datetime = dt.datetime(2024, 1, 20)) -> DataFrame:
+    """Entries with 2024-01-10 <= ts < 2024-01-20 (by default)."""
     return entries_between(Tables(spark, sf_dir).events, start, end)
 
 

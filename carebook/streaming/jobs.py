@@ -85,20 +85,23 @@ def closed_episodes(entries: DataFrame, lateness: str = LATENESS, gap: str = EPI
 
 
 def daily_tally_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream: entries per closed day and kind (1 h watermark), drained once."""
     return drain_and_read(spark, daily_tally(read_entries_table_stream(spark, sf_dir)), "daily-tally")
 
 
 def dedup_entries_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream: entries without redelivered ids (1 h watermark), drained once."""
     return drain_and_read(spark, dedup_entries(read_entries_table_stream(spark, sf_dir)), "dedup-entries")
 
 
 def enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enrich arriving entries; the register is bucketed once for all micro-batches."""
+    """Stream: entries with person, district and area (register bucketed once), drained once."""
     reg = save_bucketed(spark, register(Tables(spark, sf_dir)), "c_custkey", purpose="register")
     return drain_and_read(spark, enrich(read_entries_table_stream(spark, sf_dir), reg), "enrich")
 
 
 def episodes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream: closed episodes of care (2 h gap, 1 h watermark), drained once."""
     return drain_and_read(spark, closed_episodes(read_entries_table_stream(spark, sf_dir)), "episodes")
 
 

@@ -41,3 +41,8 @@ def test_stream_command_drains_and_resumes():
     assert first > 0
     assert _run(*args).returncode == 0          # same checkpoint: nothing new, nothing repeated
     assert pq.read_table(out).num_rows == first
+
+
+def test_every_job_documents_itself():
+    from carebook.registry import JOBS
+    assert [n for n, f in JOBS.items() if not (f.__doc__ or "").strip()] == []
