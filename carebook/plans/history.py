@@ -18,6 +18,10 @@ TRAILING_DAYS = 7
 TOP_WORKERS = 3
 CALENDAR_START = dt.date(2024, 1, 1)
 CALENDAR_END = dt.date(2024, 1, 30)
+# Keys with at most this many rows take a plain per-key window in visit_gaps;
+# only keys above it go through day buckets (see previous_in_order).
+PLAIN_WINDOW_MAX_ROWS = 1_000_000
+PLAIN_WINDOW_CONF = "spark.carebook.plainWindowMaxRows"
 
 
 def latest_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,10 +32,16 @@ def latest_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def visit_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each visit with the person's previous visit, in (date, visit key) order,
-    and the days between them (null for a person's first visit)."""
+    and the days between them (null for a person's first visit).
+
+    Persons with more than ``spark.carebook.plainWindowMaxRows`` visits
+    (default 1,000,000) go through day buckets; the rest take a plain window.
+    """
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    plain_below = int(spark.conf.get(PLAIN_WINDOW_CONF, str(PLAIN_WINDOW_MAX_ROWS)))
     with_prev = previous_in_order(o, ["o_custkey"], ["o_orderdate", "o_orderkey"],
-                                  day_of("o_orderdate"), ["o_orderdate", "o_orderkey"])
+                                  day_of("o_orderdate"), ["o_orderdate", "o_orderkey"],
+                                  plain_below=plain_below)
     return with_prev.select(
         "o_custkey", "o_orderkey", "o_orderdate",
         F.col("prev.o_orderkey").alias("prev_orderkey"),

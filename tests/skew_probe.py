@@ -34,6 +34,8 @@ def main(argv: list[str]) -> None:
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        # persons with more than 1,000 visits go through day buckets
+        "spark.carebook.plainWindowMaxRows": "1000",
     })
     for job in jobs:
         spark.sparkContext.setJobDescription(job)

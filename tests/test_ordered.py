@@ -134,11 +134,14 @@ VISITS = st.lists(st.tuples(st.sampled_from([7, 7, 7, 7, 8, 9]), st.integers(0,
                   min_size=1, max_size=80)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(VISITS)
-def test_visit_gaps_equal_whole_person_lag(spark, raw):
-    """Previous visit per person via day buckets + carry rows equals a plain
-    lag over the whole person; same-day visits and tied times included."""
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(VISITS, st.sampled_from(["0", "3", "1000000"]))
+def test_visit_gaps_equal_whole_person_lag(spark, raw, plain_below):
+    """Previous visit per person equals a plain lag over the whole person,
+    whichever route each person takes: day buckets + carry rows (threshold 0),
+    a mix (3), or a plain window (1,000,000); same-day visits and tied times
+    included."""
+    from carebook.plans.history import PLAIN_WINDOW_CONF
     import pyarrow as pa
     import pyarrow.parquet as pq
 
@@ -150,5 +153,9 @@ def test_visit_gaps_equal_whole_person_lag(spark, raw):
             for i, (cust, day, sec) in enumerate(raw)]
     d = tempfile.mkdtemp(prefix="carebook-visits-")
     pq.write_table(pa.Table.from_pylist(rows, schema=schema), f"{d}/orders.parquet")
-    r = compare(spark, "visit_gaps", d, duck(d))
+    spark.conf.set(PLAIN_WINDOW_CONF, plain_below)
+    try:
+        r = compare(spark, "visit_gaps", d, duck(d))
+    finally:
+        spark.conf.unset(PLAIN_WINDOW_CONF)
     assert r["columns_match"] and r["values_match"], r

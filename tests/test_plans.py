@@ -18,13 +18,17 @@ BATCH = [n for n in se.queries() if not n.endswith("_stream") and n != "diary_da
 
 @pytest.fixture(scope="module")
 def plans(spark):
+    from carebook.plans.history import PLAIN_WINDOW_CONF
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # every person counts as hot, so visit_gaps shows its bucketed route
+    spark.conf.set(PLAIN_WINDOW_CONF, "0")
     try:
         yield {n: se.queries()[n](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
                for n in BATCH}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset(PLAIN_WINDOW_CONF)
 
 
 def _indent(line: str) -> int:
@@ -66,12 +70,15 @@ def test_scans_read_only_needed_columns(plans, name):
 
 @pytest.mark.parametrize("name,key", [
     ("running_and_trailing_load", "user_id"), ("care_episodes", "user_id"),
-    ("visit_gaps", "o_custkey"), ("latest_entry", "user_id"), ("days_without_entry", "user_id"),
+    ("latest_entry", "user_id"), ("days_without_entry", "user_id"),
     ("persons_with_entries", "c_custkey"), ("lapsed_persons", "user_id"),
 ])
 def test_person_keyed_shuffles_carry_reduced_rows(plans, name, key):
     """No raw entry is shuffled by the person key alone (a hot person would
-    land in one task); such shuffles carry aggregates or day summaries."""
+    land in one task); such shuffles carry aggregates or day summaries.
+    (visit_gaps is different by design: persons under its row threshold take
+    a plain per-person window, each bounded by the threshold; see
+    test_visit_gaps_routes_only_hot_persons_through_buckets.)"""
     children = _exchange_children(plans[name], key)
     assert children, name
     for child in children:
@@ -101,9 +108,13 @@ def test_cohorts_join_on_plain_keys(plans):
 
 
 def test_only_bounded_dimensions_broadcast(plans):
+    """Broadcasts are the size-checked district table, or visit_gaps' list of
+    hot persons (counted before the hint, at most ``max_hot_keys``)."""
     for name, plan in plans.items():
         for m in re.finditer(r"BroadcastExchange[^\n]*\n([^\n]*\n){0,6}", plan):
             block = m.group(0)
+            if name == "visit_gaps" and "Filter (_n#" in block:
+                continue
             assert re.search(r"nation|region", block) and not re.search(
                 r"customer|orders|lineitem|supplier|events", block), (name, block)
 
@@ -118,3 +129,24 @@ def test_running_and_trailing_sorts_the_row_union_once(plans):
     sorts = [line for line in plans["running_and_trailing_load"].splitlines()
              if "Sort [" in line and "_bucket#" in line and "_t#" in line]
     assert len(sorts) == 1, sorts
+
+
+def test_visit_gaps_without_hot_persons_is_a_plain_window(spark):
+    from carebook.plans.history import PLAIN_WINDOW_CONF, PLAIN_WINDOW_MAX_ROWS
+    old = spark.conf.get(PLAIN_WINDOW_CONF, None)
+    spark.conf.set(PLAIN_WINDOW_CONF, str(PLAIN_WINDOW_MAX_ROWS))
+    try:
+        plan = se.queries()["visit_gaps"](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(PLAIN_WINDOW_CONF) if old is None else spark.conf.set(PLAIN_WINDOW_CONF, old)
+    assert "_bucket" not in plan and "Union" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(o_custkey#\d+L?, \d+\)", plan)) == 1
+
+
+def test_visit_gaps_routes_only_hot_persons_through_buckets(plans):
+    """With every person hot, the plan has both routes: the bucketed one
+    (shuffled by person and day) and the plain one for persons under the
+    threshold, split by a broadcast join with the size-checked hot list."""
+    plan = plans["visit_gaps"]
+    assert re.search(r"Exchange hashpartitioning\(o_custkey#\d+L?, _bucket#\d+, \d+\)", plan)
+    assert "BroadcastHashJoin" in plan and "Union" in plan
