@@ -71,20 +71,35 @@ def previous_in_order(df: DataFrame, key: Sequence[str], order: Sequence[str], b
     Either route gives the same rows.
     """
     key, order, carry = list(key), list(order), list(carry)
+    return _route_hot_keys(
+        df, key, plain_below, max_hot_keys,
+        plain=lambda part: _previous_plain(part, key, order, carry, out),
+        bucketed=lambda part: _previous_bucketed(part, key, order, bucket, carry, out))
+
+
+def _route_hot_keys(df: DataFrame, key: list, plain_below: int | None, max_hot_keys: int,
+                    plain, bucketed) -> DataFrame:
+    """Apply ``bucketed`` to the rows of keys with more than ``plain_below``
+    rows and ``plain`` to the rest, and union the two.
+
+    The hot keys are counted when the plan is built (one aggregate over the key
+    column) and broadcast only if there are at most ``max_hot_keys``; with more,
+    or with no threshold, every row goes the bucketed way. Rows without a key
+    never match the list and go the plain way, as one group, like SQL.
+    """
     if plain_below is None:
-        return _previous_bucketed(df, key, order, bucket, carry, out)
+        return bucketed(df)
     hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > plain_below).select(*key))
     n_hot = hot.limit(max_hot_keys + 1).count()
     if n_hot > max_hot_keys:
-        return _previous_bucketed(df, key, order, bucket, carry, out)
+        return bucketed(df)
     if n_hot == 0:
-        return _previous_plain(df, key, order, carry, out)
+        return plain(df)
     flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     cold = flagged.where(F.col("_hot").isNull()).drop("_hot")
     hot_rows = flagged.where(F.col("_hot")).drop("_hot")
-    return (_previous_plain(cold, key, order, carry, out)
-            .unionByName(_previous_bucketed(hot_rows, key, order, bucket, carry, out)))
+    return plain(cold).unionByName(bucketed(hot_rows))
 
 
 def _previous_plain(df: DataFrame, key: list, order: list, carry: list, out: str) -> DataFrame:
@@ -191,7 +206,8 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
 
 
 def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int,
-             bucket_seconds: int = 86_400) -> DataFrame:
+             bucket_seconds: int = 86_400, plain_below: int | None = None,
+             max_hot_keys: int = 100_000) -> DataFrame:
     """Runs of a key's rows in which no two consecutive rows are more than
     ``gap_seconds`` apart (a gap of exactly ``gap_seconds`` joins the run).
 
@@ -204,10 +220,35 @@ def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int,
     reuses the window's partitioning). Level 2 merges runs that continue
     across a bucket boundary; it sees one row per run per bucket, at most
     about bucket / gap + 1 rows per person-bucket.
+
+    With ``plain_below`` set, only keys with more rows than that take the two
+    levels; the rest take one plain per-key window (see ``_route_hot_keys``).
     """
     key = list(key)
     gap = _interval_seconds(gap_seconds)
-    d = df.select(*key, ts).withColumn(BUCKET, time_bucket(ts, bucket_seconds))
+    d = df.select(*key, ts)
+    return _route_hot_keys(
+        d, key, plain_below, max_hot_keys,
+        plain=lambda part: _episodes_plain(part, key, ts, gap),
+        bucketed=lambda part: _episodes_bucketed(part, key, ts, gap, bucket_seconds))
+
+
+def _episodes_plain(d: DataFrame, key: list, ts: str, gap: Column) -> DataFrame:
+    w = Window.partitionBy(*key).orderBy(ts)
+    return (
+        d.withColumn("_prev", F.lag(ts).over(w))
+        .withColumn("_break", F.when(F.col("_prev").isNull() | (F.col(ts) > F.col("_prev") + gap), 1)
+                    .otherwise(0))
+        .withColumn("_episode", F.sum("_break").over(w.rowsBetween(_UNBOUNDED_PRECEDING, _CURRENT)))
+        .groupBy(*key, "_episode")
+        .agg(F.min(ts).alias("episode_start"), (F.max(ts) + gap).alias("episode_end"),
+             F.count(F.lit(1)).cast("long").alias("entries"))
+        .drop("_episode")
+    )
+
+
+def _episodes_bucketed(d: DataFrame, key: list, ts: str, gap: Column, bucket_seconds: int) -> DataFrame:
+    d = d.withColumn(BUCKET, time_bucket(ts, bucket_seconds))
     w = Window.partitionBy(*key, BUCKET).orderBy(ts)
     local = (
         d.withColumn("_prev", F.lag(ts).over(w))

@@ -18,8 +18,8 @@ TRAILING_DAYS = 7
 TOP_WORKERS = 3
 CALENDAR_START = dt.date(2024, 1, 1)
 CALENDAR_END = dt.date(2024, 1, 30)
-# Keys with at most this many rows take a plain per-key window in visit_gaps;
-# only keys above it go through day buckets (see previous_in_order).
+# Keys with at most this many rows take a plain per-key window in visit_gaps
+# and care_episodes; only keys above it go through day buckets.
 PLAIN_WINDOW_MAX_ROWS = 1_000_000
 PLAIN_WINDOW_CONF = "spark.carebook.plainWindowMaxRows"
 
@@ -73,9 +73,12 @@ def care_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Episodes of care: runs of a person's entries with no gap over 2 hours.
 
     ``episode_end`` is the last entry + 2 hours, as ``session_window`` reports.
+    Persons with more than ``spark.carebook.plainWindowMaxRows`` entries go
+    through day buckets; the rest take a plain window.
     """
     e = Tables(spark, sf_dir).events.select("user_id", "ts")
-    return episodes(e, ["user_id"], "ts", EPISODE_GAP_SECONDS)
+    plain_below = int(spark.conf.get(PLAIN_WINDOW_CONF, str(PLAIN_WINDOW_MAX_ROWS)))
+    return episodes(e, ["user_id"], "ts", EPISODE_GAP_SECONDS, plain_below=plain_below)
 
 
 def days_without_entry(spark: SparkSession, sf_dir: str, start: dt.date = CALENDAR_START,

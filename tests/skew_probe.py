@@ -1,5 +1,6 @@
-"""Run jobs in a fresh Spark process with an event log; print, per job, the
-largest share of a stage's shuffled records that one task read.
+"""Run jobs in a fresh Spark process with an event log; print, for every
+stage that read shuffle data, its job, records read and the largest share of
+them read by one task.
 
     python -m tests.skew_probe FIXTURE_DIR LOG_DIR JOB [JOB ...]
 
@@ -47,11 +48,8 @@ def main(argv: list[str]) -> None:
             df = JOBS[job](spark, fixture)
         df.write.format("noop").mode("overwrite").save()
     spark.stop()
-    share: dict[str, float] = {}
-    for s in stage_summary(read_events(log_dir)):
-        if s["tasks"] >= 4 and s["shuffle_records"] >= 1000:
-            share[s["job"]] = max(share.get(s["job"], 0.0), s["max_shuffle_share"])
-    print(json.dumps(share))
+    print(json.dumps([[s["job"], s["shuffle_records"], s["max_shuffle_share"]]
+                      for s in stage_summary(read_events(log_dir)) if s["shuffle_records"]]))
 
 
 if __name__ == "__main__":

@@ -93,15 +93,21 @@ ORDERED_JOBS = ["running_and_trailing_load", "care_episodes", "latest_entry", "d
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(ROWS)
-def test_ordered_jobs_equal_whole_person_sql(spark, raw):
+@given(ROWS, st.sampled_from(["0", "5", "1000000"]))
+def test_ordered_jobs_equal_whole_person_sql(spark, raw, plain_below):
+    """Every person through day buckets (threshold 0), some (5) or none."""
+    from carebook.plans.history import PLAIN_WINDOW_CONF
     rows = [(i, BASE + dt.timedelta(minutes=30 * slot, seconds=jit), user, "view", cents / 100, '{"k": 1}')
             for i, (user, slot, jit, cents) in enumerate(raw)]
     d = _fixture(rows)
     con = duck(d)
-    for name in ORDERED_JOBS:
-        r = compare(spark, name, d, con)
-        assert r["columns_match"] and r["values_match"], r
+    spark.conf.set(PLAIN_WINDOW_CONF, plain_below)
+    try:
+        for name in ORDERED_JOBS:
+            r = compare(spark, name, d, con)
+            assert r["columns_match"] and r["values_match"], r
+    finally:
+        spark.conf.unset(PLAIN_WINDOW_CONF)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))

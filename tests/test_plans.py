@@ -69,16 +69,16 @@ def test_scans_read_only_needed_columns(plans, name):
 
 
 @pytest.mark.parametrize("name,key", [
-    ("running_and_trailing_load", "user_id"), ("care_episodes", "user_id"),
+    ("running_and_trailing_load", "user_id"),
     ("latest_entry", "user_id"), ("days_without_entry", "user_id"),
     ("persons_with_entries", "c_custkey"), ("lapsed_persons", "user_id"),
 ])
 def test_person_keyed_shuffles_carry_reduced_rows(plans, name, key):
     """No raw entry is shuffled by the person key alone (a hot person would
     land in one task); such shuffles carry aggregates or day summaries.
-    (visit_gaps is different by design: persons under its row threshold take
-    a plain per-person window, each bounded by the threshold; see
-    test_visit_gaps_routes_only_hot_persons_through_buckets.)"""
+    (visit_gaps and care_episodes are different by design: persons under
+    their row threshold take a plain per-person window, each bounded by the
+    threshold; see test_routed_jobs_send_only_hot_persons_through_buckets.)"""
     children = _exchange_children(plans[name], key)
     assert children, name
     for child in children:
@@ -108,12 +108,12 @@ def test_cohorts_join_on_plain_keys(plans):
 
 
 def test_only_bounded_dimensions_broadcast(plans):
-    """Broadcasts are the size-checked district table, or visit_gaps' list of
-    hot persons (counted before the hint, at most ``max_hot_keys``)."""
+    """Broadcasts are the size-checked district table, or the routed jobs'
+    list of hot persons (counted before the hint, at most ``max_hot_keys``)."""
     for name, plan in plans.items():
         for m in re.finditer(r"BroadcastExchange[^\n]*\n([^\n]*\n){0,6}", plan):
             block = m.group(0)
-            if name == "visit_gaps" and "Filter (_n#" in block:
+            if name in ("visit_gaps", "care_episodes") and "Filter (_n#" in block:
                 continue
             assert re.search(r"nation|region", block) and not re.search(
                 r"customer|orders|lineitem|supplier|events", block), (name, block)
@@ -143,10 +143,11 @@ def test_visit_gaps_without_hot_persons_is_a_plain_window(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(o_custkey#\d+L?, \d+\)", plan)) == 1
 
 
-def test_visit_gaps_routes_only_hot_persons_through_buckets(plans):
+@pytest.mark.parametrize("name,key", [("visit_gaps", "o_custkey"), ("care_episodes", "user_id")])
+def test_routed_jobs_send_only_hot_persons_through_buckets(plans, name, key):
     """With every person hot, the plan has both routes: the bucketed one
     (shuffled by person and day) and the plain one for persons under the
     threshold, split by a broadcast join with the size-checked hot list."""
-    plan = plans["visit_gaps"]
-    assert re.search(r"Exchange hashpartitioning\(o_custkey#\d+L?, _bucket#\d+, \d+\)", plan)
+    plan = plans[name]
+    assert re.search(rf"Exchange hashpartitioning\({key}#\d+L?, _bucket#\d+L?, \d+\)", plan)
     assert "BroadcastHashJoin" in plan and "Union" in plan

@@ -80,7 +80,8 @@ def stage_summary(events) -> list[dict]:
                  shuffle_write_bytes=sum(t["shuffle_write_bytes"] for t in ts),
                  spill_bytes=sum(t["spill_bytes"] for t in ts),
                  max_share=(max(t["records"] for t in ts) / total) if total else 0.0,
-                 max_shuffle_share=(max(t["shuffle_records"] for t in ts) / shuffled) if shuffled else 0.0)
+                 max_shuffle_share=(max(t["shuffle_records"] for t in ts) / shuffled) if shuffled else 0.0,
+                 max_task_shuffle_records=max((t["shuffle_records"] for t in ts), default=0))
         out.append(s)
     return sorted(out, key=lambda s: s["stage"])
 
