@@ -29,7 +29,8 @@ doubles: ``visit_gaps`` on 4.5M visits took 8.2-8.5 s bucketed against
 therefore routes only hot keys (more rows than ``plain_below``, a list whose
 size is checked before it is broadcast) through the buckets and gives the
 rest a plain window: 4.5-4.6 s on the same data, the difference being the
-pass that counts rows per key. The other operators still bucket every key.
+pass that counts rows per key. ``episodes`` does the same;
+``running_total_and_trailing_count`` still buckets every key.
 """
 
 from __future__ import annotations
