@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.llm import packing, token_files
+from carebook.llm import packing, simhash, token_files
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -21,6 +21,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(token_files.read_tokens(spark, path))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of every document: 3-word shingles, at most 2 differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2).select(
+        "doc_id", "fingerprint", "component_id")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of a power of two of at most 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1, max_length=2048).select(
@@ -29,6 +35,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_simhash": op2_simhash,
     "op10_packing": op10_packing,
 }
 
