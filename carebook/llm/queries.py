@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.llm import packing, simhash, token_files
+from carebook.llm import packing, secrets, simhash, token_files
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -27,6 +27,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and spans."""
+    return secrets.secret_digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of a power of two of at most 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1, max_length=2048).select(
@@ -36,6 +41,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
+    "op8_secrets": op8_secrets,
     "op10_packing": op10_packing,
 }
 
