@@ -156,6 +156,16 @@ class Automaton:
         dead = (self.next == np.arange(len(self.next))[:, None]).all(1) & (self.accepts == 0)
         self.dead = int(np.flatnonzero(dead)[0]) if dead.any() else -1
 
+    def arrays(self) -> dict:
+        """What a worker needs of the automaton, in plain arrays."""
+        return {k: v for k, v in vars(self).items() if not k.startswith("_")}
+
+    @classmethod
+    def of_arrays(cls, arrays: dict) -> Automaton:
+        self = cls.__new__(cls)
+        vars(self).update(arrays)
+        return self
+
     def longest(self, data: bytes, start: int) -> int:
         """End of the longest match that begins at ``start``; -1 if there is none."""
         rows = self.by_byte()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,11 +58,25 @@ class Scanner:
         self.all = Automaton([r.scanned() for r in rules], anywhere=True)
         self.matches = [Automaton([f"(?:{r.head})(?:{r.body})+"], anywhere=False) for r in rules]
         self.heads = [Automaton([r.head], anywhere=False) if r.head else None for r in rules]
-        for a in [*self.matches, *filter(None, self.heads)]:
-            a.by_byte()
+        self._prepare()
+
+    def _prepare(self) -> None:
         # Bytes that may begin a match of each rule.
         self.begins = [np.flatnonzero(m.next[0][m.class_of] != m.dead) for m in self.matches]
 
+    def arrays(self) -> tuple:
+        return (self.all.arrays(), [m.arrays() for m in self.matches], [h and h.arrays() for h in self.heads])
+
+    @classmethod
+    def of_arrays(cls, arrays: tuple, rules: tuple[Rule, ...] = RULES) -> Scanner:
+        self = cls.__new__(cls)
+        self.rules = rules
+        self.all = Automaton.of_arrays(arrays[0])
+        self.matches = [Automaton.of_arrays(a) for a in arrays[1]]
+        self.heads = [a and Automaton.of_arrays(a) for a in arrays[2]]
+        self._prepare()
+        return self
+
     def spans(self, text: bytes, low: int, high: int) -> list[tuple[int, int, int]]:
         """(start, rule, end) in bytes of the matches in text[low:high]."""
         part, found = text[low:high], []
@@ -109,18 +124,14 @@ def _code_points(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[i
     return [(int(at[a]), r, int(at[b])) for a, r, b in spans]
 
 
-_SCANNER: list[Scanner] = []
-
-
-def scanner() -> Scanner:
-    """The worker's scanner: the rules are compiled once."""
-    if not _SCANNER:
-        _SCANNER.append(Scanner())
-    return _SCANNER[0]
+@cache
+def compiled() -> tuple:
+    """The rules' automata as arrays; compiled once, on the driver, whatever the data."""
+    return Scanner().arrays()
 
 
-def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    scan = scanner()
+def _scan_batches(batches: Iterator[pa.RecordBatch], arrays: tuple) -> Iterator[pa.RecordBatch]:
+    scan = Scanner.of_arrays(arrays)
     for batch in batches:
         for part in slices(batch, "text", 4 << 20):
             texts = [t or b"" for t in part.column("text").cast(pa.large_binary()).to_pylist()]
@@ -141,7 +152,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     Letters match in either case only where a rule says so, and only A-Z.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        on_workers(__name__, "_scan_batches"), "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
+        on_workers(__name__, "_scan_batches", compiled()), "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
 
 def secret_digests(found: DataFrame) -> DataFrame:

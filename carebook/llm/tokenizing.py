@@ -21,14 +21,14 @@ import pyarrow as pa
 _NO_CUT_AFTER = np.zeros(256, bool)
 _NO_CUT_AFTER[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 ENCODE_BYTES = 256 << 10
 
 
 class PieceEncoder:
     """Ids of whole texts; keeps the ids of at most ``max_kept`` pieces."""
 
-    def __init__(self, path: str, max_kept: int = 1_000_000):
+    def __init__(self, path: str, max_kept: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
