@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.llm import packing, secrets, simhash, token_files
+from carebook.llm import language, packing, secrets, simhash, token_files
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -27,6 +27,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    return language.identify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected", "entropy", "symbols")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and spans."""
     return secrets.secret_digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
@@ -41,6 +47,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
+    "op6_language": op6_language,
     "op8_secrets": op8_secrets,
     "op10_packing": op10_packing,
 }
