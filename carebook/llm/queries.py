@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.llm import language, packing, secrets, simhash, token_files
+from carebook.llm import language, line_templates, packing, secrets, simhash, token_files
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -33,6 +33,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "rejected", "entropy", "symbols")
 
 
+def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose template an earlier document has."""
+    return line_templates.without_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and spans."""
     return secrets.secret_digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
@@ -48,8 +53,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op6_language": op6_language,
+    "op7_line_templates": op7_line_templates,
     "op8_secrets": op8_secrets,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_templates": line_templates.ORACLE,
+}
