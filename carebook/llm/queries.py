@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.llm import language, line_templates, packing, secrets, simhash, token_files
+from carebook.llm import decontaminate, language, line_templates, packing, secrets, simhash, token_files
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -27,6 +27,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy, verbatim or edited, of a benchmark item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
     return language.identify(table(spark, sf_dir, "documents")).select(
@@ -52,6 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
+    "op3_decontaminate": op3_decontaminate,
     "op6_language": op6_language,
     "op7_line_templates": op7_line_templates,
     "op8_secrets": op8_secrets,
