@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.llm import decontaminate, language, line_templates, packing, secrets, simhash, token_files
+from carebook.llm import bit_sliced, decontaminate, language, line_templates, packing, secrets, simhash, token_files
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -32,6 +32,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op4_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every twentieth vector, by inner product of quantised components."""
+    return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
     return language.identify(table(spark, sf_dir, "documents")).select(
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op3_decontaminate": op3_decontaminate,
+    "op4_bit_sliced": op4_bit_sliced,
     "op6_language": op6_language,
     "op7_line_templates": op7_line_templates,
     "op8_secrets": op8_secrets,
@@ -65,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_bit_sliced": bit_sliced.ORACLE,
     "op7_line_templates": line_templates.ORACLE,
 }
