@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.llm import bit_sliced, decontaminate, language, line_templates, packing, secrets, simhash, token_files
+from carebook.llm import bit_sliced, chat, decontaminate, language, licenses, line_templates, packing, secrets, simhash, token_files
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -37,6 +37,11 @@ def op4_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from every participant's perspective, turn by turn."""
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two thirds of them."""
     return language.identify(table(spark, sf_dir, "documents")).select(
@@ -53,6 +58,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, as a file of a directory tree."""
+    return licenses.licences(licenses.standin_paths(table(spark, sf_dir, "documents")))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of a power of two of at most 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1, max_length=2048).select(
@@ -64,13 +74,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_decontaminate": op3_decontaminate,
     "op4_bit_sliced": op4_bit_sliced,
+    "op5_chat": op5_chat,
     "op6_language": op6_language,
     "op7_line_templates": op7_line_templates,
     "op8_secrets": op8_secrets,
+    "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_bit_sliced": bit_sliced.ORACLE,
+    "op5_chat": chat.ORACLE,
     "op7_line_templates": line_templates.ORACLE,
 }
