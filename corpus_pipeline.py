@@ -1,29 +1,70 @@
-"""The corpus pipeline: stages over the ``documents`` table."""
+"""The corpus pipeline over the ``documents`` table.
+
+``STAGES`` lists the stages in order; each is called with the session, the rows
+that its predecessor kept and the input folder, and its rows are written as
+Parquet and read again before the next one. All but the last return the columns
+of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carebook.llm import packing
+from carebook.llm import decontaminate, language, line_templates, packing, simhash
 from carebook.llm.common import table
 from carebook.llm.queries import TOKENIZER
 from carebook.session import fresh_dir
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language identification: documents that it rejects go."""
+    return language.accepted(docs)
+
+
+def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line deduplication: lines whose template an earlier document has go, and
+    documents of which nothing but blank lines is left. ``n_chars`` follows the text."""
+    left = line_templates.without_recurring_lines(docs)
+    emptied = (F.col("lines_dropped") > 0) & (F.trim(F.translate("text", "\n", " ")) == "")
+    left = left.where(~F.coalesce(emptied, F.lit(False)))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        left = left.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
+
+
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicates (3-word shingles, at most 2 differing bits): one document of each group stays."""
+    return simhash.one_per_component(docs, shingle=3, max_distance=2)
+
+
+def no_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that hold a copy of an item go."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: the last stage; one row per sequence."""
-    return packing.pack(docs, TOKENIZER)
+    """Packing: one row per sequence, with its ids."""
+    return packing.pack(docs, TOKENIZER, end_id=1, max_length=2048)
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("language", known_language),
+    ("line_templates", fresh_lines),
+    ("simhash", no_near_copies),
+    ("decontamination", no_test_items),
+    ("packing", packed),
+]
 
+# Language models, fingerprints, alignment and the tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages in order to ``documents``; each stage's rows are written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for number, (name, stage) in enumerate(STAGES):
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             path = fresh_dir(spark, f"llm-stage-{number}")
