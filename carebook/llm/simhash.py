@@ -299,9 +299,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2) ->
     linked = nodes.join(reached.withColumnRenamed("node", "fingerprint"), "fingerprint")
     least = linked.groupBy("component").agg(F.min("least_id").alias("_least"))
     linked = linked.join(least, "component").select("fingerprint", "component", "_least")
-    named = nodes.join(linked, "fingerprint", "left").select(
+    named = stored(nodes.join(linked, "fingerprint", "left").select(
         "fingerprint", F.coalesce("component", "fingerprint").alias("component"),
-        F.when(F.col("component").isNull(), F.col("least_id")).otherwise(F.col("_least")).alias("component_id"))
+        F.when(F.col("component").isNull(), F.col("least_id")).otherwise(F.col("_least")).alias("component_id")), "named")
+    # A table on either side: Spark can split the rows of a fingerprint that very many texts share.
     return prints.join(named, "fingerprint").select(
         "doc_id", "text_key", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id", "component")
 
