@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carebook.operators.broadcast import bounded_broadcast
 from carebook.session import fresh_dir
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -56,3 +57,25 @@ def has_rows(df: DataFrame) -> bool:
 def text_key(text) -> F.Column:
     """64-bit hash of a text (null: 42, the seed), to tell rows of one id apart."""
     return F.xxhash64(text)
+
+
+def quoted(name: str) -> F.Column:
+    """The column of this very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns of ``docs``), ``key_id`` and ``key_text``: a row's doc_id and
+    the hash of its text. Apart from these, no name of the input's is left to clash."""
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key_id"),
+                       text_key(F.col("text").cast("string")).alias("key_text"))
+
+
+def rows_without(docs: DataFrame, gone: DataFrame, max_listed: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, text_key) is not among ``gone``'s, with their own columns.
+
+    ``gone`` is broadcast only while it has at most ``max_listed`` rows.
+    """
+    listed = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text")).distinct()
+    same = F.col("key_id").eqNullSafe(F.col("gone_id")) & (F.col("key_text") == F.col("gone_text"))
+    return keyed(docs).join(bounded_broadcast(stored(listed, "gone"), max_listed), same, "left_anti").select("row.*")

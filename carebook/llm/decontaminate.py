@@ -19,16 +19,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carebook.llm.common import on_workers, stored, text_key
+from carebook.llm.common import on_workers, rows_without, stored, text_key
 from carebook.llm.tokenizing import slices
-from carebook.operators.broadcast import bounded_broadcast
 
 SEED_WORDS = 4
 RARE_FACTOR = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 BLOCK_WORDS = 1_000_000
-MAX_LISTED = 200_000
 SLICE = 8 << 20
 _BREAK = r"[^\p{L}\p{M}\p{N}]+"
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -296,7 +294,4 @@ def contaminated(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE
 
 def without_contaminated(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` that copy no item, with their own columns."""
-    gone = stored(contaminated(docs, items, min_score).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "contaminated")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (text_key(docs["text"].cast("string")) == F.col("__key"))
-    return docs.join(bounded_broadcast(gone, MAX_LISTED), same, "left_anti")
+    return rows_without(docs, contaminated(docs, items, min_score))

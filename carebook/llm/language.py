@@ -25,14 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebook.llm.common import on_workers, stored, text_key
+from carebook.llm.common import on_workers, rows_without, stored, text_key
 from carebook.llm.tokenizing import slices
 from carebook.operators.broadcast import bounded_broadcast
 
 ORDER = 4
 MAX_RUNS = 2_000_000
 MAX_LANGUAGES = 400
-MAX_LISTED = 200_000
 REJECT_SIGMAS = 8.0
 LEAST_SIGMA = 0.05  # nats a symbol; texts of one language differ that much at any length
 UNDETERMINED = "und"
@@ -353,6 +352,4 @@ def identify(docs: DataFrame, sigmas: float = REJECT_SIGMAS) -> DataFrame:
 
 def accepted(docs: DataFrame, sigmas: float = REJECT_SIGMAS) -> DataFrame:
     """The rows of ``docs`` that ``identify`` does not reject, with their own columns."""
-    gone = identify(docs, sigmas).where("rejected").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (text_key(docs["text"].cast("string")) == F.col("_key"))
-    return docs.join(bounded_broadcast(stored(gone, "rejected"), MAX_LISTED), same, "left_anti")
+    return rows_without(docs, identify(docs, sigmas).where("rejected"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carebook.llm.common import stored, text_key
+from carebook.llm.common import quoted, stored, text_key
 from carebook.operators.broadcast import bounded_broadcast
 
 VARIABLE = "<*>"
@@ -89,28 +89,36 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
             .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("drops")))
 
 
-def without_recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with recurring lines dropped from ``text``, and two more columns:
-    ``lines`` and ``lines_dropped``.
+def deduplicated(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY) -> DataFrame:
+    """``row`` (the columns of ``docs`` but ``text``), ``text`` without recurring
+    lines, ``lines`` and ``lines_dropped`` of every row of ``docs``.
 
     Lines end at ``\\n``; blank lines are no templates and stay. What stays is
     joined by ``\\n`` again, so a text without recurring lines is unchanged. A
     null text stays null with 0 lines; an empty text is one blank line. Of rows
     that share doc_id and text each is treated alike. The first document is the
     one with the smallest doc_id (nulls last). An empty table gives no rows.
-    Other columns are kept as they are, whatever their names, ``lines`` and
-    ``lines_dropped`` excepted.
     """
-    drops = dropped_lines(docs, depth, similarity).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"),
-                                                         F.col("drops").alias("__drops"))
-    text = docs["text"].cast("string")
-    split = docs.withColumns({"__lines": F.split(text, "\n"), "__text_key": text_key(text)}).drop("text")
-    joined = split.join(drops, split["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left")
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drops"))
-    kept = F.when(F.col("__drops").isNull(), F.col("__lines")).otherwise(F.transform(stay, lambda i: F.col("__lines")[i]))
-    return (joined.withColumn("text", F.array_join(kept, "\n"))
-            .withColumn("lines", _size("__lines")).withColumn("lines_dropped", _size("__drops"))
-            .select(*docs.columns, *[c for c in ("lines", "lines_dropped") if c not in docs.columns]))
+    drops = dropped_lines(docs, depth, similarity).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "drops")
+    text = F.col("text").cast("string")
+    # The lines are split before the join, so that they are a column, not an
+    # expression that is evaluated again for each line.
+    split = docs.select(F.struct(*[quoted(c).alias(c) for c in docs.columns if c != "text"]).alias("row"),
+                        F.col("doc_id").cast("long").alias("_doc_id"), text_key(text).alias("_text_key"), F.split(text, "\n").alias("_lines"))
+    joined = split.join(drops, F.col("_doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("drops"))
+    kept = F.when(F.col("drops").isNull(), F.col("_lines")).otherwise(F.transform(stay, lambda i: F.col("_lines")[i]))
+    return joined.select("row", F.array_join(kept, "\n").alias("text"), _size("_lines").alias("lines"), _size("drops").alias("lines_dropped"))
+
+
+def without_recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with its own columns, ``text`` without recurring lines (see ``deduplicated``)."""
+    return as_documents(deduplicated(docs, depth, similarity), docs.columns)
+
+
+def as_documents(found: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``deduplicated`` under the columns of its input."""
+    return found.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
 
 
 def _size(column: str) -> Column:

@@ -50,7 +50,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines whose template an earlier document has."""
-    return line_templates.without_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = line_templates.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "text", "lines", "lines_dropped")
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carebook.llm.common import has_rows, on_workers, stored, text_key
+from carebook.llm.common import has_rows, keyed, on_workers, stored, text_key
 from carebook.llm.components import connected_components
 from carebook.llm.tokenizing import slices
 from carebook.operators.broadcast import bounded_broadcast
@@ -319,8 +319,6 @@ def one_per_component(docs: DataFrame, shingle: int = 3, max_distance: int = 2)
     per_text = found.groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("_copies"))
     best = per_text.groupBy("component").agg(F.min(F.struct(order.alias("o"), F.col("_copies").alias("n"))).alias("_best"))
     keepers = best.select(F.col("_best.o.b").alias("_id"), F.col("_best.o.c").alias("_key"), F.col("_best.n").alias("_copies"))
-    kept = docs.withColumn("_text_key", text_key(F.col("text").cast("string"))).join(
-        keepers, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    once = kept.where("_copies = 1").select(*[docs[c] for c in docs.columns])
-    again = kept.where("_copies > 1").dropDuplicates(["_id", "_key"]).select(*[docs[c] for c in docs.columns])
-    return once.unionByName(again)
+    kept = keyed(docs).join(keepers, F.col("key_id").eqNullSafe(F.col("_id")) & (F.col("key_text") == F.col("_key")))
+    again = kept.where("_copies > 1").dropDuplicates(["key_id", "key_text"])
+    return kept.where("_copies = 1").unionByName(again).select("row.*")

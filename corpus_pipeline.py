@@ -25,13 +25,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line deduplication: lines whose template an earlier document has go, and
     documents of which nothing but blank lines is left. ``n_chars`` follows the text."""
-    left = line_templates.without_recurring_lines(docs)
+    found = line_templates.deduplicated(docs)
     emptied = (F.col("lines_dropped") > 0) & (F.trim(F.translate("text", "\n", " ")) == "")
-    left = left.where(~F.coalesce(emptied, F.lit(False)))
+    left = found.where(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        left = left.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return left.select(*docs.columns)
+        length = F.when(F.col("lines_dropped") > 0, F.length("text")).otherwise(F.col("row.n_chars"))
+        left = left.withColumn("row", F.col("row").withField("n_chars", length.cast(kind)))
+    return line_templates.as_documents(left, docs.columns)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
