@@ -268,8 +268,8 @@ def links(distinct: DataFrame, max_distance: int, max_trie: int = MAX_TRIE) -> D
         divided = F.create_map(*[F.lit(x) if isinstance(x, int) else x for m in masks for x in (
             _as_long(m), F.array(*[F.lit(_as_long(c)) for c in block_masks(m, blocks)]))])
         spread = spread.join(large, ["mask", "key"], "left_semi").select(
-            "fingerprint", F.explode(divided[F.col("mask")]).alias("mask"))
-        masks = [c for m in masks for c in block_masks(m, blocks)]
+            "fingerprint", F.explode(divided[F.col("mask")]).alias("mask")).distinct()  # two masks may divide into the same one
+        masks = sorted({c for m in masks for c in block_masks(m, blocks)})
     tries = spread if ready is None else ready.unionByName(spread)
     return (tries.select("mask", "key", "fingerprint").repartition("mask", "key").sortWithinPartitions("mask", "key")
             .mapInArrow(on_workers(__name__, "_trie_batches", max_distance), "u long, v long"))

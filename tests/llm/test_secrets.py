@@ -1,0 +1,64 @@
+"""The automaton and the secret scan against regular expressions."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from carebook.llm import secrets
+from carebook.llm.automaton import Automaton
+from tests.llm.data import documents, empty, odd_rows
+
+BASE = [
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), lambda m: len(m[2]) >= 12),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
+    ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16),
+    ("pem", re.compile(r"-----BEGIN\x20([A-Z\x20]+)"), lambda m: len(m[1]) >= 22),
+]
+PARTS = ["password", "Passwd", "SECRET", "token", "apikey", "api_key", '"', "'", " ", "  ", "=", ":", "abcdef0123456789", "AKIA", "ABCDEFGH12345678",
+         "é", "\n", "x", "-----BEGIN ", "RSA PRIVATE KEY AND MORE", "-----", "deadbeef", ".", "/", "ß", "0", "\x00"]
+
+
+def spans(text):
+    return sorted((m.start(), k, m.end()) for k, (_, rule, ok) in enumerate(BASE) for m in rule.finditer(text) if ok(m))
+
+
+def texts(seed, n=60):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(PARTS) for _ in range(rnd.randint(0, 60))) for _ in range(n)]
+
+
+SCANNER = secrets.Scanner.of_arrays(secrets.compiled())
+
+
+def test_spans_equal_regular_expressions():
+    for seed in range(40):
+        batch = texts(seed)
+        assert SCANNER.scan([t.encode() for t in batch]) == [spans(t) for t in batch]
+    assert SCANNER.scan([]) == [] and SCANNER.scan([b""]) == [[]]
+
+
+def test_a_text_without_reset_bytes():
+    text = "a" * 300_000 + "token=abcdefghijkl0 "
+    assert SCANNER.scan([text.encode(), b"secret=0123456789ab"]) == [spans(text), spans("secret=0123456789ab")]
+
+
+def test_minimal_automaton():
+    a = Automaton([r"(?:ab|cb)+"], anywhere=False)
+    assert len(a.next) == 4  # start, after a or c, after b, dead
+    assert [a.longest(t, 0) for t in (b"abcbx", b"b", b"a", b"ab")] == [4, -1, -1, 2]
+    assert Automaton([r"[^a-z]x{2,3}"], anywhere=False).longest(b"1xxxx", 0) == 4
+
+
+def test_find_secrets(spark):
+    rows = odd_rows(random.Random(5)) + [(300 + i, t) for i, t in enumerate(texts(99, 80))]
+    got = secrets.secret_digests(secrets.find_secrets(documents(spark, rows).repartition(3))).collect()
+    want = []
+    for i, t in rows:
+        found = [(BASE[k][0], a, b) for a, k, b in spans(t or "")]
+        base = ",".join(f"{k}:{a}:{b}" for k, a, b in found if k != "pem")
+        n = [sum(k == kind for k, _, _ in found) for kind in ("assign", "access", "hex")]
+        want.append((i or -1, *n, hashlib.sha256(base.encode()).hexdigest(), ",".join(f"{k}:{a}:{b}" for k, a, b in found)))
+    assert sorted((r[0] or -1, *r[1:]) for r in got) == sorted(want)
+    assert secrets.find_secrets(empty(spark)).count() == 0
