@@ -299,7 +299,7 @@ def _score_batches(batches: Iterator[pa.RecordBatch], shared, carried: list[str]
 
 
 def scored(docs: DataFrame, model: dict) -> DataFrame:
-    """``doc_id``, ``text_key`` and, of each row, ``lang_pred``, ``score``, ``entropy`` and ``symbols``.
+    """``doc_id``, ``text_key``, ``lang`` (as it came) and, of each row, ``lang_pred``, ``score``, ``entropy`` and ``symbols``.
 
     ``score`` (0 to 1) is the share of the named language when each language
     weighs exp(-cross-entropy). Texts that are null or have no letter are
@@ -308,9 +308,9 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded: see fit
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text").cast("string")).alias("text_key"),
-                       F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(on_workers(__name__, "_score_batches", shared, ["doc_id", "text_key"]),
-                           "doc_id long, text_key long, lang_pred string, score double, entropy double, symbols long")
+                       F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(on_workers(__name__, "_score_batches", shared, ["doc_id", "text_key", "lang"]),
+                           "doc_id long, text_key long, lang string, lang_pred string, score double, entropy double, symbols long")
 
 
 def calibrated(scores: DataFrame, training: Column, sigmas: float = REJECT_SIGMAS) -> DataFrame:
@@ -340,14 +340,15 @@ def identify(docs: DataFrame, sigmas: float = REJECT_SIGMAS) -> DataFrame:
     ``lang``; a prediction uses the text alone. Returns ``doc_id``, ``text_key``,
     ``held_out``, ``lang_pred``, ``score`` (0 to 1), ``entropy``, ``symbols``
     and ``rejected``. Null texts and texts without a letter are ``und`` with
-    score 0 and rejected; without any labelled row every text is. Ties go to
+    score 0 and rejected; without any labelled row every text is. Calibration
+    takes the labelled rows whose language was named rightly. Ties go to
     the alphabetically first language. Repeated rows are each scored; very long
     texts are read whole; other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang")
     model = fit(rows.where(~held_out(F.col("doc_id"))))
     scores = stored(scored(rows, model), "languages").withColumn("held_out", held_out(F.col("doc_id")))
-    return calibrated(scores, ~F.col("held_out"), sigmas)
+    return calibrated(scores, ~F.col("held_out") & F.col("lang").eqNullSafe(F.col("lang_pred")), sigmas).drop("lang")
 
 
 def accepted(docs: DataFrame, sigmas: float = REJECT_SIGMAS) -> DataFrame:

@@ -1,12 +1,13 @@
 """Exact, bounded-memory encoding with a `tokenizers` file on Arrow batches.
 
-Byte-level BPE with the usual pre-tokenizer never forms a token across a
-position before a single space that is followed by a visible character: a
-word takes the space before it, and a run of white space gives its last space
-to the next word. Texts are cut there, each distinct piece of a batch is
-encoded once (a worker keeps the ids of pieces it has seen, up to a bound) and
-the ids are gathered by piece. The result equals encoding the whole text; the
-tests compare the two, also on odd white space and non-Latin text.
+Byte-level BPE with the usual pre-tokenizer never forms a token across two kinds
+of position: before a white-space character that is followed by a visible one
+(a run of white space is cut before its last character in any case), and
+between a letter or digit and punctuation other than an apostrophe. Texts are
+cut there, each distinct piece of a batch is encoded once (a worker keeps the
+ids of pieces it has seen, up to a bound) and the ids are gathered by piece.
+The result equals encoding the whole text; the tests compare the two, also on
+odd white space, contractions, special tokens and non-Latin text.
 """
 
 from __future__ import annotations
@@ -16,19 +17,23 @@ import os
 import numpy as np
 import pyarrow as pa
 
-# Texts are cut before a space only if the byte after it is none of these: ASCII
+# Texts are cut before white space only if the byte after it is none of these:
 # white space, or the first byte of a UTF-8 white-space character.
 _NO_CUT_AFTER = np.zeros(256, bool)
 _NO_CUT_AFTER[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_WORD = np.zeros(256, bool)
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 ENCODE_BYTES = 256 << 10
 
 
 class PieceEncoder:
     """Ids of whole texts; keeps the ids of at most ``max_kept`` pieces."""
 
-    def __init__(self, path: str, max_kept: int = 300_000):
+    def __init__(self, path: str, max_kept: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -38,6 +43,10 @@ class PieceEncoder:
             self.byte_length[i] = len(token)
         for i, token in self.tokenizer.get_added_tokens_decoder().items():
             self.byte_length[i] = len(token.content.encode())
+        # Punctuation before which a word may be cut: none that lies inside a special token.
+        inside = {c for t in self.tokenizer.get_added_tokens_decoder().values() for c in t.content[1:]}
+        self.punctuation = np.zeros(256, bool)
+        self.punctuation[[c for c in range(33, 127) if not _WORD[c] and chr(c) not in inside | {"'"}]] = True
         self.max_kept = max_kept
         self.slot: dict[bytes, int] = {}
         self.ends = np.zeros(1, np.int64)
@@ -61,8 +70,7 @@ class PieceEncoder:
             run, size = [], 0
 
         for at, piece in enumerate(pieces):
-            # A piece that starts a text may not follow another one unchanged.
-            if piece[:1] != b" " or len(piece) < 2 or _NO_CUT_AFTER[piece[1]]:
+            if not _follows(piece):
                 flush()
                 ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
                 out.append(np.array(ids, np.int32))
@@ -80,8 +88,8 @@ class PieceEncoder:
         found = np.fromiter((slot.get(p, -1) for p in pieces), np.int64, len(pieces))
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            # Text starts last, so that the others are encoded in long runs.
-            missing = missing[np.argsort([pieces[i][:1] != b" " for i in missing], kind="stable")]
+            # Pieces that begin with white space first, to be encoded in long runs.
+            missing = missing[np.argsort([not _follows(pieces[i]) for i in missing], kind="stable")]
             ids, ends = self._encode_new([pieces[i] for i in missing])
             base = len(self.ends) - 1
             all_ids = np.concatenate([self.ids, ids])
@@ -105,7 +113,8 @@ class PieceEncoder:
         data = texts.buffers()[2].slice(low, high - low)
         raw = np.frombuffer(data, np.uint8)
         cut = np.zeros(len(raw) + 1, bool)
-        cut[:-2] = (raw[:-1] == 32) & ~_NO_CUT_AFTER[raw[1:]]
+        cut[:-2] = _WHITE[raw[:-1]] & ~_NO_CUT_AFTER[raw[1:]]
+        cut[1:-1] |= _WORD[raw[:-1]] & self.punctuation[raw[1:]]
         cut[offsets - low] = True
         cuts = np.flatnonzero(cut)
         pieces = pa.Array.from_buffers(pa.binary(), len(cuts) - 1,
@@ -115,6 +124,11 @@ class PieceEncoder:
         return pa.ListArray.from_arrays(pa.array(ends[np.searchsorted(cuts, offsets - low)]), per_piece.values)
 
 
+def _follows(piece: bytes) -> bool:
+    """Whether a piece keeps its ids after any other one: it begins with white space and a visible character."""
+    return len(piece) > 1 and bool(_WHITE[piece[0]]) and not _NO_CUT_AFTER[piece[1]]
+
+
 def gather(ids: np.ndarray, ends: np.ndarray, which: np.ndarray) -> pa.ListArray:
     """The runs of ``ids`` numbered ``which``; run i is ids[ends[i]:ends[i + 1]]."""
     lengths = (ends[1:] - ends[:-1])[which]
