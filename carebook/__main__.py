@@ -3,7 +3,7 @@
     python -m carebook list
     python -m carebook run JOB INPUT_DIR OUTPUT_PATH
     python -m carebook stream TRANSFORM INPUT_DIR OUTPUT_PATH CHECKPOINT_PATH
-        [--trigger "1 minute" | --available-now] [--max-files N]
+        [--trigger "1 minute" | --available-now] [--max-files N | --max-bytes N]
 
 ``stream`` appends a Structured Streaming query's output to parquet; restart
 it with the same checkpoint to resume where it stopped.
@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     stream.add_argument("--trigger", default="1 minute", help="processing-time trigger interval")
     stream.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     stream.add_argument("--max-files", type=int, default=None, help="files per micro-batch")
+    stream.add_argument("--max-bytes", type=int, default=None,
+                        help="bytes per micro-batch; files that arrive out of time order can then come late")
     args = parser.parse_args(argv)
 
     if args.cmd == "list":
@@ -54,7 +56,8 @@ def main(argv: list[str] | None = None) -> int:
 
     from carebook.streaming.sink import start_to_parquet
     from carebook.streaming.source import read_entries_table_stream
-    entries = read_entries_table_stream(spark, args.input_dir, max_files_per_trigger=args.max_files)
+    entries = read_entries_table_stream(spark, args.input_dir, max_files_per_trigger=args.max_files,
+                                        max_bytes_per_trigger=args.max_bytes)
     out = TRANSFORMS[args.transform](spark, args.input_dir, entries)
     q = start_to_parquet(out, args.output_path, args.checkpoint_path, processing_time=args.trigger,
                          available_now=args.available_now, query_name=f"carebook_{args.transform}")

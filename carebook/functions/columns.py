@@ -16,8 +16,11 @@ MICROS_PER_HOUR = 3_600_000_000
 MICROS_PER_MINUTE = 60_000_000
 
 # Amounts have at most two decimals. Each is read as this exact type (half-up
-# rounding of the double) and summed in whole cents as a long.
-MONEY = "decimal(12,2)"
+# rounding of the double) and summed in whole cents as a long. An amount that is
+# not finite, or not below a million millions, has no value here: it is left out
+# of sums, and the quality report counts it.
+MONEY = "decimal(14,2)"
+MONEY_BELOW = 1e12
 
 
 def col_(c: str | Column) -> Column:
@@ -26,7 +29,7 @@ def col_(c: str | Column) -> Column:
 
 def money(c: str | Column) -> Column:
     """An amount as an exact decimal, ready to be summed."""
-    return col_(c).cast(MONEY)
+    return col_(c).try_cast(MONEY)
 
 
 def cents(c: str | Column) -> Column:
@@ -45,6 +48,12 @@ def exact_sum(c: str | Column) -> Column:
     return F.sum(cents(c)) / 100
 
 
+def is_finite(c: str | Column) -> Column:
+    """Whether a double is neither NaN nor infinite (null for null)."""
+    c = col_(c)
+    return ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))) & c.isNotNull()
+
+
 def day_of(c: str | Column) -> Column:
     """Calendar day of a TIMESTAMP_NTZ (time-zone free)."""
     return F.to_date(col_(c))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,23 +14,13 @@ def missing_days(days: DataFrame, key: Sequence[str], day: str, start: dt.date,
     """For every key present in ``days`` (key, day), each date in [start, end]
     on which the key has no row.
 
-    Instead of pairing every key with every date and anti-joining, each key's
-    own dates in the period are bracketed by the sentinels start-1 and end+1,
-    sorted, and every gap between neighbours is expanded with ``sequence``.
-    Work is proportional to the key's distinct days plus the output; the
-    per-key window holds at most (period length + 2) rows.
+    One aggregate gathers each key's distinct dates within the period, at most
+    as many as the period has, in every map task before the shuffle; the dates
+    missing from the period's sequence are then expanded. One scan, one shuffle,
+    and work in proportion to the distinct days and the output.
     """
     key = list(key)
-    distinct_days = days.select(*key, F.col(day).alias(out)).distinct()
-    in_period = distinct_days.where(F.col(out).between(F.lit(start), F.lit(end)))
-    sentinels = distinct_days.select(*key).distinct().select(
-        *key, F.explode(F.array(F.lit(start - dt.timedelta(days=1)),
-                                F.lit(end + dt.timedelta(days=1)))).alias(out))
-    w = Window.partitionBy(*key).orderBy(out)
-    prev = F.lag(out).over(w)
-    return (
-        in_period.unionByName(sentinels)
-        .withColumn("_prev", prev)
-        .where(F.datediff(F.col(out), F.col("_prev")) > 1)
-        .select(*key, F.explode(F.sequence(F.date_add("_prev", 1), F.date_sub(F.col(out), 1))).alias(out))
-    )
+    in_period = F.when(F.col(day).between(F.lit(start), F.lit(end)), F.col(day))
+    seen = days.groupBy(*key).agg(F.collect_set(in_period).alias("_seen"))
+    period = F.sequence(F.lit(start), F.lit(end))
+    return seen.select(*key, F.explode(F.array_except(period, "_seen")).alias(out))

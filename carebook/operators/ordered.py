@@ -25,28 +25,30 @@ bucket-level summary (a sort-based aggregate when it keeps a whole last row).
 For dense keys (many rows per bucket) that is small. For sparse keys (about
 one row per bucket, like visits per customer-day) the window shuffle nearly
 doubles: ``visit_gaps`` on 4.5M visits took 8.2-8.5 s bucketed against
-2.3-2.8 s for a plain per-person window (local[8]). ``previous_in_order``
-therefore routes only hot keys (more rows than ``plain_below``, a list whose
-size is checked before it is broadcast) through the buckets and gives the
-rest a plain window: 4.5-4.6 s on the same data, the difference being the
-pass that counts rows per key. ``episodes`` does the same;
-``running_total_and_trailing_count`` still buckets every key.
+2.3-2.8 s for a plain per-person window (local[8]). With ``plain_below``, all
+three operators therefore cut only hot keys (more rows than that) into buckets.
+The hot keys are counted once, written to the shared folder and joined
+null-safe, so rows without a person are a hot key like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carebook.functions.columns import cents, time_bucket
+from carebook.functions.columns import cents, ntz_micros, time_bucket
+from carebook.operators.broadcast import bounded_broadcast
+from carebook.session import fresh_dir
 
 BUCKET = "_bucket"
+HOT = "_hot"
 KIND = "_row_kind"  # 0: carry row, 1: real row, 2: shadow row (see trailing counts)
 
 _UNBOUNDED_PRECEDING = Window.unboundedPreceding
-_UNBOUNDED_FOLLOWING = Window.unboundedFollowing
 _CURRENT = Window.currentRow
 
 
@@ -54,6 +56,33 @@ def _interval_seconds(seconds: int) -> Column:
     return F.expr(f"INTERVAL {int(seconds)} SECONDS")
 
 
+def _hot_keys(df: DataFrame, key: list, plain_below: int, max_hot_keys: int) -> DataFrame | None:
+    """The keys with more than ``plain_below`` rows, or None if there are none.
+
+    Counted once, when the plan is built (one aggregate over the key columns),
+    and written to the shared folder, so no plan counts them again. Broadcast
+    only while there are at most ``max_hot_keys``; beyond that the list is
+    joined without a hint. A null key is a key like any other.
+    """
+    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > plain_below)
+           .select(*[F.col(k).alias(f"_hot_key_{i}") for i, k in enumerate(key)], F.lit(True).alias(HOT)))
+    path = fresh_dir(df.sparkSession, "hot-keys")
+    hot.write.parquet(path)
+    listed = df.sparkSession.read.schema(hot.schema).parquet(path)
+    return bounded_broadcast(listed, max_hot_keys) if listed.limit(1).count() else None
+
+
+def _flag_hot(df: DataFrame, key: list, plain_below: int | None, max_hot_keys: int) -> DataFrame | None:
+    """``df`` with HOT (true or null), or None if no key is hot. Without a threshold every key is."""
+    if plain_below is None:
+        return df.withColumn(HOT, F.lit(True))
+    hot = _hot_keys(df, key, plain_below, max_hot_keys)
+    if hot is None:
+        return None
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_key_{i}")) for i, k in enumerate(key)]
+    return df.join(hot, reduce(and_, same), "left").drop(*[f"_hot_key_{i}" for i in range(len(key))])
+
+
 def previous_in_order(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column,
                       carry: Sequence[str], out: str = "prev", plain_below: int | None = None,
                       max_hot_keys: int = 100_000) -> DataFrame:
@@ -63,44 +92,15 @@ def previous_in_order(df: DataFrame, key: Sequence[str], order: Sequence[str], b
     ``bucket`` must not decrease along ``order`` within a key (for example the
     day of the leading timestamp). ``order`` should be unique per key.
 
-    With ``plain_below`` set, only keys with more rows than that go through
-    the buckets; the others take a plain per-key window, where one task holds
-    at most ``plain_below`` rows of a key and no carry rows are needed. The
-    keys above the threshold are counted when the plan is built (one
-    aggregate over the key column) and broadcast only if there are at most
-    ``max_hot_keys`` of them; with more, every key goes through the buckets.
-    Either route gives the same rows.
+    With ``plain_below`` set, only keys with more rows than that are cut into
+    buckets; a key under it is one bucket, of at most ``plain_below`` rows, and
+    needs no carry rows. Either way gives the same rows.
     """
     key, order, carry = list(key), list(order), list(carry)
-    return _route_hot_keys(
-        df, key, plain_below, max_hot_keys,
-        plain=lambda part: _previous_plain(part, key, order, carry, out),
-        bucketed=lambda part: _previous_bucketed(part, key, order, bucket, carry, out))
-
-
-def _route_hot_keys(df: DataFrame, key: list, plain_below: int | None, max_hot_keys: int,
-                    plain, bucketed) -> DataFrame:
-    """Apply ``bucketed`` to the rows of keys with more than ``plain_below``
-    rows and ``plain`` to the rest, and union the two.
-
-    The hot keys are counted when the plan is built (one aggregate over the key
-    column) and broadcast only if there are at most ``max_hot_keys``; with more,
-    or with no threshold, every row goes the bucketed way. Rows without a key
-    never match the list and go the plain way, as one group, like SQL.
-    """
-    if plain_below is None:
-        return bucketed(df)
-    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > plain_below).select(*key))
-    n_hot = hot.limit(max_hot_keys + 1).count()
-    if n_hot > max_hot_keys:
-        return bucketed(df)
-    if n_hot == 0:
-        return plain(df)
-    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    cold = flagged.where(F.col("_hot").isNull()).drop("_hot")
-    hot_rows = flagged.where(F.col("_hot")).drop("_hot")
-    return plain(cold).unionByName(bucketed(hot_rows))
+    d = _flag_hot(df, key, plain_below, max_hot_keys)
+    if d is None:
+        return _previous_plain(df, key, order, carry, out)
+    return _previous_bucketed(d.withColumn(BUCKET, F.when(F.col(HOT), bucket)), key, order, carry, out)
 
 
 def _previous_plain(df: DataFrame, key: list, order: list, carry: list, out: str) -> DataFrame:
@@ -108,13 +108,11 @@ def _previous_plain(df: DataFrame, key: list, order: list, carry: list, out: str
     return df.withColumn(out, F.lag(F.struct(*[F.col(c) for c in carry])).over(w))
 
 
-def _previous_bucketed(df: DataFrame, key: list, order: list, bucket: Column, carry: list,
-                       out: str) -> DataFrame:
-    d = df.withColumn(BUCKET, bucket)
+def _previous_bucketed(d: DataFrame, key: list, order: list, carry: list, out: str) -> DataFrame:
     tail_fields = order + [c for c in carry if c not in order]
 
-    # Day level: the last row of each (key, bucket), moved to the next bucket.
-    tails = d.groupBy(*key, BUCKET).agg(F.max(F.struct(*tail_fields)).alias("_tail"))
+    # Bucket level: the last row of each hot (key, bucket), moved to the next bucket.
+    tails = d.where(HOT).groupBy(*key, BUCKET).agg(F.max(F.struct(*tail_fields)).alias("_tail"))
     carries = (
         tails.withColumn("_prev_tail", F.lag("_tail").over(Window.partitionBy(*key).orderBy(BUCKET)))
         .where(F.col("_prev_tail").isNotNull())
@@ -129,80 +127,91 @@ def _previous_bucketed(df: DataFrame, key: list, order: list, bucket: Column, ca
         rows.unionByName(carries, allowMissingColumns=True)
         .withColumn(out, F.lag("_carry").over(w))
         .where(F.col(KIND) == 1)
-        .drop(KIND, "_carry", BUCKET)
+        .drop(KIND, "_carry", BUCKET, HOT)
     )
 
 
 def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str, tiebreak: str,
                                      value: str, days: int, total_out: str = "running_value",
                                      count_out: str = "trailing_entries",
-                                     bucket_seconds: int = 86_400) -> DataFrame:
+                                     bucket_seconds: int = 86_400, plain_below: int | None = None,
+                                     max_hot_keys: int = 100_000) -> DataFrame:
     """Per row of each key:
 
     * ``total_out``: exact running sum of ``value`` in (``ts``, ``tiebreak``)
-      order, this row included (``ROWS UNBOUNDED PRECEDING``), summed in whole
-      cents and reported as double;
+      order, nulls first, this row included (``ROWS UNBOUNDED PRECEDING``),
+      summed in whole cents and reported as double;
     * ``count_out``: rows of the key with ``ts`` in [ts - ``days`` days, ts],
-      ties on ``ts`` included (``RANGE INTERVAL n DAYS PRECEDING``).
+      ties on ``ts`` included (``RANGE INTERVAL n DAYS PRECEDING``); for a row
+      without ``ts``, the key's rows without one.
 
     Windows are partitioned by (key, bucket of ``ts``), ``bucket_seconds``
-    wide, which must divide the window (n days) into k whole buckets. For an
-    entry at time t in bucket b the trailing count is
-
-    * rows of bucket b with ts <= t                 (range frame in the bucket),
-    * plus all rows of buckets b-(k-1) .. b-1      (bucket-level range frame),
-    * plus rows of bucket b-k with ts >= t - n days.
-
-    The last term needs bucket b-k's rows next to bucket b's: each row is also
-    sent, shifted by n days, as a *shadow row* into bucket b+k. Shadows carry
-    four narrow columns only.
+    wide, which must divide the window (n days) into k whole buckets. With
+    ``plain_below`` set, a key of at most that many rows is one bucket. Each
+    row is also sent, shifted by n days, as a narrow *shadow row*: into bucket
+    b+k of a hot key, into the one bucket of another. A sum up to each row costs
+    the same for every row, so no frame is gone through again per row. The
+    trailing count of an entry at time t in bucket b is
+
+    * rows of the bucket with ts <= t,
+    * less shadows in the bucket strictly before t (rows older than t - n days),
+    * and for a hot key, plus all shadows of the bucket (with the term before:
+      rows of bucket b-k not older than t - n days), plus all rows of buckets
+      b-(k-1) .. b-1 (a frame over the bucket summary).
     """
     key = list(key)
     window_seconds = int(days) * 86_400
     if bucket_seconds <= 0 or window_seconds % bucket_seconds:
         raise ValueError("bucket_seconds must divide the trailing window")
     k = window_seconds // bucket_seconds
-    d = (df.withColumn(BUCKET, time_bucket(ts, bucket_seconds))
-         .withColumn("_v", cents(value)))
-
-    summary = d.groupBy(*key, BUCKET).agg(
-        F.sum("_v").alias("_bucket_sum"), F.count(F.lit(1)).alias("_bucket_n"))
-    per_key = Window.partitionBy(*key).orderBy(BUCKET)
-    carries = summary.select(
-        *key, BUCKET, F.lit(0).alias(KIND),
-        F.sum("_bucket_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1)).alias("_v"),
-        F.sum("_bucket_n").over(per_key.rangeBetween(-(k - 1), -1)).alias("_recent"),
-    )
-    # Each entry and its shadow come out of one scan: every row is emitted
-    # twice (kind 1 as itself, kind 2 shifted n days into bucket b+k); the
-    # shadow keeps only the key, bucket and shifted time.
+    flagged = _flag_hot(df, key, plain_below, max_hot_keys)
+    any_hot = flagged is not None
+    d = (flagged if any_hot else df.withColumn(HOT, F.lit(None).cast("boolean")))
+    d = (d.withColumn(BUCKET, F.when(F.col(HOT), time_bucket(ts, bucket_seconds)))
+         .withColumn("_v", cents(value)).withColumn("_tm", ntz_micros(ts)))
+
+    # Each entry and its shadow come out of one scan: a row is emitted twice
+    # (kind 1 as itself, kind 2 shifted); the shadow keeps only the key, bucket
+    # and shifted time. A row without a time has no shadow.
     real = F.col(KIND) == 1
-    rows = (d.withColumn(KIND, F.explode(F.array(F.lit(1), F.lit(2))))
-            .select(*key, F.when(real, F.col(BUCKET)).otherwise(F.col(BUCKET) + k).alias(BUCKET), KIND,
-                    F.when(real, F.col(ts)).alias(ts), F.when(real, F.col(tiebreak)).alias(tiebreak),
-                    F.when(real, F.col("_v")).alias("_v"),
-                    F.when(real, F.col(ts)).otherwise(F.col(ts) + F.expr(f"INTERVAL {int(days)} DAYS"))
-                    .alias("_t"),
-                    *[F.when(real, F.col(c)).alias(c) for c in df.columns if c not in (*key, ts, tiebreak)]))
-
-    u = rows.unionByName(carries, allowMissingColumns=True)
-    # One sort serves every window: rows run by (_t, kind, tiebreak). Carry
-    # rows have no _t and come first; a shadow row adds nothing to the running
-    # sum; the range frames order by _t alone, a prefix of the same sort.
+    kinds = F.when(F.col("_tm").isNull(), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2)))
+    u = (d.withColumn(KIND, F.explode(kinds))
+         .select(*key, HOT, F.when(real, F.col(BUCKET)).otherwise(F.col(BUCKET) + k).alias(BUCKET), KIND,
+                 F.when(real, F.col(ts)).alias(ts), F.when(real, F.col(tiebreak)).alias(tiebreak),
+                 F.when(real, F.col("_v")).alias("_v"),
+                 F.when(real, F.col("_tm")).otherwise(F.col("_tm") + window_seconds * 1_000_000).alias("_tm"),
+                 *[F.when(real, F.col(c)).alias(c) for c in df.columns if c not in (*key, ts, tiebreak)]))
+    recent = F.lit(0)
+    if any_hot:
+        summary = d.where(HOT).groupBy(*key, BUCKET).agg(
+            F.sum("_v").alias("_bucket_sum"), F.count(F.lit(1)).alias("_bucket_n"))
+        per_key = Window.partitionBy(*key).orderBy(BUCKET)
+        carries = summary.select(
+            *key, BUCKET, F.lit(0).alias(KIND),
+            F.sum("_bucket_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1)).alias("_v"),
+            F.sum("_bucket_n").over(per_key.rangeBetween(-(k - 1), -1)).alias("_recent"),
+        )
+        u = u.unionByName(carries, allowMissingColumns=True)
+        recent = F.coalesce(F.max("_recent").over(Window.partitionBy(*key, BUCKET)), F.lit(0))
+
+    # One sort serves every window: rows run by (_tm, kind, tiebreak). Carry
+    # rows have no _tm and come first; a shadow row adds nothing to the running
+    # sum; the range frames order by _tm alone, a prefix of the same sort.
     part = Window.partitionBy(*key, BUCKET)
-    in_order = part.orderBy(F.col("_t"), F.col(KIND), F.col(tiebreak)).rowsBetween(_UNBOUNDED_PRECEDING, _CURRENT)
-    by_time = part.orderBy(F.col("_t"))
-    is_real = (F.col(KIND) == 1).cast("int")
+    in_order = part.orderBy(F.col("_tm"), F.col(KIND), F.col(tiebreak)).rowsBetween(_UNBOUNDED_PRECEDING, _CURRENT)
+    by_time = part.orderBy(F.col("_tm"))
+    upto, before = by_time.rangeBetween(_UNBOUNDED_PRECEDING, _CURRENT), by_time.rangeBetween(_UNBOUNDED_PRECEDING, -1)
+    untimed = F.col("_tm").isNull()
     is_shadow = (F.col(KIND) == 2).cast("int")
+    timed_upto = F.sum((real & ~untimed).cast("int")).over(upto)
+    shadows_before = F.coalesce(F.sum(is_shadow).over(before), F.lit(0))
+    carried = F.when(F.col(HOT), F.sum(is_shadow).over(part) + recent).otherwise(0)
     return (
         u.withColumn(total_out, F.sum("_v").over(in_order) / 100)
-        .withColumn(count_out, (
-            F.sum(is_real).over(by_time.rangeBetween(_UNBOUNDED_PRECEDING, _CURRENT))
-            + F.sum(is_shadow).over(by_time.rangeBetween(_CURRENT, _UNBOUNDED_FOLLOWING))
-            + F.coalesce(F.max("_recent").over(part), F.lit(0))
-        ).cast("long"))
+        .withColumn(count_out, F.when(untimed, F.sum((real & untimed).cast("int")).over(upto))
+                    .otherwise(timed_upto - shadows_before + carried).cast("long"))
         .where(F.col(KIND) == 1)
-        .drop(KIND, "_v", "_t", "_recent", BUCKET)
+        .drop(KIND, "_v", "_tm", "_recent", BUCKET, HOT)
     )
 
 
@@ -212,7 +221,7 @@ def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int,
     """Runs of a key's rows in which no two consecutive rows are more than
     ``gap_seconds`` apart (a gap of exactly ``gap_seconds`` joins the run).
 
-    Returns one row per run: ``key``, ``episode_start`` (first ``ts``),
+    Rows without ``ts`` are in no run. Returns one row per run: ``key``, ``episode_start`` (first ``ts``),
     ``episode_end`` (last ``ts`` + gap, as ``session_window`` reports it) and
     ``entries``.
 
@@ -223,15 +232,18 @@ def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int,
     about bucket / gap + 1 rows per person-bucket.
 
     With ``plain_below`` set, only keys with more rows than that take the two
-    levels; the rest take one plain per-key window (see ``_route_hot_keys``).
+    levels; the rest take one plain per-key window.
     """
     key = list(key)
     gap = _interval_seconds(gap_seconds)
-    d = df.select(*key, ts)
-    return _route_hot_keys(
-        d, key, plain_below, max_hot_keys,
-        plain=lambda part: _episodes_plain(part, key, ts, gap),
-        bucketed=lambda part: _episodes_bucketed(part, key, ts, gap, bucket_seconds))
+    d = df.select(*key, ts).where(F.col(ts).isNotNull())
+    flagged = _flag_hot(d, key, plain_below, max_hot_keys)
+    if flagged is None:
+        return _episodes_plain(d, key, ts, gap)
+    hot = _episodes_bucketed(flagged.where(HOT).drop(HOT), key, ts, gap, bucket_seconds)
+    if plain_below is None:
+        return hot
+    return _episodes_plain(flagged.where(F.col(HOT).isNull()).drop(HOT), key, ts, gap).unionByName(hot)
 
 
 def _episodes_plain(d: DataFrame, key: list, ts: str, gap: Column) -> DataFrame:

@@ -25,6 +25,16 @@ ORACLE_SQL: dict[str, str] = {
                CAST(count(*) FILTER (WHERE json_extract_string(props, '$.k') IS NULL) AS BIGINT)
         FROM events
         UNION ALL
+        SELECT unnest(['null_time', 'null_id', 'not_finite_amount', 'out_of_range_amount', 'sub_cent_amount', 'unlisted_kind']),
+               unnest([count(*) FILTER (WHERE ts IS NULL), count(*) FILTER (WHERE event_id IS NULL),
+                       count(*) FILTER (WHERE NOT isfinite(value)),
+                       count(*) FILTER (WHERE isfinite(value) AND abs(value) >= 1e12),
+                       count(*) FILTER (WHERE isfinite(value) AND abs(value) < 1e12
+                                          AND CAST(TRY_CAST(value AS DECIMAL(14,2)) AS DOUBLE) <> value),
+                       count(*) FILTER (WHERE event_type IS NULL
+                                          OR event_type NOT IN ('click', 'error', 'purchase', 'signup', 'view'))])
+        FROM events
+        UNION ALL
         SELECT 'unknown_person', CAST(count(*) AS BIGINT) FROM events e
         WHERE e.user_id IS NOT NULL
           AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id)
@@ -59,14 +69,14 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "person_day_services": """
         SELECT user_id, CAST(ts AS DATE) AS day, event_type, CAST(count(*) AS BIGINT) AS entries,
-               CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value
+               CAST(sum(TRY_CAST(value AS DECIMAL(14,2))) AS DOUBLE) AS total_value
         FROM events GROUP BY 1, 2, 3
     """,
     "worker_month_load": """
         SELECT l_suppkey, CAST(year(o_orderdate) AS BIGINT) AS year, CAST(month(o_orderdate) AS BIGINT) AS month,
                CAST(count(DISTINCT o_orderkey) AS BIGINT) AS visits,
                CAST(count(DISTINCT o_custkey) AS BIGINT) AS persons,
-               CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS quantity
+               CAST(sum(TRY_CAST(l_quantity AS DECIMAL(14,2))) AS DOUBLE) AS quantity
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         GROUP BY 1, 2, 3
     """,
@@ -79,11 +89,13 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "district_by_kind": """
         SELECT n_nationkey, n_name,
-               CAST(count(e.event_id) FILTER (WHERE e.event_type = 'click') AS BIGINT) AS click,
-               CAST(count(e.event_id) FILTER (WHERE e.event_type = 'error') AS BIGINT) AS error,
-               CAST(count(e.event_id) FILTER (WHERE e.event_type = 'purchase') AS BIGINT) AS purchase,
-               CAST(count(e.event_id) FILTER (WHERE e.event_type = 'signup') AS BIGINT) AS signup,
-               CAST(count(e.event_id) FILTER (WHERE e.event_type = 'view') AS BIGINT) AS view
+               CAST(count(*) FILTER (WHERE e.event_type = 'click') AS BIGINT) AS click,
+               CAST(count(*) FILTER (WHERE e.event_type = 'error') AS BIGINT) AS error,
+               CAST(count(*) FILTER (WHERE e.event_type = 'purchase') AS BIGINT) AS purchase,
+               CAST(count(*) FILTER (WHERE e.event_type = 'signup') AS BIGINT) AS signup,
+               CAST(count(*) FILTER (WHERE e.event_type = 'view') AS BIGINT) AS view,
+               CAST(count(*) FILTER (WHERE e.user_id IS NOT NULL AND (e.event_type IS NULL OR e.event_type NOT IN
+                    ('click', 'error', 'purchase', 'signup', 'view'))) AS BIGINT) AS other
         FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey
         LEFT JOIN events e ON e.user_id = c_custkey
         GROUP BY n_nationkey, n_name
@@ -107,11 +119,11 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "running_and_trailing_load": """
         SELECT event_id, user_id, ts,
-               CAST(sum(CAST(value AS DECIMAL(12,2))) OVER (
-                   PARTITION BY user_id ORDER BY ts, event_id
+               CAST(sum(TRY_CAST(value AS DECIMAL(14,2))) OVER (
+                   PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_value,
                CAST(count(*) OVER (
-                   PARTITION BY user_id ORDER BY ts
+                   PARTITION BY user_id ORDER BY ts NULLS FIRST
                    RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW) AS BIGINT) AS trailing_entries
         FROM events
     """,
@@ -129,7 +141,7 @@ ORACLE_SQL: dict[str, str] = {
                    CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
                           OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 2 HOURS
                         THEN 1 ELSE 0 END AS brk
-            FROM events),
+            FROM events WHERE ts IS NOT NULL),
         s AS (
             SELECT user_id, ts,
                    sum(brk) OVER (PARTITION BY user_id ORDER BY ts
@@ -150,7 +162,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(CAST(ts AS DATE) - CAST(i.range AS INTEGER) AS DATE) AS window_start,
                CAST(CAST(ts AS DATE) - CAST(i.range AS INTEGER) + 7 AS DATE) AS window_end,
                event_type, CAST(count(*) AS BIGINT) AS entries
-        FROM events CROSS JOIN range(7) i
+        FROM events CROSS JOIN range(7) i WHERE ts IS NOT NULL
         GROUP BY 1, 2, 3
     """,
     "lapsed_persons": """
@@ -173,7 +185,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "dedup_entries_stream": """
         SELECT event_id, ts, user_id, event_type, value, props FROM events
-        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1
+        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1 OR event_id IS NULL
     """,
     "enrich_stream": """
         SELECT event_id, ts, user_id, event_type, value, c_name, n_nationkey, n_name, r_regionkey, r_name
@@ -186,7 +198,7 @@ ORACLE_SQL: dict[str, str] = {
                    CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
                           OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 2 HOURS
                         THEN 1 ELSE 0 END AS brk
-            FROM events),
+            FROM events WHERE ts IS NOT NULL),
         s AS (
             SELECT user_id, ts,
                    sum(brk) OVER (PARTITION BY user_id ORDER BY ts

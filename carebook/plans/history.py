@@ -18,8 +18,8 @@ TRAILING_DAYS = 7
 TOP_WORKERS = 3
 CALENDAR_START = dt.date(2024, 1, 1)
 CALENDAR_END = dt.date(2024, 1, 30)
-# Keys with at most this many rows take a plain per-key window in visit_gaps
-# and care_episodes; only keys above it go through day buckets.
+# Keys with at most this many rows are one window in visit_gaps, care_episodes and
+# running_and_trailing_load; only keys above it go through day buckets.
 PLAIN_WINDOW_MAX_ROWS = 1_000_000
 PLAIN_WINDOW_CONF = "spark.carebook.plainWindowMaxRows"
 
@@ -52,9 +52,12 @@ def visit_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def running_and_trailing_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per entry: the person's running exact sum of ``value`` in (ts, event_id)
-    order, and the person's entries in the trailing 7 days (inclusive)."""
+    order, and the person's entries in the trailing 7 days (inclusive); entries
+    without a time come first and count each other."""
     e = Tables(spark, sf_dir).events.select("event_id", "ts", "user_id", "value")
-    out = running_total_and_trailing_count(e, ["user_id"], "ts", "event_id", "value", TRAILING_DAYS)
+    plain_below = int(spark.conf.get(PLAIN_WINDOW_CONF, str(PLAIN_WINDOW_MAX_ROWS)))
+    out = running_total_and_trailing_count(e, ["user_id"], "ts", "event_id", "value", TRAILING_DAYS,
+                                           plain_below=plain_below)
     return out.select("event_id", "user_id", "ts", F.col("running_value").cast("double"), "trailing_entries")
 
 
@@ -72,7 +75,8 @@ def top_workers_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
 def care_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Episodes of care: runs of a person's entries with no gap over 2 hours.
 
-    ``episode_end`` is the last entry + 2 hours, as ``session_window`` reports.
+    ``episode_end`` is the last entry + 2 hours, as ``session_window`` reports;
+    entries without a time are in no episode.
     Persons with more than ``spark.carebook.plainWindowMaxRows`` entries go
     through day buckets; the rest take a plain window.
     """

@@ -23,34 +23,27 @@ def worker_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per worker and calendar month of the visit: distinct visits, distinct
     persons, exact sum of service quantity.
 
-    Lines are first summed per (worker, visit) right after the line x visit
-    join; that aggregate reuses the join's partitioning on the visit key (no
-    extra shuffle) and removes the repeated lines, so the month aggregate needs
-    ``count(*)`` for visits and only one distinct count (persons), which Spark
-    plans without the 2x ``Expand`` of two distinct aggregates.
+    Lines are first summed per (visit, worker), before the join: a visit that
+    holds a huge share of the lines becomes one row per worker in every map
+    task, and no aggregate relies on the join's partitioning, so AQE can split
+    that visit's join partition under its default settings. It also removes the
+    repeated lines, so the month aggregate needs ``count(*)`` for visits and only
+    one distinct count (persons), which Spark plans without the 2x ``Expand`` of
+    two distinct aggregates.
 
     The distinct-persons count shuffles twice: by (worker, month, person),
     then, after a partial count, by (worker, month). One shuffle by (worker,
     month) would do, but it would ship unreduced rows, so a busy worker-month
     would land whole in one task; this way it leaves each task as one row.
-
-    A visit holding a huge share of the lines is a skewed join partition.
-    Because the aggregate relies on the join's partitioning, AQE splits it
-    only with ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (set by
-    ``build_session``); without it the hot visit's lines stream through one
-    task (slow, not out of memory: the visit side holds one row per key).
     """
     t = Tables(spark, sf_dir)
-    lines = t.lineitem.select("l_orderkey", "l_suppkey", cents("l_quantity").alias("q"))
+    lines = (t.lineitem.select("l_orderkey", "l_suppkey", cents("l_quantity").alias("q"))
+             .groupBy("l_orderkey", "l_suppkey").agg(F.sum("q").alias("q")))
     # Year and month travel as one key, yyyymm: narrower hash keys in both
     # large aggregates; they are split again on the small result.
     visits = t.orders.select("o_orderkey", "o_custkey",
                              (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("ym"))
-    per_visit = (
-        lines.join(visits, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-        .groupBy("l_orderkey", "l_suppkey", "o_custkey", "ym")
-        .agg(F.sum("q").alias("q"))
-    )
+    per_visit = lines.join(visits, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     return per_visit.groupBy("l_suppkey", "ym").agg(
         F.count(F.lit(1)).alias("visits"),
         F.count_distinct("o_custkey").alias("persons"),
@@ -88,24 +81,28 @@ def district_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def district_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per district, one count column per kind of care (0 if none).
+    """One row per district, one count column per kind of care (0 if none), and
+    ``other`` for entries of no kind or one not in the list; the columns add up
+    to the district's entries.
 
     The pivot runs at the person grain over the fixed kind list, as one
     conditional count per kind in a single aggregate. ``GroupedData.pivot``
     would first aggregate per (person, kind) and then pivot per person, one
     more shuffle for the same columns. The result has one row per person,
     hash-partitioned by person, which the register join reuses; the district
-    aggregate then adds up five columns.
+    aggregate then adds up six columns.
     """
     t = Tables(spark, sf_dir)
+    listed = F.coalesce(F.col("event_type").isin(ENTRY_KINDS), F.lit(False))
     per_person = t.events.groupBy("user_id").agg(
-        *[F.count_if(F.col("event_type") == k).alias(k) for k in ENTRY_KINDS])
+        *[F.count_if(F.col("event_type") == k).alias(k) for k in ENTRY_KINDS], F.count_if(~listed).alias("other"))
+    columns = [*ENTRY_KINDS, "other"]
     persons = t.customer.select("c_custkey", "c_nationkey")
     counts = (per_person.join(persons, F.col("user_id") == F.col("c_custkey"), "inner")
-              .groupBy("c_nationkey").agg(*[F.sum(k).alias(k) for k in ENTRY_KINDS]))
+              .groupBy("c_nationkey").agg(*[F.sum(k).alias(k) for k in columns]))
     names = t.nation.select("n_nationkey", "n_name")
     return names.join(counts, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(
-        "n_nationkey", "n_name", *[F.coalesce(F.col(k), F.lit(0)).cast("long").alias(k) for k in ENTRY_KINDS])
+        "n_nationkey", "n_name", *[F.coalesce(F.col(k), F.lit(0)).cast("long").alias(k) for k in columns])
 
 
 def same_day_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +119,8 @@ def weekly_sliding_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     Entries are counted per (day, kind) first; ``window`` then expands those
     daily counts (not every entry) into their 7 windows. Day-aligned windows
     contain whole days, so summing daily counts per window is exact, and the
-    expand works on a table bounded by days x kinds.
+    expand works on a table bounded by days x kinds. Entries without a time
+    are in no window.
     """
     e = Tables(spark, sf_dir).events
     daily = e.groupBy(F.to_date("ts").cast("timestamp_ntz").alias("day"), "event_type").agg(

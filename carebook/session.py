@@ -34,6 +34,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Stream state (ids seen, open episodes) off the heap, on local disk with
+    # its changes in the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -14,15 +14,13 @@ EXPORT_SCHEMA = T.StructType(list(EVENTS.fields) + [T.StructField("day", T.DateT
 def write_by_day(entries: DataFrame, path: str) -> None:
     """Write entries as ``path/day=YYYY-MM-DD/*.parquet``.
 
-    No shuffle: each task writes the days it holds (Spark sorts a task's rows
-    by ``day`` before writing, so it keeps one file open at a time). A busy
-    day is written by every task that holds some of it, never funnelled into
-    one task; when the input files are laid out by time, as diary files
-    usually are, each task also touches only a few days and writes few files.
-    ``errorifexists`` keeps a rerun from mixing two exports; callers pass a
+    Rows are rebalanced by day first: a day's entries meet in as many tasks as
+    their size asks for, however the input is ordered, so there are about
+    (day's size / target size) files a day and a busy day is split, never
+    funnelled into one task. ``errorifexists`` keeps a rerun from mixing two exports; callers pass a
     fresh path.
     """
-    (entries.withColumn("day", F.to_date("ts"))
+    (entries.withColumn("day", F.to_date("ts")).hint("rebalance", "day")
      .write.mode("errorifexists").partitionBy("day").parquet(path))
 
 

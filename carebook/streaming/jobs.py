@@ -37,10 +37,11 @@ def daily_tally(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 def dedup_entries(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Drop redelivered ``event_id``s seen within the watermark; state for an
-    id expires once the watermark passes its first delivery + ``lateness``."""
-    return (entries.withWatermark(EVENT_TIME, lateness)
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .drop(EVENT_TIME))
+    id expires once the watermark passes its first delivery + ``lateness``.
+    Entries without an id cannot be told from copies and all pass."""
+    timed = entries.withWatermark(EVENT_TIME, lateness)
+    return (timed.where(F.col("event_id").isNotNull()).dropDuplicatesWithinWatermark(["event_id"])
+            .unionByName(timed.where(F.col("event_id").isNull())).drop(EVENT_TIME))
 
 
 def dedup_entries_combined(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -53,13 +54,14 @@ def dedup_entries_combined(entries: DataFrame, lateness: str = LATENESS) -> Data
     before the state shuffle. The price: an entry is emitted only once the
     watermark passes its event time, and copies must carry the same ``ts``
     (as redelivered records do). Of copies that differ elsewhere, the smallest
-    record is kept, whole.
+    record is kept, whole. Entries without an id all pass, at once.
     """
     rest = [c for c in entries.columns if c not in ("event_id", EVENT_TIME)]
-    return (entries.withWatermark(EVENT_TIME, lateness)
-            .groupBy("event_id", EVENT_TIME)
+    timed = entries.withWatermark(EVENT_TIME, lateness)
+    return (timed.where(F.col("event_id").isNotNull()).groupBy("event_id", EVENT_TIME)
             .agg(F.min(F.struct(*rest)).alias("_entry"))
-            .select("event_id", *[F.col(f"_entry.{c}").alias(c) for c in rest]))
+            .select("event_id", *[F.col(f"_entry.{c}").alias(c) for c in rest])
+            .unionByName(timed.where(F.col("event_id").isNull()).select("event_id", *rest)))
 
 
 def enrich(entries: DataFrame, register_df: DataFrame) -> DataFrame:

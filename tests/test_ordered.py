@@ -88,6 +88,10 @@ SLOTS = st.integers(min_value=0, max_value=36 * 48)
 JITTER = st.sampled_from([0, 0, 0, 1, 59, 1799])
 ROWS = st.lists(st.tuples(USERS, SLOTS, JITTER, st.integers(-500, 50_000)), min_size=1, max_size=120)
 
+KINDS = ["view", "error", "meals", None]
+# Some amounts are no amounts: not finite, or out of range.
+AMOUNTS = {0: float("nan"), 1: float("inf"), 2: 1e11, 3: -1e300}
+
 ORDERED_JOBS = ["running_and_trailing_load", "care_episodes", "latest_entry", "days_without_entry",
                 "lapsed_persons", "retained_persons", "weekly_sliding_tally", "person_day_services"]
 
@@ -97,8 +101,10 @@ ORDERED_JOBS = ["running_and_trailing_load", "care_episodes", "latest_entry", "d
 def test_ordered_jobs_equal_whole_person_sql(spark, raw, plain_below):
     """Every person through day buckets (threshold 0), some (5) or none."""
     from carebook.plans.history import PLAIN_WINDOW_CONF
-    rows = [(i, BASE + dt.timedelta(minutes=30 * slot, seconds=jit), user, "view", cents / 100, '{"k": 1}')
+    rows = [(i, None if slot % 9 == 0 else BASE + dt.timedelta(minutes=30 * slot, seconds=jit), user,
+             KINDS[slot % len(KINDS)], AMOUNTS.get(cents, cents / 100), '{"k": 1}')
             for i, (user, slot, jit, cents) in enumerate(raw)]
+    rows += [(100_000 + i, None, 1, "view", 1.0, "{}") for i in range(3)]
     d = _fixture(rows)
     con = duck(d)
     spark.conf.set(PLAIN_WINDOW_CONF, plain_below)
@@ -165,3 +171,38 @@ def test_visit_gaps_equal_whole_person_lag(spark, raw, plain_below):
     finally:
         spark.conf.unset(PLAIN_WINDOW_CONF)
     assert r["columns_match"] and r["values_match"], r
+
+
+def test_trailing_count_grows_linearly(spark):
+    """All entries of one person-day; a frame gone through again per row would take 16 times as long."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from carebook.operators.ordered import running_total_and_trailing_count
+
+    def seconds(n):
+        e = spark.range(0, n, 1, 1).select(
+            F.lit(1).cast("long").alias("user_id"), F.col("id").alias("event_id"), F.lit(1.0).alias("value"),
+            F.expr("timestamp_ntz'2024-01-05 08:00:00' + make_dt_interval(0, 0, 0, id % 20000)").alias("ts"))
+        t0 = time.perf_counter()
+        out = running_total_and_trailing_count(e, ["user_id"], "ts", "event_id", "value", 7)
+        assert out.agg(F.max("trailing_entries")).first()[0] == n
+        return time.perf_counter() - t0
+
+    seconds(1_000)
+    small, large = seconds(40_000), seconds(160_000)
+    assert large < 8 * small + 2, (small, large)
+
+
+def test_hot_null_person_is_bucketed(spark):
+    from carebook.operators.ordered import previous_in_order
+    from carebook.functions.columns import day_of
+
+    rows = [(i, T("2024-01-01 00:00:00") + dt.timedelta(hours=7 * i), None if i % 2 else 5) for i in range(100)]
+    df = spark.createDataFrame(rows, "o int, ts timestamp_ntz, who int")
+    for bound in (10, 49, 1000):
+        out = previous_in_order(df, ["who"], ["ts", "o"], day_of("ts"), ["o"], plain_below=bound)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert ("_bucket" in plan) == (bound < 50)
+        assert {r.o: r.prev and r.prev.o for r in out.collect()} == {i: (i - 2 if i > 1 else None) for i in range(100)}

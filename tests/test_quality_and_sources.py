@@ -16,6 +16,9 @@ from carebook.sources.tables import Tables
 from tests.conftest import SMOKE_DIR, T, write_customers, write_events
 
 
+NO_FAULTS = {rule: 0 for rule in ("null_time", "null_id", "not_finite_amount", "out_of_range_amount", "sub_cent_amount", "unlisted_kind")}
+
+
 def test_quality_rules_each_catch_their_row(spark):
     d = tempfile.mkdtemp(prefix="carebook-quality-")
     write_events(d, [
@@ -30,12 +33,12 @@ def test_quality_rules_each_catch_their_row(spark):
     ])
     write_customers(d, [1, 2, 3])
     got = {r.rule: r.violations for r in entries.diary_quality_report(spark, d).collect()}
-    assert got == {"null_person": 1, "non_positive_value": 2, "unknown_person": 2, "missing_attribute_k": 2}
+    assert got == {"null_person": 1, "non_positive_value": 2, "unknown_person": 2, "missing_attribute_k": 2, **NO_FAULTS}
 
 
 def test_quality_report_clean_data_has_zero_counts(spark):
     got = {r.rule: r.violations for r in entries.diary_quality_report(spark, SMOKE_DIR).collect()}
-    assert got == {"null_person": 0, "non_positive_value": 0, "unknown_person": 0, "missing_attribute_k": 0}
+    assert got == {"null_person": 0, "non_positive_value": 0, "unknown_person": 0, "missing_attribute_k": 0, **NO_FAULTS}
 
 
 def test_entries_between_is_half_open_and_pushed_down(spark):
@@ -124,3 +127,61 @@ def test_top_workers_break_ties_by_lower_worker_key(spark):
         for s in (3, 4, 5, 7, 9)], schema=su_schema), f"{d}/supplier.parquet")
     got = sorted(tuple(r) for r in history.top_workers_by_district(spark, d).collect())
     assert got == [(0, 3, 2, 1), (0, 4, 2, 2), (0, 5, 2, 3), (1, 7, 1, 1)]
+
+
+ODD_AMOUNTS = [(1, "2024-01-05 10:00:00", 1, "view", 1e11), (2, "2024-01-05 10:00:00", 1, "view", float("nan")),
+               (3, "2024-01-05 10:00:00", 1, "meals", float("inf")), (4, "2024-01-05 10:00:00", 1, None, 1e12),
+               (5, None, 1, "view", 0.125), (None, "2024-01-05 11:00:00", 1, "view", 2.5), (None, "2024-01-05 11:00:00", 1, "view", 2.5)]
+
+
+def _odd_diary():
+    import shutil
+    import tempfile
+
+    from tests.conftest import T, write_customers, write_events
+    d = tempfile.mkdtemp(prefix="carebook-odd-")
+    write_events(d, [(i, ts and T(ts), user, kind, value, '{"k": 1}') for i, ts, user, kind, value in ODD_AMOUNTS])
+    write_customers(d, [1, 2])
+    for t in ("nation", "region"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", f"{d}/{t}.parquet")
+    return d
+
+
+def test_faulty_entries_are_counted_not_dropped(spark):
+    import __spark_entry__ as se
+    from tests.oracle_harness import compare, duck
+    d = _odd_diary()
+    con = duck(d)
+    rules = {r.rule: r.violations for r in se.queries()["diary_quality_report"](spark, d).collect()}
+    assert {k: v for k, v in rules.items() if v} == {
+        "null_time": 1, "null_id": 2, "not_finite_amount": 2, "out_of_range_amount": 1, "sub_cent_amount": 1, "unlisted_kind": 2}
+    for name in ("diary_quality_report", "person_day_services", "district_by_kind", "running_and_trailing_load", "weekly_sliding_tally"):
+        r = compare(spark, name, d, con)
+        assert r["columns_match"] and r["values_match"], r
+    kinds = [r.asDict() for r in se.queries()["district_by_kind"](spark, d).collect()]
+    total = sum(v for r in kinds for k, v in r.items() if not k.startswith("n_"))
+    grand = [r.entries for r in se.queries()["district_rollup"](spark, d).collect() if r.grouping_level == 3]
+    assert grand == [total] == [len(ODD_AMOUNTS)]
+
+
+def test_entries_without_an_id_pass_the_dedup(spark):
+    from carebook.streaming import jobs
+    d = _odd_diary()
+    assert jobs.dedup_entries_stream(spark, d).count() == len(ODD_AMOUNTS)
+
+
+def test_export_writes_few_files_from_shuffled_input(spark):
+    import os
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from carebook.sources.export import write_by_day
+    from carebook.sources.tables import Tables
+    path = tempfile.mkdtemp(prefix="carebook-export-") + "/out"
+    events = Tables(spark, "/root/testdata/sf0.01").events
+    write_by_day(events.repartition(40, F.rand(1)), path)
+    days = [x for x in os.listdir(path) if x.startswith("day=")]
+    files = sum(f.endswith(".parquet") for x in days for f in os.listdir(f"{path}/{x}"))
+    assert len(days) == 30 and files <= 2 * len(days)
+    assert spark.read.parquet(path).count() == events.count()
