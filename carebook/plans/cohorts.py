@@ -21,10 +21,10 @@ def _persons(events: DataFrame, cond) -> DataFrame:
     return events.where(cond & F.col("user_id").isNotNull()).select("user_id").distinct()
 
 
-def _periods(spark: SparkSession, sf_dir: str):
+def _periods(spark: SparkSession, sf_dir: str, early_before: dt.datetime, late_from: dt.datetime):
     e = Tables(spark, sf_dir).events
-    return (_persons(e, F.col("ts") < ntz(EARLY_BEFORE)),
-            _persons(e, F.col("ts") >= ntz(LATE_FROM)))
+    return (_persons(e, F.col("ts") < ntz(early_before)),
+            _persons(e, F.col("ts") >= ntz(late_from)))
 
 
 # Both sides are distinct, non-null person keys, so EXCEPT DISTINCT and
@@ -34,13 +34,15 @@ def _periods(spark: SparkSession, sf_dir: str):
 # the plain equi-join reuses the hash partitioning of the two distincts.
 
 
-def lapsed_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Persons with an entry before 2024-01-02 and none from 2024-01-30 on (EXCEPT)."""
-    early, late = _periods(spark, sf_dir)
+def lapsed_persons(spark: SparkSession, sf_dir: str, early_before: dt.datetime = EARLY_BEFORE,
+                   late_from: dt.datetime = LATE_FROM) -> DataFrame:
+    """Persons with an entry before ``early_before`` and none from ``late_from`` on (EXCEPT)."""
+    early, late = _periods(spark, sf_dir, early_before, late_from)
     return early.join(late, "user_id", "left_anti")
 
 
-def retained_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Persons with entries in both periods (INTERSECT)."""
-    early, late = _periods(spark, sf_dir)
+def retained_persons(spark: SparkSession, sf_dir: str, early_before: dt.datetime = EARLY_BEFORE,
+                     late_from: dt.datetime = LATE_FROM) -> DataFrame:
+    """Persons with entries before ``early_before`` and from ``late_from`` on (INTERSECT)."""
+    early, late = _periods(spark, sf_dir, early_before, late_from)
     return early.join(late, "user_id", "left_semi")

@@ -50,13 +50,13 @@ def visit_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def running_and_trailing_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+def running_and_trailing_load(spark: SparkSession, sf_dir: str, days: int = TRAILING_DAYS) -> DataFrame:
     """Per entry: the person's running exact sum of ``value`` in (ts, event_id)
-    order, and the person's entries in the trailing 7 days (inclusive); entries
+    order, and the person's entries in the trailing ``days`` days (inclusive); entries
     without a time come first and count each other."""
     e = Tables(spark, sf_dir).events.select("event_id", "ts", "user_id", "value")
     plain_below = int(spark.conf.get(PLAIN_WINDOW_CONF, str(PLAIN_WINDOW_MAX_ROWS)))
-    out = running_total_and_trailing_count(e, ["user_id"], "ts", "event_id", "value", TRAILING_DAYS,
+    out = running_total_and_trailing_count(e, ["user_id"], "ts", "event_id", "value", days,
                                            plain_below=plain_below)
     return out.select("event_id", "user_id", "ts", F.col("running_value").cast("double"), "trailing_entries")
 
@@ -72,17 +72,17 @@ def top_workers_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("s_nationkey", "s_suppkey", "visits", F.col("rank_in_district").cast("long"))
 
 
-def care_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Episodes of care: runs of a person's entries with no gap over 2 hours.
+def care_episodes(spark: SparkSession, sf_dir: str, gap_seconds: int = EPISODE_GAP_SECONDS) -> DataFrame:
+    """Episodes of care: runs of a person's entries with no gap over 2 hours (``gap_seconds``).
 
-    ``episode_end`` is the last entry + 2 hours, as ``session_window`` reports;
+    ``episode_end`` is the last entry + that gap, as ``session_window`` reports;
     entries without a time are in no episode.
     Persons with more than ``spark.carebook.plainWindowMaxRows`` entries go
     through day buckets; the rest take a plain window.
     """
     e = Tables(spark, sf_dir).events.select("user_id", "ts")
     plain_below = int(spark.conf.get(PLAIN_WINDOW_CONF, str(PLAIN_WINDOW_MAX_ROWS)))
-    return episodes(e, ["user_id"], "ts", EPISODE_GAP_SECONDS, plain_below=plain_below)
+    return episodes(e, ["user_id"], "ts", gap_seconds, plain_below=plain_below)
 
 
 def days_without_entry(spark: SparkSession, sf_dir: str, start: dt.date = CALENDAR_START,

@@ -3,24 +3,27 @@
 Each ``*_stream(spark, sf_dir)`` drains the folder's entries once with
 ``trigger(availableNow=True)`` into parquet under the shared checkpoint root
 and returns the committed output. The transformations (``daily_tally``,
-``dedup_entries``, ``enrich``, ``closed_episodes``) take any entry stream, so
-the same code runs as a long-lived query.
+``dedup_entries``, ``closed_episodes``) and ``start_enrich`` take any entry
+stream, so the same code runs as a long-lived query.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from carebook.functions.columns import instant_day, instant_to_ntz
 from carebook.plans.register import register
-from carebook.sources.bucketed import save_bucketed
+from carebook.session import fresh_dir
 from carebook.sources.tables import Tables
-from carebook.streaming.sink import drain_and_read
+from carebook.streaming.sink import drain_and_read, finish, read_batches, start_batches
 from carebook.streaming.source import EVENT_TIME, read_entries_table_stream
 
 LATENESS = "1 hour"
 EPISODE_GAP = "2 hours"
+MATCHED = "matched"
 
 
 def daily_tally(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -65,13 +68,11 @@ def dedup_entries_combined(entries: DataFrame, lateness: str = LATENESS) -> Data
 
 
 def enrich(entries: DataFrame, register_df: DataFrame) -> DataFrame:
-    """Stream-static inner join of entries with person, district and area.
-
-    Pass the register as a table bucketed by ``c_custkey`` (``save_bucketed``)
-    when it is too large to broadcast: each micro-batch then shuffles only its
-    own entries, never the register."""
+    """Entries with person, district and area, and ``matched``: whether the
+    person is in the register. An entry that is not matched keeps nulls there."""
     e = entries.select("event_id", "ts", "user_id", "event_type", "value")
-    return e.join(register_df, F.col("user_id") == F.col("c_custkey"), "inner").drop("c_custkey")
+    return (e.join(register_df, F.col("user_id") == F.col("c_custkey"), "left")
+            .withColumn(MATCHED, F.col("c_custkey").isNotNull()).drop("c_custkey"))
 
 
 def closed_episodes(entries: DataFrame, lateness: str = LATENESS, gap: str = EPISODE_GAP) -> DataFrame:
@@ -96,10 +97,36 @@ def dedup_entries_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_and_read(spark, dedup_entries(read_entries_table_stream(spark, sf_dir)), "dedup-entries")
 
 
-def enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream: entries with person, district and area (register bucketed once), drained once."""
-    reg = save_bucketed(spark, register(Tables(spark, sf_dir)), "c_custkey", purpose="register")
-    return drain_and_read(spark, enrich(read_entries_table_stream(spark, sf_dir), reg), "enrich")
+def start_enrich(spark: SparkSession, base_dir: str, entries: DataFrame, out_dir: str, checkpoint_dir: str,
+                 **trigger) -> StreamingQuery:
+    """Start enriching an entry stream into ``out_dir``.
+
+    Each micro-batch reads the register anew, so a person registered while the
+    query runs is found from the next batch on. Entries of persons not in the
+    register are written too, apart from the others (see ``read_batches``), so
+    they can be enriched later (``late_matches``); none is lost.
+    """
+    return start_batches(spark, entries, lambda batch: enrich(batch, register(Tables(spark, base_dir))),
+                         MATCHED, out_dir, checkpoint_dir, **trigger)
+
+
+def late_matches(spark: SparkSession, base_dir: str, out_dir: str) -> DataFrame:
+    """Entries written as unmatched whose person is in the register by now, enriched."""
+    left = read_batches(spark, out_dir, _enriched_schema(spark, base_dir), MATCHED, False)
+    return enrich(left, register(Tables(spark, base_dir))).where(MATCHED).drop(MATCHED)
+
+
+def _enriched_schema(spark: SparkSession, base_dir: str) -> StructType:
+    t = Tables(spark, base_dir)
+    return enrich(t.events, register(t)).schema
+
+
+def enrich_stream(spark: SparkSession, sf_dir: str, out_dir: str | None = None) -> DataFrame:
+    """Stream: entries with person, district and area, drained once (entries not in the register: ``read_batches``)."""
+    out_dir = out_dir or fresh_dir(spark, "enrich-out")
+    finish(start_enrich(spark, sf_dir, read_entries_table_stream(spark, sf_dir), out_dir,
+                        fresh_dir(spark, "enrich-checkpoint"), available_now=True))
+    return read_batches(spark, out_dir, _enriched_schema(spark, sf_dir), MATCHED, True)
 
 
 def episodes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,17 +134,11 @@ def episodes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain_and_read(spark, closed_episodes(read_entries_table_stream(spark, sf_dir)), "episodes")
 
 
-def _enrich_with_bucketed_register(spark: SparkSession, base_dir: str, entries: DataFrame) -> DataFrame:
-    reg = save_bucketed(spark, register(Tables(spark, base_dir)), "c_custkey", purpose="register")
-    return enrich(entries, reg)
-
-
 # Transformations for long-running queries (python -m carebook stream ...):
 # name -> (spark, base_dir, entry_stream) -> stream to append.
 TRANSFORMS = {
     "daily_tally": lambda spark, base_dir, entries: daily_tally(entries),
     "dedup_entries": lambda spark, base_dir, entries: dedup_entries(entries),
     "dedup_entries_combined": lambda spark, base_dir, entries: dedup_entries_combined(entries),
-    "enrich": _enrich_with_bucketed_register,
     "closed_episodes": lambda spark, base_dir, entries: closed_episodes(entries),
 }

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from carebook.session import fresh_dir
 
@@ -34,7 +37,11 @@ def start_to_parquet(stream: DataFrame, out_dir: str, checkpoint_dir: str,
 def drain_to_parquet(stream: DataFrame, out_dir: str, checkpoint_dir: str,
                      query_name: str | None = None) -> None:
     """Process everything available now into ``out_dir`` and stop."""
-    q = start_to_parquet(stream, out_dir, checkpoint_dir, available_now=True, query_name=query_name)
+    finish(start_to_parquet(stream, out_dir, checkpoint_dir, available_now=True, query_name=query_name))
+
+
+def finish(q: StreamingQuery) -> None:
+    """Wait for a draining query; raise if it failed."""
     q.awaitTermination()
     err = q.exception()
     if err is not None:
@@ -47,3 +54,34 @@ def drain_and_read(spark: SparkSession, stream: DataFrame, purpose: str) -> Data
     out_dir = fresh_dir(spark, f"{purpose}-out")
     drain_to_parquet(stream, out_dir, fresh_dir(spark, f"{purpose}-checkpoint"))
     return spark.read.schema(stream.schema).parquet(out_dir)
+
+
+def start_batches(spark: SparkSession, stream: DataFrame, transform: Callable[[DataFrame], DataFrame], flag: str,
+                  out_dir: str, checkpoint_dir: str, processing_time: str | None = None,
+                  available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
+    """Start writing ``transform(micro-batch)`` to ``out_dir/batch=N/<flag>=...``.
+
+    ``transform`` runs anew for each micro-batch, so what it reads besides the
+    batch is as of then. A batch that is run again overwrites its own folder:
+    each batch's rows are there once. Read with ``read_batches``.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        transform(batch).write.mode("overwrite").partitionBy(flag).parquet(f"{out_dir}/batch={batch_id}")
+
+    # The folder exists even if no batch comes; without rows no partition and no file is written.
+    spark.range(0).select("id", F.col("id").alias("batch")).write.mode("ignore").partitionBy("batch").parquet(out_dir)
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir).queryName(
+        query_name or f"carebook_{uuid.uuid4().hex}")
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def read_batches(spark: SparkSession, out_dir: str, schema: StructType, flag: str, value: bool) -> DataFrame:
+    """The rows of ``start_batches``' output whose ``flag`` has ``value`` (one folder each), without the flag."""
+    fields = [f for f in schema.fields if f.name != flag]
+    layout = StructType([*fields, StructField("batch", LongType()), StructField(flag, BooleanType())])
+    rows = spark.read.schema(layout).option("basePath", out_dir).parquet(out_dir)
+    return rows.where(F.col(flag) == value).select(*[f.name for f in fields])

@@ -46,3 +46,27 @@ def test_stream_command_drains_and_resumes():
 def test_every_job_documents_itself():
     from carebook.registry import JOBS
     assert [n for n, f in JOBS.items() if not (f.__doc__ or "").strip()] == []
+
+
+def test_parameters_of_a_job():
+    import datetime as dt
+
+    import pytest
+
+    from carebook.__main__ import parameters
+    assert parameters("diary_entries_between", ["start=2024-01-03", "end=2024-01-04T12:00:00"]) == {
+        "start": dt.datetime(2024, 1, 3), "end": dt.datetime(2024, 1, 4, 12)}
+    assert parameters("running_and_trailing_load", ["days=3"]) == {"days": 3}
+    assert parameters("days_without_entry", ["start=2024-01-02"]) == {"start": dt.date(2024, 1, 2)}
+    with pytest.raises(SystemExit):
+        parameters("lapsed_persons", ["nothing=1"])
+
+
+def test_run_with_a_parameter_and_stream_enrich():
+    base = tempfile.mkdtemp(prefix="carebook-cli-set-")
+    target = os.path.join(base, "days")
+    assert _run("run", "days_without_entry", SMOKE_DIR, target, "--set", "end=2024-01-01").returncode == 0
+    assert {d.isoformat() for d in pq.read_table(target).column("day").to_pylist()} <= {"2024-01-01"}
+    out = os.path.join(base, "enriched")
+    assert _run("stream", "enrich", SMOKE_DIR, out, os.path.join(base, "ckpt"), "--available-now").returncode == 0
+    assert sorted(os.listdir(os.path.join(out, "batch=0")))[-1] == "matched=true"

@@ -10,12 +10,11 @@ import datetime as dt
 import os
 import tempfile
 
-from carebook.plans.register import register
 from carebook.sources.tables import Tables
 from carebook.streaming import jobs
 from carebook.streaming.sink import drain_and_read
 from carebook.streaming.source import read_entries_stream
-from tests.conftest import SMOKE_DIR, T, write_events
+from tests.conftest import SMOKE_DIR, T, write_customers, write_events
 
 
 def _batches(batches: list[list[tuple]]) -> str:
@@ -72,41 +71,44 @@ def test_only_closed_episodes_are_emitted(spark):
     ]
 
 
-def test_enrich_stream_matches_batch_join(spark):
-    t = Tables(spark, SMOKE_DIR)
-    out = drain_and_read(spark, jobs.enrich(read_entries_stream(spark, SMOKE_DIR), register(t)), "t-enrich")
-    e, reg = t.events.select("event_id", "ts", "user_id", "event_type", "value"), register(t)
-    batch = e.join(reg, e.user_id == reg.c_custkey).drop("c_custkey")
-    assert out.count() == batch.count()
-    assert out.exceptAll(batch.select(*out.columns)).count() == 0
-
+def test_enrich_finds_persons_registered_between_batches(spark):
+    """A person added while the query runs is found from the next batch on, and
+    entries written as unmatched before are kept for later."""
+    import shutil
+    import time
 
-def test_enrich_stream_never_shuffles_the_bucketed_register(spark):
-    from carebook.sources.bucketed import save_bucketed
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        reg = save_bucketed(spark, register(Tables(spark, SMOKE_DIR)), "c_custkey", purpose="t-register")
-        q = (jobs.enrich(read_entries_stream(spark, SMOKE_DIR), reg).writeStream.format("noop")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        plan = q._jsq.explainInternal(False)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "Bucketed: true" in plan
-    scan = [line for line in plan.splitlines() if "carebook_t_register" in line]
-    assert scan and all("Exchange" not in line for line in scan)
-    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(user_id")
+    from carebook.session import fresh_dir
+    from carebook.streaming.sink import read_batches
 
+    d = tempfile.mkdtemp(prefix="carebook-enrich-")
+    for t in ("nation", "region"):
+        shutil.copy(f"{SMOKE_DIR}/{t}.parquet", f"{d}/{t}.parquet")
+    write_customers(d, [1])
+    write_events(f"{d}/events.parquet", [_e(1, "2024-01-01 10:00:00"), _e(2, "2024-01-01 11:00:00", user=2), _e(3, "2024-01-01 12:00:00", user=None)], name="part-0.parquet")
+    out, checkpoint = fresh_dir(spark, "t-enrich-out"), fresh_dir(spark, "t-enrich-checkpoint")
+    entries = read_entries_stream(spark, f"{d}/events.parquet", glob=None)
+    schema = jobs._enriched_schema(spark, d)
 
-def test_bucketed_table_has_one_file_per_bucket(spark):
-    import os
+    def found(matched):
+        return sorted(r.event_id for r in read_batches(spark, out, schema, "matched", matched).collect())
 
-    from carebook.sources.bucketed import save_bucketed
-    t = save_bucketed(spark, Tables(spark, SMOKE_DIR).events, "user_id", buckets=4, purpose="t-bucket-files")
-    path = t.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
-    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
-    assert len(files) <= 4 and t.count() == Tables(spark, SMOKE_DIR).events.count()
+    q = jobs.start_enrich(spark, d, entries, out, checkpoint, processing_time="1 second")
+    try:
+        for _ in range(60):
+            if found(True):
+                break
+            time.sleep(1)
+        assert (found(True), found(False)) == ([1], [2, 3])
+        write_customers(d, [1, 2])
+        write_events(f"{d}/events.parquet", [_e(4, "2024-01-01 13:00:00", user=2)], name="part-1.parquet")
+        for _ in range(60):
+            if len(found(True)) > 1:
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+    assert (found(True), found(False)) == ([1, 4], [2, 3])
+    assert [r.event_id for r in jobs.late_matches(spark, d, out).collect()] == [2]
 
 
 def test_stream_jobs_read_an_events_folder_of_part_files(spark):
