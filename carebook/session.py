@@ -73,7 +73,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root:
             sc.setCheckpointDir(root)
     if not root:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; set it to a shared folder "
                 "(HDFS, object store) before running carebook jobs on a cluster")
