@@ -67,11 +67,21 @@ def duck_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
     return cols, cur.fetchall()
 
 
+# Spark's types and DuckDB's names for them.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def duck_types(con, sql: str) -> dict[str, str]:
+    return {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+
+
 def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     import __spark_entry__ as se
     con = con or duck(sf_dir)
     t0 = time.time()
-    s_cols, s_rows = spark_rows(se.queries()[name](spark, sf_dir))
+    df = se.queries()[name](spark, sf_dir)
+    s_cols, s_rows = spark_rows(df)
     t1 = time.time()
     res = {"name": name, "spark_rows": len(s_rows), "spark_sec": round(t1 - t0, 2)}
     sql = se.oracle_sql().get(name)
@@ -81,7 +91,10 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     d_cols, d_rows = duck_rows(con, sql)
     sc, sr = normalize(s_cols, s_rows)
     dc, dr = normalize(d_cols, d_rows)
-    res.update(oracle_rows=len(d_rows), columns_match=sc == dc, values_match=sr == dr)
+    ours, theirs = {c: TYPES.get(t, t) for c, t in df.dtypes}, duck_types(con, sql)
+    res.update(oracle_rows=len(d_rows), columns_match=sc == dc, values_match=sr == dr, types_match=ours == theirs)
+    if ours != theirs:
+        res["types"] = {c: (t, theirs.get(c)) for c, t in ours.items() if t != theirs.get(c)}
     if sc != dc:
         res["spark_cols"], res["oracle_cols"] = sc, dc
     elif sr != dr:
