@@ -46,6 +46,8 @@ from carebook.session import fresh_dir
 
 BUCKET = "_bucket"
 HOT = "_hot"
+HALVINGS = "_halvings"
+MAX_HALVINGS = 10  # a day becomes buckets of 84 seconds at least
 KIND = "_row_kind"  # 0: carry row, 1: real row, 2: shadow row (see trailing counts)
 
 _UNBOUNDED_PRECEDING = Window.unboundedPreceding
@@ -56,33 +58,58 @@ def _interval_seconds(seconds: int) -> Column:
     return F.expr(f"INTERVAL {int(seconds)} SECONDS")
 
 
-def _hot_keys(df: DataFrame, key: list, plain_below: int, max_hot_keys: int) -> DataFrame | None:
-    """The keys with more than ``plain_below`` rows, or None if there are none.
+def _hot_keys(df: DataFrame, key: list, plain_below: int, max_hot_keys: int,
+              slot: Column | None, most_halvings: int) -> DataFrame | None:
+    """The keys with more than ``plain_below`` rows, or None if there are none,
+    with HALVINGS: how often the slot width is to be halved so that the key's
+    fullest slot, spread evenly, has about ``plain_below`` rows a bucket.
 
     Counted once, when the plan is built (one aggregate over the key columns),
     and written to the shared folder, so no plan counts them again. Broadcast
     only while there are at most ``max_hot_keys``; beyond that the list is
     joined without a hint. A null key is a key like any other.
     """
-    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > plain_below)
-           .select(*[F.col(k).alias(f"_hot_key_{i}") for i, k in enumerate(key)], F.lit(True).alias(HOT)))
+    if slot is None:
+        counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.lit(0).alias(HALVINGS))
+    else:
+        over = F.ceil(F.log2(F.max("_m") / max(1, plain_below)))
+        counts = (df.groupBy(*key, slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_m")).groupBy(*key)
+                  .agg(F.sum("_m").alias("_n"), F.least(F.greatest(over, F.lit(0)), F.lit(most_halvings)).cast("int").alias(HALVINGS)))
+    hot = counts.where(F.col("_n") > plain_below).select(
+        *[F.col(k).alias(f"_hot_key_{i}") for i, k in enumerate(key)], F.lit(True).alias(HOT), HALVINGS)
     path = fresh_dir(df.sparkSession, "hot-keys")
     hot.write.parquet(path)
     listed = df.sparkSession.read.schema(hot.schema).parquet(path)
     return bounded_broadcast(listed, max_hot_keys) if listed.limit(1).count() else None
 
 
-def _flag_hot(df: DataFrame, key: list, plain_below: int | None, max_hot_keys: int) -> DataFrame | None:
-    """``df`` with HOT (true or null), or None if no key is hot. Without a threshold every key is."""
+def _flag_hot(df: DataFrame, key: list, plain_below: int | None, max_hot_keys: int,
+              slot: Column | None = None, most_halvings: int = 0) -> DataFrame | None:
+    """``df`` with HOT (true or null) and HALVINGS, or None if no key is hot. Without a threshold every key is."""
     if plain_below is None:
-        return df.withColumn(HOT, F.lit(True))
-    hot = _hot_keys(df, key, plain_below, max_hot_keys)
+        return df.withColumns({HOT: F.lit(True), HALVINGS: F.lit(0)})
+    hot = _hot_keys(df, key, plain_below, max_hot_keys, slot, most_halvings)
     if hot is None:
         return None
     same = [F.col(k).eqNullSafe(F.col(f"_hot_key_{i}")) for i, k in enumerate(key)]
     return df.join(hot, reduce(and_, same), "left").drop(*[f"_hot_key_{i}" for i in range(len(key))])
 
 
+def _flag_hot_in_time(df: DataFrame, key: list, ts: str, bucket_seconds: int, plain_below: int | None,
+                      max_hot_keys: int) -> DataFrame | None:
+    """``df`` with HOT and, for hot keys, BUCKET: the start of the row's time
+    bucket in microseconds; None if no key is hot. A key with very full buckets
+    gets narrower ones, each ``bucket_seconds`` halved some times."""
+    width = int(bucket_seconds) * 1_000_000
+    most = min(MAX_HALVINGS, (width & -width).bit_length() - 1)
+    flagged = _flag_hot(df, key, plain_below, max_hot_keys, time_bucket(ts, bucket_seconds), most)
+    if flagged is None:
+        return None
+    micros = ntz_micros(ts)
+    start = micros - F.pmod(micros, F.expr(f"shiftright({width}L, {HALVINGS})"))
+    return flagged.withColumn(BUCKET, F.when(F.col(HOT), start)).drop(HALVINGS)
+
+
 def previous_in_order(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column,
                       carry: Sequence[str], out: str = "prev", plain_below: int | None = None,
                       max_hot_keys: int = 100_000) -> DataFrame:
@@ -100,7 +127,7 @@ def previous_in_order(df: DataFrame, key: Sequence[str], order: Sequence[str], b
     d = _flag_hot(df, key, plain_below, max_hot_keys)
     if d is None:
         return _previous_plain(df, key, order, carry, out)
-    return _previous_bucketed(d.withColumn(BUCKET, F.when(F.col(HOT), bucket)), key, order, carry, out)
+    return _previous_bucketed(d.withColumn(BUCKET, F.when(F.col(HOT), bucket)).drop(HALVINGS), key, order, carry, out)
 
 
 def _previous_plain(df: DataFrame, key: list, order: list, carry: list, out: str) -> DataFrame:
@@ -146,7 +173,9 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
       without ``ts``, the key's rows without one.
 
     Windows are partitioned by (key, bucket of ``ts``), ``bucket_seconds``
-    wide, which must divide the window (n days) into k whole buckets. With
+    wide or, for a key with more than ``plain_below`` rows in one, that width
+    halved until they spread over enough; the width must divide the window (n
+    days) into k whole buckets. With
     ``plain_below`` set, a key of at most that many rows is one bucket. Each
     row is also sent, shifted by n days, as a narrow *shadow row*: into bucket
     b+k of a hot key, into the one bucket of another. A sum up to each row costs
@@ -163,12 +192,11 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     window_seconds = int(days) * 86_400
     if bucket_seconds <= 0 or window_seconds % bucket_seconds:
         raise ValueError("bucket_seconds must divide the trailing window")
-    k = window_seconds // bucket_seconds
-    flagged = _flag_hot(df, key, plain_below, max_hot_keys)
+    window = window_seconds * 1_000_000
+    flagged = _flag_hot_in_time(df, key, ts, bucket_seconds, plain_below, max_hot_keys)
     any_hot = flagged is not None
-    d = (flagged if any_hot else df.withColumn(HOT, F.lit(None).cast("boolean")))
-    d = (d.withColumn(BUCKET, F.when(F.col(HOT), time_bucket(ts, bucket_seconds)))
-         .withColumn("_v", cents(value)).withColumn("_tm", ntz_micros(ts)))
+    d = flagged if any_hot else df.withColumns({HOT: F.lit(None).cast("boolean"), BUCKET: F.lit(None).cast("long")})
+    d = d.withColumn("_v", cents(value)).withColumn("_tm", ntz_micros(ts))
 
     # Each entry and its shadow come out of one scan: a row is emitted twice
     # (kind 1 as itself, kind 2 shifted); the shadow keeps only the key, bucket
@@ -176,10 +204,10 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     real = F.col(KIND) == 1
     kinds = F.when(F.col("_tm").isNull(), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2)))
     u = (d.withColumn(KIND, F.explode(kinds))
-         .select(*key, HOT, F.when(real, F.col(BUCKET)).otherwise(F.col(BUCKET) + k).alias(BUCKET), KIND,
+         .select(*key, HOT, F.when(real, F.col(BUCKET)).otherwise(F.col(BUCKET) + window).alias(BUCKET), KIND,
                  F.when(real, F.col(ts)).alias(ts), F.when(real, F.col(tiebreak)).alias(tiebreak),
                  F.when(real, F.col("_v")).alias("_v"),
-                 F.when(real, F.col("_tm")).otherwise(F.col("_tm") + window_seconds * 1_000_000).alias("_tm"),
+                 F.when(real, F.col("_tm")).otherwise(F.col("_tm") + window).alias("_tm"),
                  *[F.when(real, F.col(c)).alias(c) for c in df.columns if c not in (*key, ts, tiebreak)]))
     recent = F.lit(0)
     if any_hot:
@@ -189,7 +217,7 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
         carries = summary.select(
             *key, BUCKET, F.lit(0).alias(KIND),
             F.sum("_bucket_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1)).alias("_v"),
-            F.sum("_bucket_n").over(per_key.rangeBetween(-(k - 1), -1)).alias("_recent"),
+            F.sum("_bucket_n").over(per_key.rangeBetween(-(window - 1), -1)).alias("_recent"),
         )
         u = u.unionByName(carries, allowMissingColumns=True)
         recent = F.coalesce(F.max("_recent").over(Window.partitionBy(*key, BUCKET)), F.lit(0))
@@ -237,13 +265,13 @@ def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int,
     key = list(key)
     gap = _interval_seconds(gap_seconds)
     d = df.select(*key, ts).where(F.col(ts).isNotNull())
-    flagged = _flag_hot(d, key, plain_below, max_hot_keys)
+    flagged = _flag_hot_in_time(d, key, ts, bucket_seconds, plain_below, max_hot_keys)
     if flagged is None:
         return _episodes_plain(d, key, ts, gap)
-    hot = _episodes_bucketed(flagged.where(HOT).drop(HOT), key, ts, gap, bucket_seconds)
+    hot = _episodes_bucketed(flagged.where(HOT).drop(HOT), key, ts, gap)
     if plain_below is None:
         return hot
-    return _episodes_plain(flagged.where(F.col(HOT).isNull()).drop(HOT), key, ts, gap).unionByName(hot)
+    return _episodes_plain(flagged.where(F.col(HOT).isNull()).drop(HOT, BUCKET), key, ts, gap).unionByName(hot)
 
 
 def _episodes_plain(d: DataFrame, key: list, ts: str, gap: Column) -> DataFrame:
@@ -260,8 +288,7 @@ def _episodes_plain(d: DataFrame, key: list, ts: str, gap: Column) -> DataFrame:
     )
 
 
-def _episodes_bucketed(d: DataFrame, key: list, ts: str, gap: Column, bucket_seconds: int) -> DataFrame:
-    d = d.withColumn(BUCKET, time_bucket(ts, bucket_seconds))
+def _episodes_bucketed(d: DataFrame, key: list, ts: str, gap: Column) -> DataFrame:
     w = Window.partitionBy(*key, BUCKET).orderBy(ts)
     local = (
         d.withColumn("_prev", F.lag(ts).over(w))

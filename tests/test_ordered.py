@@ -206,3 +206,30 @@ def test_hot_null_person_is_bucketed(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert ("_bucket" in plan) == (bound < 50)
         assert {r.o: r.prev and r.prev.o for r in out.collect()} == {i: (i - 2 if i > 1 else None) for i in range(100)}
+
+
+def test_a_hot_person_day_is_cut_finer(spark):
+    """A person with 2,000 entries on one day and a bound of 100 rows: no window
+    gets more than a few hundred, and the results stay those of whole days."""
+    from pyspark.sql import functions as F
+
+    from carebook.operators.ordered import BUCKET, _flag_hot_in_time, episodes, running_total_and_trailing_count
+
+    base = dt.datetime(2024, 1, 5)
+    rows = [(i, base + dt.timedelta(seconds=43 * i), 1, 1.0) for i in range(2000)]
+    rows += [(10_000 + i, base + dt.timedelta(days=i), 1, 1.0) for i in range(20)] + [(20_000, base, 2, 1.0), (20_001, None, 1, 1.0)]
+    e = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double")
+    cut = _flag_hot_in_time(e, ["user_id"], "ts", 86_400, 100, 10)
+    assert cut.where("user_id = 1 and ts is not null").groupBy(BUCKET).count().agg(F.max("count")).first()[0] <= 150
+    assert cut.where("user_id = 2").first()[BUCKET] is None
+
+    def load(bound):
+        return sorted(map(tuple, running_total_and_trailing_count(
+            e, ["user_id"], "ts", "event_id", "value", 7, plain_below=bound).select(
+                "event_id", "running_value", "trailing_entries").collect()))
+
+    def runs(bound):
+        return sorted(map(tuple, episodes(e, ["user_id"], "ts", 7200, plain_below=bound).collect()))
+
+    assert load(100) == load(None) == load(1_000_000)
+    assert runs(100) == runs(None) == runs(1_000_000)
