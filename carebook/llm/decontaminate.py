@@ -27,7 +27,7 @@ RARE_FACTOR = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 BLOCK_WORDS = 1_000_000
-SLICE = 8 << 20
+SLICE = 4 << 20
 _BREAK = r"[^\p{L}\p{M}\p{N}]+"
 _P = np.uint64(0x9E3779B97F4A7C15)
 

@@ -39,7 +39,7 @@ _START, _END = 2, 3  # marks of a word's start and end; not letters
 _NOT_LETTERS = r"[^\p{L}\p{M}]+"
 _LETTER = r"\p{L}"
 _P = np.uint64(0x9E3779B97F4A7C15)
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 
 # ---- runs of characters -----------------------------------------------------
@@ -225,7 +225,7 @@ def fit(labelled: DataFrame, max_runs: int = MAX_RUNS) -> dict:
 class _Scorer:
     """Scores texts; keeps the scores of at most ``max_kept`` words."""
 
-    def __init__(self, model: dict, max_kept: int = 400_000):
+    def __init__(self, model: dict, max_kept: int = 250_000):
         self.model, self.max_kept = model, max_kept
         self.size = len(model["languages"])
         self.slot: dict[str, int] = {}

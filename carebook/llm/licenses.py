@@ -22,7 +22,7 @@ from carebook.llm.tokenizing import slices
 from carebook.operators.broadcast import bounded_broadcast
 
 MIN_COSINE = 0.75
-SLICE = 8 << 20
+SLICE = 4 << 20
 MAX_DIRECTORIES = 1_000_000
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([-_.].*)?$"
 _BREAK = r"[^\p{L}\p{M}\p{N}]+"
