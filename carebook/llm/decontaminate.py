@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-The test items are the stated query set: their n-grams are counted over the
-whole corpus, and each item keeps its rarer ones as seeds. Where a document
-holds a seed, the passage around it is aligned with the item word by word; the
-score counts equal words against edits, so paraphrased and edited copies score
-high and chance meetings do not. Items are taken in blocks whose seeds have a
-bounded size, and each block meets every document.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+The test items are the stated query set; every n-gram of an item is a seed,
+however often the corpus holds it. Where a document holds a seed, the passage
+around it is aligned with the item word by word; the score counts equal words
+against edits, so paraphrased and edited copies score high and chance meetings
+do not. Items are taken in blocks whose seeds have a bounded size, and each
+block meets every document.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ from carebook.llm.common import on_workers, rows_without, stored, text_key
 from carebook.llm.tokenizing import slices
 
 SEED_WORDS = 4
-RARE_FACTOR = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 BLOCK_WORDS = 1_000_000
 SLICE = 4 << 20
+CELLS = 50_000  # passage words aligned side by side
 _BREAK = r"[^\p{L}\p{M}\p{N}]+"
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -102,7 +102,7 @@ def distinct_items(items: DataFrame) -> DataFrame:
 
 
 def _item_arrays(rows: pa.Table) -> dict:
-    """The items of one block, and their n-grams, sorted by hash."""
+    """The items of one block, and their n-grams, sorted by hash, as seeds with their places."""
     lists = rows.column("words").combine_chunks()
     offsets = lists.offsets.to_numpy().astype(np.int64)
     words = lists.values.to_numpy().view(np.uint64)[offsets[0]:offsets[-1]]
@@ -110,48 +110,15 @@ def _item_arrays(rows: pa.Table) -> dict:
     inside = np.flatnonzero(_starts_inside(offsets, SEED_WORDS)) if len(words) else np.zeros(0, np.int64)
     item = np.searchsorted(offsets, inside, side="right") - 1
     keys, place = np.unique(_grams(words, SEED_WORDS)[inside], return_inverse=True)
+    place = place.reshape(-1)
+    order = np.argsort(place, kind="stable")
+    upto = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(keys)))])
     return {"ids": rows.column("item_id").to_numpy(), "offsets": offsets, "words": words,
-            "keys": keys, "gram": place.reshape(-1), "gram_item": item, "gram_at": inside - offsets[item]}
-
-
-def _seeds(block: dict, frequency: np.ndarray) -> dict:
-    """``block`` with its rare n-grams as seeds: of every item at least half of its n-grams.
-
-    Rarity is the number of documents that hold the n-gram times the number of
-    items that do. An n-gram is left out if it is over RARE_FACTOR times as
-    frequent as the item's median one, so an item whose passage is copied very
-    often keeps its seeds.
-    """
-    pair = np.unique(np.stack([block["gram"], block["gram_item"]]), axis=1)
-    items_with = np.bincount(pair[0], minlength=len(block["keys"]))
-    rarity = (np.maximum(frequency, 1) * items_with)[block["gram"]]
-    order = np.lexsort((rarity, block["gram_item"]))
-    counts = np.bincount(block["gram_item"], minlength=len(block["ids"]))
-    first = np.cumsum(counts) - counts
-    median = rarity[order][first + counts // 2]
-    rare = rarity <= RARE_FACTOR * median[block["gram_item"]]
-    gram, item, at = block["gram"][rare], block["gram_item"][rare], block["gram_at"][rare]
-    used, place = np.unique(gram, return_inverse=True)
-    order = np.argsort(place.reshape(-1), kind="stable")
-    upto = np.concatenate([[0], np.cumsum(np.bincount(place.reshape(-1), minlength=len(used)))])
-    return {**{k: block[k] for k in ("ids", "offsets", "words")}, "keys": block["keys"][used],
-            "seed_upto": upto, "seed_item": item[order], "seed_at": at[order]}
+            "keys": keys, "seed_upto": upto, "seed_item": item[order], "seed_at": (inside - offsets[item])[order]}
 
 
 # ---- documents --------------------------------------------------------------
 
-def _frequency_batches(batches: Iterator[pa.RecordBatch], keys) -> Iterator[pa.RecordBatch]:
-    """(place, documents): per slice, how many documents hold each known n-gram."""
-    for batch in batches:
-        for part in slices(batch, "text", SLICE):
-            offsets, words = _word_hashes(part.column("text"))
-            at, place = _gram_places(offsets, words, keys.value, SEED_WORDS)
-            doc = np.searchsorted(offsets, at, side="right") - 1
-            once = np.unique(np.stack([place, doc]), axis=1)[0] if len(at) else at
-            seen, n = np.unique(once, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n)], names=["place", "documents"])
-
-
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best Smith-Waterman score of each item against its passage, and the
     passage words [start, end) that the best alignment covers.
@@ -230,15 +197,16 @@ def _align_batches(batches: Iterator[pa.RecordBatch], shared, min_score: float)
             doc, item, low, high = _passages(block, offsets, words)
             score, start, end = np.zeros(len(doc)), np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
             order = np.argsort(high - low, kind="stable")
-            cells, group = 0, []
-            for n, i in enumerate(order.tolist()):
-                group.append(i)
-                cells += int(high[i] - low[i])
-                if cells > 50_000 or n == len(order) - 1:
-                    best, a, z = align([item_words[item[j]] for j in group], [words[low[j]:high[j]] for j in group])
-                    score[group] = best / np.array([MATCH * len(item_words[item[j]]) for j in group])
-                    start[group], end[group] = low[group] + a - offsets[doc[group]], low[group] + z - offsets[doc[group]]
-                    cells, group = 0, []
+            # The shorter passages of a group are padded to its longest one.
+            groups = []
+            for i in order.tolist():
+                if not groups or (len(groups[-1]) + 1) * (high[i] - low[i]) > CELLS:
+                    groups.append([])
+                groups[-1].append(i)
+            for group in groups:
+                best, a, z = align([item_words[item[j]] for j in group], [words[low[j]:high[j]] for j in group])
+                score[group] = best / np.array([MATCH * len(item_words[item[j]]) for j in group])
+                start[group], end[group] = low[group] + a - offsets[doc[group]], low[group] + z - offsets[doc[group]]
             kept = np.flatnonzero(score >= min_score)
             # The best passage of each document and item; of equal ones the first.
             kept = kept[np.lexsort((start[kept], -score[kept], item[kept], doc[kept]))]
@@ -265,9 +233,10 @@ def contaminated(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE
     each get their rows; texts are read whole; other columns are not read.
     Either table may be empty.
 
-    What a block of items broadcasts is bounded by ``block_words``. Two passes
+    What a block of items broadcasts is bounded by ``block_words``. One pass
     over the texts per block, without a shuffle of texts or of matches: a
     passage that very many documents hold is aligned where each of them lies.
+    A passage that shares no SEED_WORDS words in a row with an item has no seed.
     """
     spark = docs.sparkSession
     distinct = stored(distinct_items(items), "items")
@@ -280,12 +249,7 @@ def contaminated(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE
         block = _item_arrays(distinct.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id").toArrow())
         if not len(block["ids"]) and blocks > 1:
             continue
-        counted = rows.select("text").mapInArrow(
-            on_workers(__name__, "_frequency_batches", spark.sparkContext.broadcast(block["keys"])), "place long, documents long")
-        per_gram = counted.groupBy("place").agg(F.sum("documents").alias("documents")).toArrow()  # at most a row per n-gram of the block
-        frequency = np.zeros(len(block["keys"]), np.int64)
-        frequency[per_gram.column("place").to_numpy()] = per_gram.column("documents").to_numpy()
-        shared = spark.sparkContext.broadcast(_seeds(block, frequency))
+        shared = spark.sparkContext.broadcast(block)
         part = keyed.mapInArrow(on_workers(__name__, "_align_batches", shared, min_score),
                                 "doc_id long, text_key long, item_id long, score double, start_word long, end_word long")
         found = part if found is None else found.unionByName(part)

@@ -100,3 +100,17 @@ def test_empty_tables(spark):
     assert dc.contaminated(empty(spark), table).count() == 0
     assert dc.contaminated(documents(spark, [(1, "a b c d e f")]), none).count() == 0
     assert dc.without_contaminated(documents(spark, [(1, "a b c d e f")]), none).count() == 1
+
+
+def test_edited_copies_in_many_documents(spark):
+    rnd = random.Random(8)
+    own = [f"w{i}" for i in range(38)]
+    copy = [*own]
+    for at in (4, 9, 14, 19, 24):  # fewer than half of the 4-word runs survive
+        copy[at] = "other"
+    runs = {tuple(own[i:i + 4]) for i in range(35)}
+    assert 2 * len(runs & {tuple(copy[i:i + 4]) for i in range(35)}) < len(runs)
+    rows = [(i, f"{sentence(rnd, 30)} {' '.join(copy)} {sentence(rnd, 30)}") for i in range(40)] + [(100 + i, sentence(rnd, 90)) for i in range(9)]
+    items = spark.createDataFrame([(1, " ".join(own))], "item_id long, text string")
+    got = {r.doc_id: round(r.score, 6) for r in dc.contaminated(documents(spark, rows), items).collect()}
+    assert got == {i: round(smith_waterman(own, copy) / 76, 6) for i in range(40)}
