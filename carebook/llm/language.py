@@ -6,7 +6,8 @@ over the whole corpus by Spark. From them the driver compiles interpolated
 Kneser-Ney models: absolute discounting at the highest order, continuation
 counts below, down to single characters and a uniform floor. Models are kept
 in sorted hash arrays: hash of the run, and its log-probability in every
-language. A text's cross-entropy in a language is its mean negative
+language. Where there are more runs than one array should hold, Spark compiles
+the same models and they are broadcast whole, in blocks by hash. A text's cross-entropy in a language is its mean negative
 log-probability a character; the lowest one names the language.
 
 Rejection is calibrated on the training texts: per language, their mean
@@ -184,37 +185,111 @@ def compile_model(languages: list[str], lang: np.ndarray, runs: list[str], n: np
     return model
 
 
-def _log_probabilities(model: dict, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """log P of the symbol at each of ``ends`` given the ORDER - 1 before it, in each language."""
-    p = np.full((len(ends), len(model["languages"])), model["floor"], np.float64)
+def _log_probabilities(model: dict, codes: np.ndarray, ends: np.ndarray, blocks=()) -> np.ndarray:
+    """log P of the symbol at each of ``ends`` given the ORDER - 1 before it, in each language.
+
+    ``blocks`` has the (order, broadcast) pairs of a model in blocks (see ``fit``).
+    """
+    size = len(model["languages"])
+    p = np.full((len(ends), size), model["floor"], np.float64)
     for k in range(1, ORDER + 1):
-        gram_keys, share, context_keys, weight = model["orders"][k]
-        gram = _lookup(gram_keys, _run_hashes(codes, k)[ends])
-        if k == 1:
-            context = np.zeros(len(ends), np.int64) if len(context_keys) else np.full(len(ends), -1)
-        else:
-            context = _lookup(context_keys, _run_hashes(codes, k - 1)[ends - 1])
-        p = np.where((context >= 0)[:, None], p * weight[context], p) if len(weight) else p
-        if len(share):
-            p += np.where((gram >= 0)[:, None], share[gram], 0.0)
+        grams = _run_hashes(codes, k)[ends]
+        contexts = _run_hashes(codes, k - 1)[ends - 1] if k > 1 else np.zeros(len(ends), np.uint64)
+        if k in model["orders"]:
+            gram_keys, share, context_keys, weight = model["orders"][k]
+            gram, context = _lookup(gram_keys, grams), _lookup(context_keys, contexts)
+            p = np.where((context >= 0)[:, None], p * weight[context], p) if len(weight) else p
+            if len(share):
+                p += np.where((gram >= 0)[:, None], share[gram], 0.0)
+            continue
+        shares, weights = np.zeros((len(ends), size)), np.ones((len(ends), size))
+        for block in (b for order, b in blocks if order == k):
+            gram_rows, context_rows = block.value
+            _spread(shares, gram_rows, grams)
+            _spread(weights, context_rows, contexts)
+            if getattr(block, "_path", None):
+                block.__dict__.pop("_value", None)  # one block at a time in memory; it is read again from the worker's disk
+        p = p * weights + shares
     return np.log(p).astype(np.float32)
 
 
+def _spread(out: np.ndarray, rows: tuple, wanted: np.ndarray) -> None:
+    """Put the values of each wanted hash into its row of ``out``, in the columns of their languages."""
+    keys, upto, lang, value = rows
+    at = _lookup(keys, wanted)
+    hit = np.flatnonzero(at >= 0)
+    times = (upto[1:] - upto[:-1])[at[hit]]
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    source = np.repeat(upto[at[hit]], times) + nth
+    out[np.repeat(hit, times), lang[source]] = value[source]
+
+
+def _block_rows(hashes: np.ndarray, lang: np.ndarray, value: np.ndarray) -> tuple:
+    """Sorted hashes, where the rows of each begin and end, and the rows' languages and values."""
+    order = np.argsort(hashes, kind="stable")
+    keys, first = np.unique(hashes[order], return_index=True)
+    return keys, np.append(first, len(order)), lang[order].astype(np.int16), value[order].astype(np.float32)
+
+
+def _order_table(level: DataFrame, k: int, blocks: int) -> DataFrame:
+    """(block, is_gram, lang, part, value): of order ``k``, the discounted shares of
+    its runs and the weights of their contexts, from all of its counts (lang, run, n)."""
+    ones, twos = F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long"))
+    discounts = bounded_broadcast(level.groupBy("lang").agg(ones.alias("_ones"), twos.alias("_twos")).select(
+        "lang", F.when((F.col("_ones") > 0) & (F.col("_twos") > 0), F.col("_ones") / (F.col("_ones") + 2 * F.col("_twos")))
+        .otherwise(0.5).alias("discount")), MAX_LANGUAGES)
+    runs = level.withColumn("context", F.substring("run", 1, k - 1)).join(discounts, "lang")
+    contexts = runs.groupBy("lang", "context", "discount").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    shares = runs.join(contexts.select("lang", "context", "total"), ["lang", "context"]).select(
+        F.lit(True).alias("is_gram"), "lang", F.col("run").alias("part"), ((F.col("n") - F.col("discount")) / F.col("total")).alias("value"))
+    weights = contexts.select(F.lit(False).alias("is_gram"), "lang", F.col("context").alias("part"),
+                              (F.col("discount") * F.col("kinds") / F.col("total")).alias("value"))
+    rows = shares.unionByName(weights)
+    return rows.withColumn("block", F.pmod(F.xxhash64("part"), F.lit(blocks))).sort("block", "part", "lang")
+
+
+def _fit_in_blocks(counts: DataFrame, languages: list[str], max_runs: int) -> dict:
+    """The model that ``compile_model`` gives of all ``counts``, in blocks of about ``max_runs`` runs.
+
+    Spark computes its statistics; the driver holds one block at a time, and so
+    does a worker.
+    """
+    context = counts.sparkSession.sparkContext
+    symbols = counts.select(F.substring("run", -1, 1)).distinct().count()
+    level, blocks = counts, []
+    for k in range(ORDER, 0, -1):
+        n = -(-level.count() // max_runs)
+        rows = stored(_order_table(level, k, n), "language-blocks")
+        for b in range(n):
+            part = rows.where(F.col("block") == b).select("is_gram", "lang", "part", "value").toArrow()
+            lang = pc.index_in(part.column("lang"), value_set=pa.array(languages, pa.string())).to_numpy().astype(np.int64)
+            grams = part.column("is_gram").to_numpy()
+            texts, value = np.array(part.column("part").to_pylist(), object), part.column("value").to_numpy()
+            context_hash = _hash_texts(texts[~grams].tolist()) if k > 1 else np.zeros(int((~grams).sum()), np.uint64)
+            blocks.append((k, context.broadcast((_block_rows(_hash_texts(texts[grams].tolist()), lang[grams], value[grams]),
+                                                 _block_rows(context_hash, lang[~grams], value[~grams])))))
+        if k > 1:
+            level = stored(level.groupBy("lang", F.substring("run", 2, k - 1).alias("run")).agg(F.count(F.lit(1)).alias("n")), "lower-runs")
+    return {"languages": languages, "orders": {}, "floor": 1.0 / (symbols + 1), "blocks": blocks,
+            "full": (np.zeros(0, np.uint64), np.zeros((0, len(languages)), np.float32))}
+
+
 def fit(labelled: DataFrame, max_runs: int = MAX_RUNS) -> dict:
     """Model of every language in ``labelled`` (``lang``, ``text``; rows with a null are left out).
 
-    Counts cover all rows. The model holds at most ``max_runs`` runs, the most
-    frequent ones (ties to the smaller); beyond that a run falls back to its
-    lower orders. So what reaches the driver and the workers is bounded,
-    however large the corpus; at most ``MAX_LANGUAGES`` languages are allowed.
-    Without any labelled row the model is empty.
+    Counts cover all rows and the model holds all runs. With more than
+    ``max_runs`` of them (counted per language) it comes in blocks by hash of
+    about so many each, in ``blocks``; probabilities are the same. So what the
+    driver and a worker hold at a time is bounded, however large the corpus; at
+    most ``MAX_LANGUAGES`` languages are allowed. Without any labelled row the
+    model is empty.
     """
     counts = stored(run_counts(labelled), "runs")
     languages = [r[0] for r in counts.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
     if len(languages) > MAX_LANGUAGES:
         raise ValueError("too many languages for one model")
     if counts.count() > max_runs:
-        counts = counts.orderBy(F.col("n").desc(), "lang", "run").limit(max_runs)
+        return _fit_in_blocks(counts, languages, max_runs)
     rows = counts.toArrow()
     lang = pc.index_in(rows.column("lang"), value_set=pa.array(languages, pa.string())).to_numpy().astype(np.int64)
     return compile_model(languages, lang, rows.column("run").to_pylist(), rows.column("n").to_numpy())
@@ -225,8 +300,8 @@ def fit(labelled: DataFrame, max_runs: int = MAX_RUNS) -> dict:
 class _Scorer:
     """Scores texts; keeps the scores of at most ``max_kept`` words."""
 
-    def __init__(self, model: dict, max_kept: int = 250_000):
-        self.model, self.max_kept = model, max_kept
+    def __init__(self, model: dict, blocks=(), max_kept: int = 250_000):
+        self.model, self.blocks, self.max_kept = model, blocks, max_kept
         self.size = len(model["languages"])
         self.slot: dict[str, int] = {}
         self.kept = np.zeros((0, self.size + 1))
@@ -240,7 +315,7 @@ class _Scorer:
         logs = known[at].astype(np.float64) if len(known) else np.zeros((len(ends), self.size))
         new = np.flatnonzero(at < 0)
         if len(new):
-            logs[new] = _log_probabilities(self.model, codes, ends[new])
+            logs[new] = _log_probabilities(self.model, codes, ends[new], self.blocks)
         starts = np.searchsorted(ends, firsts)
         out = np.empty((len(words), self.size + 1))
         out[:, :-1] = np.add.reduceat(logs, starts, axis=0)
@@ -272,9 +347,9 @@ class _Scorer:
         return -sums[:, :-1] / np.maximum(n, 1)[:, None], n
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], shared, carried: list[str]) -> Iterator[pa.RecordBatch]:
+def _score_batches(batches: Iterator[pa.RecordBatch], shared, blocks, carried: list[str]) -> Iterator[pa.RecordBatch]:
     model = shared.value
-    scorer = _Scorer(model)
+    scorer = _Scorer(model, blocks)
     names = pa.array(model["languages"], pa.string())
     for batch in batches:
         for part in slices(batch, "text", SLICE):
@@ -306,10 +381,11 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
     ``und`` with score 0.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded: see fit
+    blocks = model.get("blocks", [])
+    shared = spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "blocks"})  # bounded: see fit
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text").cast("string")).alias("text_key"),
                        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(on_workers(__name__, "_score_batches", shared, ["doc_id", "text_key", "lang"]),
+    return rows.mapInArrow(on_workers(__name__, "_score_batches", shared, blocks, ["doc_id", "text_key", "lang"]),
                            "doc_id long, text_key long, lang string, lang_pred string, score double, entropy double, symbols long")
 
 

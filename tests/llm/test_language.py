@@ -75,6 +75,18 @@ def test_a_bounded_model_still_scores(spark):
     assert len(got) == 30 and all(np.isfinite(r.entropy) for r in got)
 
 
+def test_a_model_in_blocks_scores_like_a_whole_one(spark):
+    rnd = random.Random(14)
+    few = [(5000 + i, "".join(rnd.choice("xyzq") for _ in range(6)), "dd") for i in range(3)]  # a language with few rows
+    rows = corpus(150) + few + [(6000, "unseen ñandú xq", None), (6001, few[0][1], None)]
+    table = documents(spark, rows)
+    whole, divided = lm.fit(table), lm.fit(table, max_runs=120)
+    one = {r.doc_id: r for r in lm.scored(table, whole).collect()}
+    got = {r.doc_id: r for r in lm.scored(table.repartition(3), divided).collect()}
+    assert got == one and got[6001].lang_pred == "dd"
+    assert len(divided["blocks"]) > 4 and divided["floor"] == whole["floor"] and not whole.get("blocks")
+
+
 def test_empty_and_unlabelled(spark):
     assert lm.identify(empty(spark)).count() == 0
     got = lm.identify(documents(spark, [(1, "some words", None), (2, None, None)])).collect()
