@@ -1,9 +1,9 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance along directories.
 
-A file is scored by its statements (sentences of its lines) and, if its name
-marks it as a licence file, also as a whole, against licence templates. Weights
-come from the document frequencies of the templates' words over all files. A
-file without a licence of its own takes that of the nearest ancestor directory
+A file is scored by its statements (sentences of its lines, and sentences that
+run over several lines) and, if its name marks it as a licence file, also as a
+whole, against licence templates. Weights come from the document frequencies of
+all words over all files. A file without a licence of its own takes that of the nearest ancestor directory
 that holds a licence file.
 """
 
@@ -27,6 +27,9 @@ MAX_DIRECTORIES = 1_000_000
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([-_.].*)?$"
 _BREAK = r"[^\p{L}\p{M}\p{N}]+"
 _SENTENCE = r"\n|[.!?;][\x20\t\r]+"
+# Sentences over lines: a line without a letter or digit ends them too.
+_WRAPPED = r"\n[^\p{L}\p{N}\n]*\n|[.!?;]\s+"
+MAX_WORDS = 1_000_000
 
 # Licence statements, and the openings of licence texts.
 TEMPLATES = (
@@ -48,6 +51,10 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved."),
+    # Full sentences of the licence texts and headers, of which those above are the openings.
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
@@ -66,36 +73,39 @@ def _terms() -> list[str]:
     return sorted(set(words.filter(pa.array(there)).to_pylist()))
 
 
-def _frequency_batches(batches: Iterator[pa.RecordBatch], terms: list[str]) -> Iterator[pa.RecordBatch]:
+def _frequency_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, files) of each slice, and the number of files under the empty term."""
-    wanted = pa.array(terms)
     for batch in batches:
         for part in slices(batch, "text", SLICE):
-            offsets, words, _ = _words(part.column("text"))
-            place = pc.index_in(words.dictionary, value_set=wanted).fill_null(-1).to_numpy()[words.indices.to_numpy()]
-            at = np.flatnonzero(place >= 0)
-            owner = np.searchsorted(offsets, at, side="right") - 1
-            seen = np.unique(np.stack([place[at], owner]), axis=1)[0] if len(at) else at
-            n = np.bincount(seen, minlength=len(terms))
-            yield pa.RecordBatch.from_arrays([pa.array([*terms, ""]), pa.array([*n.tolist(), len(part)])], names=["term", "files"])
+            offsets, words, there = _words(part.column("text"))
+            owner = np.repeat(np.arange(len(part)), np.diff(offsets))[there]
+            seen = np.unique(words.indices.to_numpy()[there].astype(np.int64) * len(part) + owner) // max(1, len(part))
+            place, n = np.unique(seen, return_counts=True)
+            terms = words.dictionary.take(pa.array(place)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([terms, pa.array([""], pa.string())]), pa.array([*n.tolist(), len(part)], pa.int64())], names=["term", "files"])
+
+
+def frequencies(files: DataFrame) -> DataFrame:
+    """(term, files): how many files hold each word, and under the empty term the number of files."""
+    texts = files.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    counted = texts.mapInArrow(on_workers(__name__, "_frequency_batches"), "term string, files long")
+    return stored(counted.groupBy("term").agg(F.sum("files").alias("files")), "word-files")
 
 
-def weights(files: DataFrame) -> tuple[list[str], np.ndarray, float]:
-    """The templates' words, their inverse document frequencies, and that of any other word (as rare as can be)."""
+def weights(counted: DataFrame) -> tuple[list[str], np.ndarray, int]:
+    """The templates' words, their inverse document frequencies, and the number of files."""
     terms = _terms()
-    counted = files.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(
-        on_workers(__name__, "_frequency_batches", terms), "term string, files long")
-    n = {r["term"]: r["files"] for r in counted.groupBy("term").agg(F.sum("files").alias("files")).collect()}  # one row per template word
+    n = {r["term"]: r["files"] for r in counted.where(F.col("term").isin("", *terms)).collect()}  # one row per template word
     total = n.get("", 0)
-    idf = np.array([1 + np.log((1 + total) / (1 + n.get(t, 0))) for t in terms])
-    return terms, idf, float(1 + np.log(1 + total))
+    return terms, np.array([1 + np.log((1 + total) / (1 + n.get(t, 0))) for t in terms]), total
 
 
 class Scorer:
-    """Cosines of statements to all templates."""
+    """What cosines of statements to all templates are made of."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray, other: float):
-        self.terms, self.idf, self.other = pa.array(terms), idf, other
+    def __init__(self, terms: list[str], idf: np.ndarray):
+        self.terms, self.idf = pa.array(terms), idf
         offsets, words, there = _words(pa.array([t for _, t in TEMPLATES]))
         place = pc.index_in(words.cast(pa.string()), value_set=self.terms).fill_null(-1).to_numpy()
         self.matrix = np.zeros((len(terms), len(TEMPLATES)))
@@ -103,55 +113,110 @@ class Scorer:
         np.add.at(self.matrix, (place[there], owner[there]), idf[place[there]])
         self.matrix /= np.linalg.norm(self.matrix, axis=0)
 
-    def cosines(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Best cosine of each text and the template that has it (the first, of equal ones)."""
+    def products(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """Of the texts that hold a template word: their numbers, best product with
+        a template, the template that has it (the first, of equal ones) and the
+        squared norm of their template words. And the text, word (as a place in
+        the dictionary given last) and times of each of their other words.
+
+        A text's norm is the same for all templates, so its other words decide
+        how high its best cosine is, not which template has it.
+        """
         offsets, words, there = _words(texts)
         index = words.indices.to_numpy()
-        known = pc.index_in(words.dictionary, value_set=self.terms).fill_null(-1).to_numpy()[index]
+        term = pc.index_in(words.dictionary, value_set=self.terms).fill_null(-1).to_numpy()
         owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
-        best, which = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-        # Texts without a template word have cosine 0.
-        some = np.unique(owner[known >= 0])
-        if not len(some):
-            return best, which
+        some = np.unique(owner[term[index] >= 0])
         row = np.full(len(texts), -1)
         row[some] = np.arange(len(some))
         mine = (row[owner] >= 0) & there
-        r, known, index = row[owner[mine]], known[mine], index[mine]
-        pair, times = np.unique(np.stack([r, index]), axis=1, return_counts=True)
-        place = pc.index_in(words.dictionary, value_set=self.terms).fill_null(-1).to_numpy()[pair[1]]
-        weight = np.where(place >= 0, self.idf[place], self.other) * times
-        norm = np.sqrt(np.bincount(pair[0], weights=weight ** 2, minlength=len(some)))
+        width = max(1, len(words.dictionary))
+        pair, times = np.unique(row[owner[mine]] * width + index[mine], return_counts=True)
+        r, word = pair // width, pair % width
+        place = term[word]
         hit = place >= 0
+        weight = self.idf[place[hit]] * times[hit]
+        known = np.bincount(r[hit], weights=weight ** 2, minlength=len(some))
         dots = np.zeros((len(some), len(TEMPLATES)))
-        np.add.at(dots, pair[0][hit], weight[hit, None] * self.matrix[place[hit]])
-        dots /= norm[:, None]
-        which[some] = dots.argmax(1)
-        best[some] = dots.max(1)
-        return best, which
+        np.add.at(dots, r[hit], weight[:, None] * self.matrix[place[hit]])
+        which = dots.argmax(1) if len(some) else np.zeros(0, np.int64)
+        return some, dots[np.arange(len(some)), which], which, known, r[~hit], word[~hit], times[~hit], words.dictionary
+
+
+def _wrapped(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The sentences that run over several lines, and their texts' numbers."""
+    lists = pc.split_pattern_regex(texts, _WRAPPED)
+    flat = pc.list_flatten(lists)
+    owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy().astype(np.int64)))
+    over = pc.match_substring(flat, "\n")
+    return owner[over.to_numpy(zero_copy_only=False)], flat.filter(over)
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], terms: list[str], idf: np.ndarray, other: float,
+def _score_batches(batches: Iterator[pa.RecordBatch], terms: list[str], idf: np.ndarray, rarest: float,
                    least: float) -> Iterator[pa.RecordBatch]:
-    scorer = Scorer(terms, idf, other)
-    names = np.array([n for n, _ in TEMPLATES], object)
+    """Each file, numbered, with the statements that may be its best one.
+
+    A word's idf is from 1 to ``rarest``, so a statement's cosine lies between
+    two bounds. One that cannot reach ``least``, or another one's lower bound,
+    is left out.
+    """
+    from pyspark import TaskContext
+    scorer, number = Scorer(terms, idf), TaskContext.get().partitionId() << 40
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             text = part.column("text")
             statements = pc.split_pattern_regex(text, _SENTENCE)
-            offsets = statements.offsets.to_numpy().astype(np.int64)
-            flat = pc.list_flatten(statements)
+            lines = np.repeat(np.arange(len(text)), np.diff(statements.offsets.to_numpy().astype(np.int64)))
+            wrapped, over = _wrapped(text)
             whole = np.flatnonzero(part.column("licence_file").to_numpy(zero_copy_only=False))
-            owner = np.concatenate([np.repeat(np.arange(len(text)), np.diff(offsets)), whole])
-            cosine, which = scorer.cosines(pa.concat_arrays([flat, text.take(pa.array(whole))]))
-            order = np.lexsort((which, -cosine, owner))
-            first = order[np.unique(owner[order], return_index=True)[1]]
-            found = cosine[first] >= least
-            licence = np.where(found, names[which[first]], None)
+            owner = np.concatenate([lines, wrapped, whole])
+            some, dot, which, known, r, word, times, dictionary = scorer.products(
+                pa.concat_arrays([pc.list_flatten(statements), over, text.take(pa.array(whole))]))
+            others = np.bincount(r, weights=times.astype(float) ** 2, minlength=len(some))
+            high, low = dot / np.sqrt(known + others), dot / np.sqrt(known + others * rarest ** 2)
+            bar = np.full(len(text), least)
+            np.maximum.at(bar, owner[some], low)
+            kept = np.flatnonzero(high >= bar[owner[some]] - 1e-9)
+            kept = kept[np.argsort(owner[some[kept]], kind="stable")]
+            upto = np.searchsorted(owner[some[kept]], np.arange(len(text) + 1))
+            a, z = np.searchsorted(r, kept), np.searchsorted(r, kept, side="right")
+            at = np.concatenate([np.zeros(0, np.int64), *map(np.arange, a.tolist(), z.tolist())])
+            word_upto = pa.array(np.concatenate([[0], np.cumsum(z - a)]).astype(np.int32))
+            candidates = pa.StructArray.from_arrays(
+                [pa.array(which[kept].astype(np.int64)), pa.array(dot[kept]), pa.array(known[kept]),
+                 pa.ListArray.from_arrays(word_upto, pa.StructArray.from_arrays(
+                     [dictionary.take(pa.array(word[at])).cast(pa.string()), pa.array(times[at].astype(np.int64))], names=["term", "times"]))],
+                names=["which", "dot", "known", "others"])
             yield pa.RecordBatch.from_arrays(
-                [*[part.column(c) for c in ("doc_id", "path", "licence_file")], pa.array(licence.tolist(), pa.string()),
-                 pa.array(np.where(found, np.minimum(cosine[first], 1.0), 0.0))],
-                names=["doc_id", "path", "licence_file", "licence", "score"])
+                [pa.array(np.arange(number, number + len(text))), *[part.column(c) for c in ("doc_id", "path", "licence_file")],
+                 pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), candidates)],
+                names=["number", "doc_id", "path", "licence_file", "candidates"])
+            number += len(text)
+
+
+_SCORED = ("number long, doc_id long, path string, licence_file boolean, "
+           "candidates array<struct<which: long, dot: double, known: double, others: array<struct<term: string, times: long>>>>")
+
+
+def _own(rows: DataFrame, min_cosine: float) -> DataFrame:
+    """``doc_id``, ``path``, ``licence_file`` and each row's own ``licence`` and ``score`` (null and 0 if none)."""
+    counted = frequencies(rows)
+    terms, idf, total = weights(counted)
+    files = stored(rows.mapInArrow(on_workers(__name__, "_score_batches", terms, idf, float(1 + np.log(1 + total)), min_cosine), _SCORED),
+                   "licence-candidates")
+    candidates = files.select("number", F.posexplode("candidates").alias("at", "c"))
+    others = candidates.select("number", "at", F.explode("c.others").alias("o")).select("number", "at", "o.term", "o.times")
+    used = others.select("term").distinct().join(counted, "term").select(
+        "term", (1 + F.log((1 + F.lit(total)) / (1 + F.col("files")))).alias("idf"))
+    squares = (others.join(bounded_broadcast(stored(used, "other-words"), MAX_WORDS), "term")
+               .groupBy("number", "at").agg(F.sum(F.pow(F.col("idf") * F.col("times"), F.lit(2))).alias("_others")))
+    cosine = F.col("c.dot") / F.sqrt(F.col("c.known") + F.coalesce("_others", F.lit(0.0)))
+    best = (candidates.join(squares, ["number", "at"], "left").select("number", cosine.alias("cosine"), (-F.col("c.which")).alias("which"))
+            .where(F.col("cosine") >= min_cosine).groupBy("number").agg(F.max(F.struct("cosine", "which")).alias("_best")))
+    names = F.array(*[F.lit(n) for n, _ in TEMPLATES])
+    return files.join(best, "number", "left").select(
+        "doc_id", "path", "licence_file", F.get(names, (-F.col("_best.which")).cast("int")).alias("licence"),
+        F.coalesce(F.least(F.col("_best.cosine"), F.lit(1.0)), F.lit(0.0)).alias("score"))
 
 
 def _directory(path: Column) -> Column:
@@ -177,10 +242,7 @@ def licences(files: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     name = F.regexp_extract("path", r"([^/]*)$", 1)
     rows = rows.withColumn("licence_file", F.coalesce(name.rlike(LICENCE_FILE), F.lit(False)))
-    terms, idf, other = weights(rows)
-    own = stored(rows.mapInArrow(on_workers(__name__, "_score_batches", terms, idf, other, min_cosine),
-                                 "doc_id long, path string, licence_file boolean, licence string, score double")
-                 .withColumn("directory", _directory(F.col("path"))), "licences")
+    own = stored(_own(rows, min_cosine).withColumn("directory", _directory(F.col("path"))), "licences")
 
     at = (own.where("licence_file and licence is not null and directory is not null").groupBy("directory")
           .agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("licence").alias("licence"))).alias("_b"))

@@ -61,3 +61,28 @@ def test_scores_equal_plain_cosines(spark):
         text = next(t for i, p, t in ROWS if (i, p) == (r.doc_id, r.path))
         best = max((cosine(vector(s), vector(t)), name) for s in re.split(r"\n|[.!?;][ \t\r]+", text) for name, t in li.TEMPLATES)
         assert r.score == pytest.approx(best[0]) and r.score >= li.MIN_COSINE
+
+
+def test_a_common_word_weighs_little(spark):
+    def scored(n):
+        rows = [(i, f"p/{i}", f"plain widget row{i}") for i in range(n)] + [(n, "q/x", "Released under the MIT License widget")]
+        r = li.licences(files(spark, rows).repartition(3)).where(f"doc_id = {n}").first()
+        return r.licence, r.score
+    got = [scored(n) for n in (20, 3000)]
+    for n, (licence, score) in zip((20, 3000), got):
+        rare = 5 * (1 + math.log((2 + n) / 2)) ** 2  # five words in one file, and "widget" in all
+        assert licence == "MIT" and score == pytest.approx(math.sqrt(rare / (rare + 1)))
+
+
+def test_wrapped_statements_of_ordinary_files(spark):
+    mit = next(t for n, t in li.TEMPLATES if n == "MIT" and "sublicense" in t)
+    apache = next(t for n, t in li.TEMPLATES if n == "Apache-2.0" and "compliance" in t)
+    bsd = next(t for n, t in li.TEMPLATES if n == "BSD-3-Clause" and "Redistribution" in t)
+
+    def wrap(text, mark):
+        return "\n".join(mark + line for line in re.findall(r".{1,40}(?:\s|$)", text))
+    rows = [(1, "a.py", f"# Copyright 2020 someone\n#\n{wrap(mit, '# ')}\n#\n# The above\ncode"), (2, "b.c", f"/*\n{wrap(apache, ' * ')}\n */\nint x;"),
+            (3, "c.go", f"{wrap(bsd, '// ')}\n//\n// more\n"), (4, "d.py", "a plain text\nover two lines")]
+    rows += [(10 + i, f"{i}.py", f"some other words\nof file {i}") for i in range(300)]
+    got = {r.doc_id: r.licence for r in li.licences(files(spark, rows)).collect()}
+    assert got == {1: "MIT", 2: "Apache-2.0", 3: "BSD-3-Clause", **{r[0]: None for r in rows[3:]}}
