@@ -23,6 +23,7 @@ CONTEXT_ROLES = ("system",)  # rendered for everyone, nobody's perspective
 UNNAMED = "unnamed"
 END = "<|end|>\n"
 MAX_SPANNING = 1_000_000
+RANGE_CHARS = 1024
 
 
 def _head(speaker: Column, perspective: Column) -> Column:
@@ -88,7 +89,9 @@ def rotate(turns: DataFrame) -> DataFrame:
     order = ["conv_id", "perspective", "turn", "speaker", "segment"]
     schema = ("conv_id long, perspective string, turn long, speaker string, head_length long, segment string, length long, "
               "part int, local_position long, local_start long")
-    parts = stored(seen.repartitionByRange(*order[:4], F.xxhash64("segment")).sortWithinPartitions(*order)
+    # The driver samples what ranges are cut by, so that is a segment's beginning;
+    # segments that begin alike lie in one part, where the whole ones are sorted.
+    parts = stored(seen.repartitionByRange(*order[:4], F.substring("segment", 1, RANGE_CHARS)).sortWithinPartitions(*order)
                    .mapInArrow(on_workers(__name__, "_running_batches"), schema), "turns")
     sums = parts.groupBy("conv_id", "perspective", "part").agg(F.count(F.lit(1)).alias("_rows"), F.sum("length").alias("_chars"))
     dialogue = Window.partitionBy("conv_id", "perspective").orderBy("part")

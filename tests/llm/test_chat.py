@@ -46,3 +46,18 @@ def test_rotation(spark):
         assert (whole, [(r.train_start, r.train_end) for r in segments if r.train_start is not None]) == want[key]
         assert all(whole[r.start:r.end] == r.segment for r in segments)
     assert chat.rotate(frame.where("false")).count() == 0
+
+
+def test_many_ties_over_several_partitions(spark):
+    rows = [(1, None, "ann", f"tie {i * 7919 % 4001}") for i in range(4001)] + [(2, t, "bob", "x") for t in range(50)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for partitions in ("3", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            got = [r.segment for r in chat.rotate(frame).where("conv_id = 1").orderBy("position").collect()]
+            assert got == sorted(got) and len(got) == 4001
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
