@@ -10,10 +10,12 @@ language. Where there are more runs than one array should hold, Spark compiles
 the same models and they are broadcast whole, in blocks by hash. A text's cross-entropy in a language is its mean negative
 log-probability a character; the lowest one names the language.
 
-Rejection is calibrated on the training texts: per language, their mean
-cross-entropy and its variance for one symbol. A text is rejected if its
-cross-entropy in the named language lies above the mean by more than
-``sigmas`` standard deviations at its length, or if it has no letters.
+Rejection is calibrated on the training texts by medians, so that no few texts
+set it, however long: per language, the median cross-entropy, its spread between
+texts (from the longer half of them) and its variance for one symbol (from the
+shorter half). A text is rejected if its cross-entropy in the named language
+lies above the median by more than ``sigmas`` standard deviations at its
+length, or if it has no letters.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ MAX_RUNS = 2_000_000
 MAX_LANGUAGES = 400
 REJECT_SIGMAS = 8.0
 LEAST_SIGMA = 0.05  # nats a symbol; texts of one language differ that much at any length
+NORMAL_MAD = 0.6745  # median absolute deviation of a normal variable of variance 1
 UNDETERMINED = "und"
 _START, _END = 2, 3  # marks of a word's start and end; not letters
 _NOT_LETTERS = r"[^\p{L}\p{M}]+"
@@ -389,19 +392,25 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
                            "doc_id long, text_key long, lang string, lang_pred string, score double, entropy double, symbols long")
 
 
+def _median(column: Column) -> Column:
+    return F.percentile_approx(column, 0.5, 10_000)
+
+
 def calibrated(scores: DataFrame, training: Column, sigmas: float = REJECT_SIGMAS) -> DataFrame:
     """``scores`` with ``rejected``; one row per language is gathered from the training rows."""
     n, h = F.col("symbols").cast("double"), F.col("entropy")
-    sums = scores.where(training & (F.col("symbols") > 0)).groupBy("lang_pred").agg(
-        F.count(F.lit(1)).alias("_texts"), F.sum(n).alias("_n"), F.sum(n * h).alias("_nh"), F.sum(n * h * h).alias("_nhh"))
-    mean = F.col("_nh") / F.col("_n")
-    levels = sums.select("lang_pred", mean.alias("_mean"),
-                         (F.greatest(F.col("_nhh") - mean * F.col("_nh"), F.lit(0.0)) / F.col("_texts")).alias("_variance"))
-    sigma = F.sqrt(F.lit(LEAST_SIGMA ** 2) + F.col("_variance") / n)
+    texts = scores.where(training & (F.col("symbols") > 0))
+    middle = bounded_broadcast(stored(texts.groupBy("lang_pred").agg(_median(h).alias("_mean"), _median(n).alias("_half")), "medians"), MAX_LANGUAGES)
+    away = F.abs(h - F.col("_mean"))
+    levels = texts.join(middle, "lang_pred").groupBy("lang_pred").agg(
+        F.first("_mean").alias("_mean"),
+        (_median(F.when(n >= F.col("_half"), away)) / NORMAL_MAD).alias("_between"),
+        (_median(F.when(n <= F.col("_half"), n * away * away)) / NORMAL_MAD ** 2).alias("_variance"))
+    sigma = F.sqrt(F.greatest(F.pow("_between", F.lit(2)), F.lit(LEAST_SIGMA ** 2)) + F.col("_variance") / n)
     far = h > F.col("_mean") + sigmas * sigma
     return (scores.join(bounded_broadcast(levels, MAX_LANGUAGES), "lang_pred", "left")
             .withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | F.coalesce(far, F.lit(False)))
-            .drop("_mean", "_variance"))
+            .drop("_mean", "_between", "_variance"))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -87,6 +87,18 @@ def test_a_model_in_blocks_scores_like_a_whole_one(spark):
     assert len(divided["blocks"]) > 4 and divided["floor"] == whole["floor"] and not whole.get("blocks")
 
 
+def test_one_long_odd_text_does_not_widen_the_limit(spark):
+    rnd = random.Random(15)
+    junk = [(3000 + i, " ".join("".join(rnd.choice(SYLLABLES["aa"]) if rnd.random() < 0.3 else rnd.choice("ktmans") for _ in range(5)) for _ in range(12)), None)
+            for i in range(5)]
+    odd = next(i for i in range(4000, 4100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows = corpus() + [(odd, "tunres " * 2500, "aa")]  # named rightly, far below the others' entropy
+    got = {r.doc_id: r for r in lm.identify(documents(spark, rows + junk).repartition(3)).collect()}
+    assert got[odd].lang_pred == "aa" and all(got[i].lang_pred == "aa" for i, _, _ in junk)
+    assert all(got[i].rejected for i, _, _ in junk)
+    assert not any(got[i].rejected for i in range(240))
+
+
 def test_empty_and_unlabelled(spark):
     assert lm.identify(empty(spark)).count() == 0
     got = lm.identify(documents(spark, [(1, "some words", None), (2, None, None)])).collect()
