@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.llm import bit_sliced, chat, decontaminate, language, licenses, line_templates, packing, secrets, simhash, token_files
+from carebook.llm import (bit_sliced, chat, decontaminate, filter_audit, hamming_search, language, licenses, line_templates, packing, prefix_trie, secrets,
+                          simhash, token_files)
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -70,6 +71,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations, one row per node."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, per source."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest other vectors of every fiftieth vector, by cosine."""
+    return hamming_search.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
@@ -81,10 +97,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_licenses": op9_licenses,
     "op10_packing": op10_packing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_hamming_search": op13_hamming_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_bit_sliced": bit_sliced.ORACLE,
     "op5_chat": chat.ORACLE,
     "op7_line_templates": line_templates.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }

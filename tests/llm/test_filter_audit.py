@@ -1,0 +1,85 @@
+"""The filter audit against filters applied one after the other."""
+
+from __future__ import annotations
+
+import random
+import re
+from itertools import permutations
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from carebook.llm import filter_audit as fa
+from tests.llm.data import CLASHING, prose
+
+COLUMNS = ["part", "filter_order", "step", "filter", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+
+
+def brute(rows, labels):
+    first = {}
+    for doc_id, text, _ in rows:
+        if doc_id is not None:
+            first[text or ""] = min(doc_id, first.get(text or "", doc_id))
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    parts = {}
+    for doc_id, text, source in rows:
+        t = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = {"A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words), "C": 100 * len(re.findall("[A-Z]", t)) > 2 * len(t),
+                 "D": bool(re.search(r"[#$%&*|]", t)), "E": doc_id is not None and first[t] < doc_id}
+        parts.setdefault(source or "", []).append(({f for f, x in fails.items() if x}, doc_id in good, doc_id in toxic))
+    out = []
+    for part, docs in parts.items():
+        shapley = dict.fromkeys("ABCDE", 0)
+        mine = []
+        for order in permutations("ABCDE"):
+            left = docs
+            for step, f in enumerate(order, 1):
+                here = [d for d in left if f in d[0]]
+                gone = sum(f in d[0] for d in docs) - len(here)
+                left = [d for d in left if f not in d[0]]
+                shapley[f] += len(here)
+                mine.append([part, "".join(order), step, f, len(left), len(here), gone, sum(d[0] == {f} for d in docs),
+                             sum(d[1] for d in here), sum(d[2] for d in here)])
+        out += [tuple(m + [shapley[m[3]]]) for m in mine]
+    return sorted(out)
+
+
+def found(spark, rows, labels):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select(
+        "*", *[F.lit(i).alias(c) for i, c in enumerate((*CLASHING, "part", "mask", "digest", "good", "toxic", "state"))])
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").select("*", *[F.lit(i).alias(c) for i, c in enumerate(("part", "text"))])
+    return sorted(tuple(r) for r in fa.audit(docs, marks).select(*COLUMNS).collect())
+
+
+def odd_documents(rnd):
+    texts = [prose(rnd, 230), prose(rnd, 230).upper(), " ".join(f"w{i}" for i in range(400)), " ".join(f"w{i}" for i in range(400)) + " 100 %",
+             "a|b", "", None, " \t\x0b\x0c ", "ÄÖ Ünïcode \U0001f600 no break", "X" * 30_000, "same  text"]
+    rows = [(i, rnd.choice(texts), rnd.choice(["a", "b", "", None])) for i in range(150)]
+    return rows + [(None, "same  text", "a"), (None, None, None), (3, "same  text", "c"), *rows[:6]]
+
+
+def test_equals_filters_in_order(spark):
+    rnd = random.Random(1)
+    rows = odd_documents(rnd)
+    labels = [(i, rnd.choice([0, 1, None]), rnd.choice([0, 1, None])) for i in range(0, 200, 2)] + [(4, 1, 1), (4, 0, 0), (None, 1, 1)]
+    assert found(spark, rows, labels) == brute(rows, labels)
+
+
+def test_empty_tables(spark):
+    assert found(spark, [], [(1, 1, 1)]) == []
+    rows = [(1, "x", "s"), (2, "x", None)]
+    assert found(spark, rows, []) == brute(rows, [])
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 2 ** 31))
+def test_walk_equals_counting(seed):
+    cells = np.random.default_rng(seed).integers(0, 50, (3, 32, 2))
+    states = fa.walk(cells)
+    for state in range(32):
+        alive = [m for m in range(32) if not m & state]
+        assert (states[state] == cells[:, alive].sum(1)).all()

@@ -1,0 +1,139 @@
+"""The prefix trie against rebuilt conversations held whole."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+from functools import reduce
+
+import numpy as np
+import pytest
+
+from carebook.llm import prefix_trie as pt
+from pyspark.sql import functions as F
+from tests.llm.data import CLASHING, prose
+
+
+def brute(rows, every=20):
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    convs = {c: [t[2:] for t in sorted(ts)] for c, ts in convs.items()}
+    rebuilt = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        rebuilt[c] = convs.get(c - c % every, [])[:h] + own[h:]
+    members = defaultdict(list)
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, cs in members.items():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += (len(cs) - 1) * words
+            leaves[node[:d]] += not children[node]
+    out = []
+    for node, cs in members.items():
+        ends = ",".join(str(c) for c in sorted(cs) if len(rebuilt[c]) == len(node))
+        out.append((min(cs), len(node), min(members[node[:-1]]) if node else None, len(cs), children[node], leaves[node], saved[node],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def frame(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHING)])
+
+
+def found(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def made_up(rnd):
+    """Bases and others with shared beginnings, missing bases, short ones, nulls, repeated rows."""
+    pool = [("user", prose(rnd, n)) for n in (3, 5, 8)] + [(None, "a  b\t c"), ("system", None), (None, None), ("user", ""), ("assistant", "\x0b \x0c")]
+    rows = []
+    for c in [*range(0, 45), *range(60, 64), 81, 82, 400, 1999, 2000, 2001]:
+        for t in range(rnd.choice([1, 1, 2, 3, 5, 7])):
+            rows.append((c, t, *rnd.choice(pool[:2 + c % 7])))
+    rows += [(7, None, "user", "first of all"), (7, None, "user", "first of all"), (8, 0, "user", "x" * 50_000), (None, 1, "user", "nobody's")]
+    rows += rows[:20]
+    rnd.shuffle(rows)
+    return rows
+
+
+def test_equals_whole_conversations(spark):
+    for seed in (1, 2):
+        rows = made_up(random.Random(seed))
+        assert found(pt.prefix_trie(frame(spark, rows))) == brute(rows)
+
+
+def test_long_conversation_over_many_parts(spark):
+    """One conversation with over a third of all turns is cut over partitions, in small blocks of depth."""
+    rnd = random.Random(5)
+    rows = [(21, t, "user", prose(rnd, 4)) for t in range(500)]
+    rows += [(c, t, "user", prose(rnd, 3)) for c in range(22, 40) for t in range(25)]
+    rows += [(c, t, "user", f"turn {t}") for c in (60, 61, 62) for t in range(120)]
+    before = pt.DEPTH_BLOCK
+    pt.DEPTH_BLOCK = 40
+    try:
+        df = frame(spark, rows).repartition(8)
+        assert found(pt.prefix_trie(df)) == brute(rows)
+    finally:
+        pt.DEPTH_BLOCK = before
+
+
+def test_many_equal_conversations(spark, monkeypatch):
+    """The numbers of conversations that end in one node are digested in chunks."""
+    monkeypatch.setattr(pt, "IDS_A_CHUNK", 50)
+    rows = [(c, t, "user", f"same {t}") for c in range(1, 900) for t in range(4)] + [(c, 0, "user", f"own {c}") for c in range(900, 1500)]
+    assert found(pt.prefix_trie(frame(spark, rows))) == brute(rows)
+
+
+def test_empty(spark):
+    assert found(pt.prefix_trie(frame(spark, []))) == []
+    assert found(pt.prefix_trie(frame(spark, [(None, 0, "user", "a")]))) == []
+
+
+def test_products_are_cut_anywhere():
+    """A product does not depend on the batches, and a part can be divided off."""
+    rng = np.random.default_rng(0)
+    k1, k2 = rng.integers(-2 ** 63, 2 ** 63 - 1, (2, 50))
+    u, b = pt.symbols(k1, k2, 0)
+    with np.errstate(over="ignore"):
+        assert (u * pt.inverse(u) == 1).all()
+        products = list(zip(u.tolist(), (b * u).tolist()))
+    whole, left, right = (reduce(pt._times, some, (1, 0)) for some in (products, products[:20], products[20:]))
+    assert pt._times(left, right) == whole
+    back = pow(left[0], -1, 1 << 64)
+    assert (whole[0] * back % 2 ** 64, (whole[1] - left[1]) * back % 2 ** 64) == right
+
+
+@pytest.mark.parametrize("step", ["_prefixes", "_nodes"])
+def test_colliding_fingerprints_are_drawn_again(spark, monkeypatch, step):
+    """Keys or fingerprints that stand for different turns are found, and other hashes are taken."""
+    rows = made_up(random.Random(3))
+    real, tried = getattr(pt, "_turns"), []
+
+    def colliding(conversations, salt):
+        tried.append(salt)
+        turns = real(conversations, salt)
+        if salt == 0:
+            turns = turns.withColumns({"k1": F.col("k1") % 2, "k2": F.lit(0).cast("long")}) if step == "_prefixes" else turns
+        return turns
+
+    monkeypatch.setattr(pt, "_turns", colliding)
+    if step == "_nodes":
+        nodes = pt._nodes
+        monkeypatch.setattr(pt, "_nodes", lambda p: None if len(tried) == 1 and nodes(p.withColumn("f1", F.lit(0).cast("long")).withColumn(
+            "f2", F.lit(0).cast("long"))) is None else nodes(p))
+    assert found(pt.prefix_trie(frame(spark, rows))) == brute(rows)
+    assert tried == [0, 1]
