@@ -95,7 +95,7 @@ def _flag_hot(df: DataFrame, key: list, plain_below: int | None, max_hot_keys: i
     return df.join(hot, reduce(and_, same), "left").drop(*[f"_hot_key_{i}" for i in range(len(key))])
 
 
-def _flag_hot_in_time(df: DataFrame, key: list, ts: str, bucket_seconds: int, plain_below: int | None,
+def flag_hot_in_time(df: DataFrame, key: list, ts: str, bucket_seconds: int, plain_below: int | None,
                       max_hot_keys: int) -> DataFrame | None:
     """``df`` with HOT and, for hot keys, BUCKET: the start of the row's time
     bucket in microseconds; None if no key is hot. A key with very full buckets
@@ -193,7 +193,7 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     if bucket_seconds <= 0 or window_seconds % bucket_seconds:
         raise ValueError("bucket_seconds must divide the trailing window")
     window = window_seconds * 1_000_000
-    flagged = _flag_hot_in_time(df, key, ts, bucket_seconds, plain_below, max_hot_keys)
+    flagged = flag_hot_in_time(df, key, ts, bucket_seconds, plain_below, max_hot_keys)
     any_hot = flagged is not None
     d = flagged if any_hot else df.withColumns({HOT: F.lit(None).cast("boolean"), BUCKET: F.lit(None).cast("long")})
     d = d.withColumn("_v", cents(value)).withColumn("_tm", ntz_micros(ts))
@@ -265,7 +265,7 @@ def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int,
     key = list(key)
     gap = _interval_seconds(gap_seconds)
     d = df.select(*key, ts).where(F.col(ts).isNotNull())
-    flagged = _flag_hot_in_time(d, key, ts, bucket_seconds, plain_below, max_hot_keys)
+    flagged = flag_hot_in_time(d, key, ts, bucket_seconds, plain_below, max_hot_keys)
     if flagged is None:
         return _episodes_plain(d, key, ts, gap)
     hot = _episodes_bucketed(flagged.where(HOT).drop(HOT), key, ts, gap)

@@ -175,6 +175,35 @@ ORACLE_SQL: dict[str, str] = {
         INTERSECT
         SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' AND user_id IS NOT NULL
     """,
+    "entries_with_last_signup": """
+        SELECT e.event_id, e.ts, e.user_id, e.event_type, s.event_id AS signup_id, s.ts AS signup_ts
+        FROM events e LEFT JOIN events s ON s.user_id = e.user_id AND s.event_type = 'signup' AND s.ts < e.ts
+        QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY s.ts DESC NULLS LAST, s.event_id DESC) = 1
+    """,
+    "concurrent_care": """
+        WITH g AS (
+            SELECT user_id, ts,
+                   CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 2 HOURS THEN 1 ELSE 0 END AS brk
+            FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        s AS (SELECT user_id, ts, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS ep FROM g),
+        ep AS (
+            SELECT c_nationkey AS d, min(ts) AS a, max(ts) + INTERVAL 2 HOURS AS z
+            FROM s JOIN customer ON user_id = c_custkey GROUP BY user_id, c_nationkey, ep),
+        times AS (SELECT d, a AS tm FROM ep UNION SELECT d, z FROM ep),
+        opened AS (SELECT d, tm, (SELECT count(*) FROM ep WHERE ep.d = times.d AND a <= tm AND tm < z) AS n FROM times),
+        peak AS (SELECT d, n, min(tm) AS since FROM opened o WHERE n = (SELECT max(n) FROM opened p WHERE p.d = o.d) GROUP BY d, n)
+        SELECT n_nationkey, n_name, CAST(n AS BIGINT) AS open_episodes, since AS peak_start,
+               (SELECT min(tm) FROM opened o WHERE o.d = peak.d AND o.tm > since AND o.n < peak.n) AS peak_end
+        FROM peak JOIN nation ON d = n_nationkey
+    """,
+    "neighbour_visits": """
+        SELECT o_orderkey, c_nationkey, o_orderdate,
+               CASE WHEN o_orderdate IS NOT NULL THEN CAST(count(*) OVER (
+                   PARTITION BY c_nationkey ORDER BY o_orderdate
+                   RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND INTERVAL 3 DAYS FOLLOWING) - 1 AS BIGINT) END AS neighbours
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE c_nationkey IS NOT NULL
+    """,
     # Streams: drained once with availableNow; append mode emits only what the
     # final watermark (latest ts - 1 hour) has closed.
     "daily_tally_stream": """

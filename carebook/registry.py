@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.plans import cohorts, entries, export, history, register, tallies
+from carebook.plans import cohorts, entries, export, history, register, relations, tallies
 from carebook.streaming import jobs as streams
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,9 @@ JOBS: dict[str, Job] = {
     "persons_with_entries": register.persons_with_entries,
     "persons_without_entries": register.persons_without_entries,
     "visits_without_services": register.visits_without_services,
+    "entries_with_last_signup": relations.entries_with_last_signup,
+    "concurrent_care": relations.concurrent_care,
+    "neighbour_visits": relations.neighbour_visits,
     # aggregation
     "person_day_services": tallies.person_day_services,
     "worker_month_load": tallies.worker_month_load,

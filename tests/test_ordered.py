@@ -213,13 +213,13 @@ def test_a_hot_person_day_is_cut_finer(spark):
     gets more than a few hundred, and the results stay those of whole days."""
     from pyspark.sql import functions as F
 
-    from carebook.operators.ordered import BUCKET, _flag_hot_in_time, episodes, running_total_and_trailing_count
+    from carebook.operators.ordered import BUCKET, flag_hot_in_time, episodes, running_total_and_trailing_count
 
     base = dt.datetime(2024, 1, 5)
     rows = [(i, base + dt.timedelta(seconds=43 * i), 1, 1.0) for i in range(2000)]
     rows += [(10_000 + i, base + dt.timedelta(days=i), 1, 1.0) for i in range(20)] + [(20_000, base, 2, 1.0), (20_001, None, 1, 1.0)]
     e = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double")
-    cut = _flag_hot_in_time(e, ["user_id"], "ts", 86_400, 100, 10)
+    cut = flag_hot_in_time(e, ["user_id"], "ts", 86_400, 100, 10)
     assert cut.where("user_id = 1 and ts is not null").groupBy(BUCKET).count().agg(F.max("count")).first()[0] <= 150
     assert cut.where("user_id = 2").first()[BUCKET] is None
 
