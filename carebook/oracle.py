@@ -239,4 +239,53 @@ ORACLE_SQL: dict[str, str] = {
             FROM s GROUP BY user_id, ep)
         SELECT * FROM ep WHERE episode_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
     """,
+    # An error comes out once both watermarks (the lesser counts) are 2 h past it.
+    "errors_resolved_stream": """
+        SELECT e.event_id, e.user_id, e.ts, p.event_id AS resolution_id, p.ts AS resolution_ts
+        FROM events e LEFT JOIN events p ON p.user_id = e.user_id AND p.event_type = 'purchase'
+             AND p.ts >= e.ts AND p.ts <= e.ts + INTERVAL 2 HOURS
+        WHERE e.event_type = 'error' AND e.ts <= (
+            SELECT least(max(ts) FILTER (WHERE event_type = 'error'), max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 3 HOURS FROM events)
+        QUALIFY row_number() OVER (PARTITION BY e.event_id ORDER BY p.ts NULLS LAST, p.event_id) = 1
+    """,
+    "silent_person_stream": """
+        WITH n AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_ts
+                   FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL)
+        SELECT user_id, ts AS silent_since, ts + INTERVAL 3 DAYS AS alert_at FROM n
+        WHERE (next_ts IS NULL OR next_ts >= ts + INTERVAL 3 DAYS) AND ts + INTERVAL 3 DAYS <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+    """,
+    # Sketches: the exact figure, and that the estimate is within the stated error.
+    "period_persons_sketch": """
+        SELECT n_nationkey, n_name, CAST(count(DISTINCT user_id) AS BIGINT) AS persons, true AS estimate_is_near
+        FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
+        WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'
+        GROUP BY n_nationkey, n_name
+    """,
+    "amount_quantiles_sketch": """
+        SELECT event_type, CAST(q.q AS DOUBLE) AS quantile, CAST(count(*) AS BIGINT) AS amounts, true AS rank_is_near
+        FROM events, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95]) AS q) q
+        WHERE isfinite(value) AND ts IS NOT NULL GROUP BY event_type, q.q
+    """,
+    "attribute_profile": """
+        WITH e AS (SELECT props, CASE WHEN json_valid(props) THEN CAST(props AS JSON) END AS j FROM events),
+        p AS (SELECT CASE WHEN props IS NULL THEN 'missing' WHEN j IS NULL THEN 'malformed'
+                          WHEN json_type(j) = 'OBJECT' THEN 'attribute' ELSE 'not_object' END AS part, j FROM e),
+        k AS (SELECT j, unnest(json_keys(j)) AS attribute FROM p WHERE part = 'attribute'),
+        v AS (SELECT attribute, json_extract(j, '$."' || attribute || '"') AS val FROM k),
+        t AS (SELECT attribute, CAST(val AS VARCHAR) AS val,
+                     CASE json_type(val) WHEN 'VARCHAR' THEN 'string' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
+                          WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS type FROM v)
+        SELECT 'attribute' AS part, attribute, CAST(count(*) AS BIGINT) AS entries, CAST(count(DISTINCT val) AS BIGINT) AS distinct_values,
+               string_agg(DISTINCT type, ',' ORDER BY type) AS types
+        FROM t GROUP BY attribute
+        UNION ALL
+        SELECT f, NULL, (SELECT count(*) FROM p WHERE part = f), 0, ''
+        FROM (SELECT unnest(['malformed', 'missing', 'not_object']) AS f)
+    """,
+    "worker_rota": """
+        WITH s AS (SELECT l_suppkey, date_trunc('month', min(o_orderdate))::DATE AS a, last_day(max(o_orderdate)) AS z
+                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey),
+        d AS (SELECT l_suppkey, unnest(generate_series(a, z, INTERVAL 1 DAY))::DATE AS day FROM s)
+        SELECT l_suppkey, day FROM d WHERE isodow(day) <= 5
+    """,
 }

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carebook.plans import cohorts, entries, export, history, register, relations, tallies
+from carebook.plans import attributes, cohorts, entries, export, history, register, relations, sketches, tallies
 from carebook.streaming import jobs as streams
+from carebook.streaming import relations as stream_relations
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -51,4 +52,11 @@ JOBS: dict[str, Job] = {
     "dedup_entries_stream": streams.dedup_entries_stream,
     "enrich_stream": streams.enrich_stream,
     "episodes_stream": streams.episodes_stream,
+    "errors_resolved_stream": stream_relations.errors_resolved_stream,
+    "silent_person_stream": stream_relations.silent_person_stream,
+    # stored state, semi-structured attributes, table function
+    "period_persons_sketch": sketches.period_persons_sketch,
+    "amount_quantiles_sketch": sketches.amount_quantiles_sketch,
+    "attribute_profile": attributes.attribute_profile,
+    "worker_rota": attributes.worker_rota,
 }
