@@ -28,7 +28,15 @@ doubles: ``visit_gaps`` on 4.5M visits took 8.2-8.5 s bucketed against
 2.3-2.8 s for a plain per-person window (local[8]). With ``plain_below``, all
 three operators therefore cut only hot keys (more rows than that) into buckets.
 The hot keys are counted once, written to the shared folder and joined
-null-safe, so rows without a person are a hot key like any other.
+null-safe, so rows without a person are a hot key like any other. A table with no
+more rows than that in all (for Parquet, its footers say so) has none and is
+not counted by key.
+
+``previous_in_order`` cuts hot keys by range of their order itself
+(``operators.blocks``), so neither a full day nor any other value of the order
+short of the whole of it is a window of its own. The other two need buckets of
+known width in time; rows without a time have none and are summed apart, cut by range
+of the tie-break.
 """
 
 from __future__ import annotations
@@ -41,6 +49,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carebook.functions.columns import cents, ntz_micros, time_bucket
+from carebook.operators.blocks import BLOCK, running_sums, sorted_blocks
 from carebook.operators.broadcast import bounded_broadcast
 from carebook.session import fresh_dir
 
@@ -69,6 +78,8 @@ def _hot_keys(df: DataFrame, key: list, plain_below: int, max_hot_keys: int,
     only while there are at most ``max_hot_keys``; beyond that the list is
     joined without a hint. A null key is a key like any other.
     """
+    if df.count() <= plain_below:
+        return None
     if slot is None:
         counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.lit(0).alias(HALVINGS))
     else:
@@ -110,24 +121,28 @@ def flag_hot_in_time(df: DataFrame, key: list, ts: str, bucket_seconds: int, pla
     return flagged.withColumn(BUCKET, F.when(F.col(HOT), start)).drop(HALVINGS)
 
 
-def previous_in_order(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column,
-                      carry: Sequence[str], out: str = "prev", plain_below: int | None = None,
-                      max_hot_keys: int = 100_000) -> DataFrame:
+def previous_in_order(df: DataFrame, key: Sequence[str], order: Sequence[str], carry: Sequence[str], out: str = "prev",
+                      plain_below: int | None = None, max_hot_keys: int = 100_000, parts: int | None = None) -> DataFrame:
     """Add struct ``out`` holding the ``carry`` columns of the previous row of
     the same key, in ascending ``order`` (null for each key's first row).
 
-    ``bucket`` must not decrease along ``order`` within a key (for example the
-    day of the leading timestamp). ``order`` should be unique per key.
+    ``order`` should be unique per key. Rows are cut into blocks by range of (key,
+    order), each a partition of a sort (``parts`` of them, else as many as Spark
+    makes), so a key with any share of the rows, on one day or many, is spread.
 
     With ``plain_below`` set, only keys with more rows than that are cut into
-    buckets; a key under it is one bucket, of at most ``plain_below`` rows, and
+    blocks; a key under it is one window, of at most ``plain_below`` rows, and
     needs no carry rows. Either way gives the same rows.
     """
     key, order, carry = list(key), list(order), list(carry)
     d = _flag_hot(df, key, plain_below, max_hot_keys)
     if d is None:
         return _previous_plain(df, key, order, carry, out)
-    return _previous_bucketed(d.withColumn(BUCKET, F.when(F.col(HOT), bucket)).drop(HALVINGS), key, order, carry, out)
+    d = d.drop(HALVINGS)
+    cut = sorted_blocks(d.where(HOT), key, order, parts).withColumnRenamed(BLOCK, BUCKET)
+    if plain_below is not None:
+        cut = cut.unionByName(d.where(F.col(HOT).isNull()).withColumn(BUCKET, F.lit(None).cast("int")))
+    return _previous_bucketed(cut, key, order, carry, out)
 
 
 def _previous_plain(df: DataFrame, key: list, order: list, carry: list, out: str) -> DataFrame:
@@ -138,7 +153,7 @@ def _previous_plain(df: DataFrame, key: list, order: list, carry: list, out: str
 def _previous_bucketed(d: DataFrame, key: list, order: list, carry: list, out: str) -> DataFrame:
     tail_fields = order + [c for c in carry if c not in order]
 
-    # Bucket level: the last row of each hot (key, bucket), moved to the next bucket.
+    # Block level: the last row of each hot (key, block), moved to the key's next block.
     tails = d.where(HOT).groupBy(*key, BUCKET).agg(F.max(F.struct(*tail_fields)).alias("_tail"))
     carries = (
         tails.withColumn("_prev_tail", F.lag("_tail").over(Window.partitionBy(*key).orderBy(BUCKET)))
@@ -175,7 +190,9 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     Windows are partitioned by (key, bucket of ``ts``), ``bucket_seconds``
     wide or, for a key with more than ``plain_below`` rows in one, that width
     halved until they spread over enough; the width must divide the window (n
-    days) into k whole buckets. With
+    days) into k whole buckets. A key's rows without a time go into these windows as
+    one row with their sum; they themselves are summed in blocks cut by range of
+    ``tiebreak``. With
     ``plain_below`` set, a key of at most that many rows is one bucket. Each
     row is also sent, shifted by n days, as a narrow *shadow row*: into bucket
     b+k of a hot key, into the one bucket of another. A sum up to each row costs
@@ -193,32 +210,39 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     if bucket_seconds <= 0 or window_seconds % bucket_seconds:
         raise ValueError("bucket_seconds must divide the trailing window")
     window = window_seconds * 1_000_000
-    flagged = flag_hot_in_time(df, key, ts, bucket_seconds, plain_below, max_hot_keys)
+    timed, untimed = df.where(F.col(ts).isNotNull()), df.where(F.col(ts).isNull())
+    any_untimed = bool(untimed.limit(1).count())
+    flagged = flag_hot_in_time(timed, key, ts, bucket_seconds, plain_below, max_hot_keys)
     any_hot = flagged is not None
-    d = flagged if any_hot else df.withColumns({HOT: F.lit(None).cast("boolean"), BUCKET: F.lit(None).cast("long")})
+    d = flagged if any_hot else timed.withColumns({HOT: F.lit(None).cast("boolean"), BUCKET: F.lit(None).cast("long")})
     d = d.withColumn("_v", cents(value)).withColumn("_tm", ntz_micros(ts))
 
     # Each entry and its shadow come out of one scan: a row is emitted twice
     # (kind 1 as itself, kind 2 shifted); the shadow keeps only the key, bucket
-    # and shifted time. A row without a time has no shadow.
+    # and shifted time.
     real = F.col(KIND) == 1
-    kinds = F.when(F.col("_tm").isNull(), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2)))
-    u = (d.withColumn(KIND, F.explode(kinds))
+    u = (d.withColumn(KIND, F.explode(F.array(F.lit(1), F.lit(2))))
          .select(*key, HOT, F.when(real, F.col(BUCKET)).otherwise(F.col(BUCKET) + window).alias(BUCKET), KIND,
                  F.when(real, F.col(ts)).alias(ts), F.when(real, F.col(tiebreak)).alias(tiebreak),
                  F.when(real, F.col("_v")).alias("_v"),
                  F.when(real, F.col("_tm")).otherwise(F.col("_tm") + window).alias("_tm"),
                  *[F.when(real, F.col(c)).alias(c) for c in df.columns if c not in (*key, ts, tiebreak)]))
     recent = F.lit(0)
+    before_time = None
+    if any_untimed:  # what a key's rows without a time come to, before all others
+        before_time = untimed.groupBy(*key).agg(F.sum(cents(value)).alias("_v")).withColumn(BUCKET, F.lit(None).cast("long"))
+        u = u.unionByName(before_time.withColumn(KIND, F.lit(0)), allowMissingColumns=True)
     if any_hot:
         summary = d.where(HOT).groupBy(*key, BUCKET).agg(
             F.sum("_v").alias("_bucket_sum"), F.count(F.lit(1)).alias("_bucket_n"))
+        if any_untimed:
+            summary = summary.unionByName(before_time.withColumnRenamed("_v", "_bucket_sum"), allowMissingColumns=True)
         per_key = Window.partitionBy(*key).orderBy(BUCKET)
         carries = summary.select(
             *key, BUCKET, F.lit(0).alias(KIND),
             F.sum("_bucket_sum").over(per_key.rowsBetween(_UNBOUNDED_PRECEDING, -1)).alias("_v"),
             F.sum("_bucket_n").over(per_key.rangeBetween(-(window - 1), -1)).alias("_recent"),
-        )
+        ).where(F.col(BUCKET).isNotNull())
         u = u.unionByName(carries, allowMissingColumns=True)
         recent = F.coalesce(F.max("_recent").over(Window.partitionBy(*key, BUCKET)), F.lit(0))
 
@@ -229,18 +253,25 @@ def running_total_and_trailing_count(df: DataFrame, key: Sequence[str], ts: str,
     in_order = part.orderBy(F.col("_tm"), F.col(KIND), F.col(tiebreak)).rowsBetween(_UNBOUNDED_PRECEDING, _CURRENT)
     by_time = part.orderBy(F.col("_tm"))
     upto, before = by_time.rangeBetween(_UNBOUNDED_PRECEDING, _CURRENT), by_time.rangeBetween(_UNBOUNDED_PRECEDING, -1)
-    untimed = F.col("_tm").isNull()
     is_shadow = (F.col(KIND) == 2).cast("int")
-    timed_upto = F.sum((real & ~untimed).cast("int")).over(upto)
+    timed_upto = F.sum(real.cast("int")).over(upto)
     shadows_before = F.coalesce(F.sum(is_shadow).over(before), F.lit(0))
     carried = F.when(F.col(HOT), F.sum(is_shadow).over(part) + recent).otherwise(0)
-    return (
+    out = (
         u.withColumn(total_out, F.sum("_v").over(in_order) / 100)
-        .withColumn(count_out, F.when(untimed, F.sum((real & untimed).cast("int")).over(upto))
-                    .otherwise(timed_upto - shadows_before + carried).cast("long"))
+        .withColumn(count_out, (timed_upto - shadows_before + carried).cast("long"))
         .where(F.col(KIND) == 1)
         .drop(KIND, "_v", "_tm", "_recent", BUCKET, HOT)
     )
+    if not any_untimed:
+        return out
+    many = untimed.groupBy(*key).agg(F.count(F.lit(1)).alias("_many")).select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)], "_many")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(key)])
+    summed = running_sums(untimed.withColumns({"_v": cents(value), "_some": cents(value).isNotNull().cast("long")}), key, [tiebreak],
+                          {"_sum": "_v", "_n": "_some"})
+    first = summed.join(many, same).select(
+        *df.columns, F.when(F.col("_n") > 0, F.col("_sum") / 100).alias(total_out), F.col("_many").alias(count_out))
+    return out.select(*first.columns).unionByName(first)
 
 
 def episodes(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int,

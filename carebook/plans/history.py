@@ -35,13 +35,12 @@ def visit_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     and the days between them (null for a person's first visit).
 
     Persons with more than ``spark.carebook.plainWindowMaxRows`` visits
-    (default 1,000,000) go through day buckets; the rest take a plain window.
+    (default 1,000,000) are cut into ranges of (date, visit key); the rest take a plain window.
     """
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate")
     plain_below = int(spark.conf.get(PLAIN_WINDOW_CONF, str(PLAIN_WINDOW_MAX_ROWS)))
     with_prev = previous_in_order(o, ["o_custkey"], ["o_orderdate", "o_orderkey"],
-                                  day_of("o_orderdate"), ["o_orderdate", "o_orderkey"],
-                                  plain_below=plain_below)
+                                  ["o_orderdate", "o_orderkey"], plain_below=plain_below)
     return with_prev.select(
         "o_custkey", "o_orderkey", "o_orderdate",
         F.col("prev.o_orderkey").alias("prev_orderkey"),

@@ -197,12 +197,11 @@ def test_trailing_count_grows_linearly(spark):
 
 def test_hot_null_person_is_bucketed(spark):
     from carebook.operators.ordered import previous_in_order
-    from carebook.functions.columns import day_of
 
     rows = [(i, T("2024-01-01 00:00:00") + dt.timedelta(hours=7 * i), None if i % 2 else 5) for i in range(100)]
     df = spark.createDataFrame(rows, "o int, ts timestamp_ntz, who int")
     for bound in (10, 49, 1000):
-        out = previous_in_order(df, ["who"], ["ts", "o"], day_of("ts"), ["o"], plain_below=bound)
+        out = previous_in_order(df, ["who"], ["ts", "o"], ["o"], plain_below=bound)
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert ("_bucket" in plan) == (bound < 50)
         assert {r.o: r.prev and r.prev.o for r in out.collect()} == {i: (i - 2 if i > 1 else None) for i in range(100)}
@@ -233,3 +232,47 @@ def test_a_hot_person_day_is_cut_finer(spark):
 
     assert load(100) == load(None) == load(1_000_000)
     assert runs(100) == runs(None) == runs(1_000_000)
+
+
+def test_previous_of_a_hot_day_is_cut(spark):
+    """A third of all rows are one key's on one day; others have ties of nothing but the last column."""
+    from pyspark.sql import functions as F
+
+    from carebook.operators.ordered import BUCKET, previous_in_order
+
+    rows = [(0 if i % 3 == 0 else i % 50, T("2024-01-05 00:00:00") + dt.timedelta(days=0 if i % 3 == 0 else i % 7), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "who int, ts timestamp_ntz, o int").repartition(6)
+    previous, expected = {}, {}
+    for who, ts, o in sorted(rows):
+        expected[o] = previous.get(who)
+        previous[who] = o
+    for bound in (200, None):
+        out = previous_in_order(df, ["who"], ["ts", "o"], ["o"], plain_below=bound, parts=12)
+        assert {r.o: r.prev and r.prev.o for r in out.collect()} == expected
+    from carebook.operators.blocks import BLOCK, sorted_blocks
+    sizes = [r["count"] for r in sorted_blocks(df, ["who"], ["ts", "o"], 12).where("who = 0").groupBy(BLOCK).count().collect()]
+    assert max(sizes) < 500
+
+
+def test_rows_without_a_time_are_cut(spark):
+    """One person's rows without a time, a third of all, with null amounts; others with and without."""
+    import random
+
+    from carebook.operators.ordered import running_total_and_trailing_count
+
+    rnd = random.Random(4)
+    rows = [(i, None if i % 3 == 0 or rnd.random() < 0.1 else T("2024-01-01 00:00:00") + dt.timedelta(hours=i % 400), 1 if i % 3 == 0 else rnd.choice([1, 2, 3, None]),
+             rnd.choice([None, 0.25, 1.5, 2.0])) for i in range(900)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double").repartition(5)
+    expected = {}
+    for person in (1, 2, 3, None):
+        mine = sorted((r for r in rows if r[2] == person), key=lambda r: (r[1] is not None, r[1] or 0, r[0]) if r[1] else (False, 0, r[0]))
+        total, some = 0, False
+        for i, ts, _, v in mine:
+            total, some = total + round(100 * (v or 0)), some or v is not None
+            near = sum(t is None for _, t, _, _ in mine) if ts is None else sum(t is not None and dt.timedelta(0) <= ts - t <= dt.timedelta(days=7) for _, t, _, _ in mine)
+            expected[i] = (total / 100 if some else None, near)
+    for bound in (100, None, 10_000):
+        got = running_total_and_trailing_count(df, ["user_id"], "ts", "event_id", "value", 7, plain_below=bound)
+        assert got.columns == [*df.columns, "running_value", "trailing_entries"]
+        assert {r.event_id: (r.running_value, r.trailing_entries) for r in got.collect()} == expected
