@@ -1,12 +1,16 @@
 """Line deduplication by a log-template tree, in DataFrame operations only.
 
 A line's path in the tree is its token count and its leading tokens, with
-tokens that hold a digit read as the variable ``<*>``. In a leaf, a token that
-only one document has at its position is variable too; a line whose tokens are
-constant in at least ``similarity`` of the positions belongs to the template
-that its constant tokens spell, any other line is a template of its own (with
-its digits masked). A template that occurs in two documents or more recurs:
-its lines stay in the first of these documents and are dropped in the others.
+tokens that hold a digit read as the variable ``<*>``. Each leaf has a template:
+at every position the token that more than half of the leaf's distinct lines
+have there, or a variable where there is none. These are shares of the leaf, so a
+field is variable whether its values are new in every line or come from a small
+pool, in a small corpus or a large one. A line belongs to its leaf's template if
+it has the template's token in at least ``similarity`` of its positions. Any other
+line is a template of its own: with digits masked if its other tokens are
+``similarity`` of it or more, else as it is. A template that occurs in two
+documents or more recurs: its lines stay in the first of these documents and are
+dropped in the others.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ VARIABLE = "<*>"
 DEPTH = 3
 SIMILARITY = 0.8
 MAX_LISTED = 1_000_000
+MAX_TEMPLATES = 20_000  # leaf templates that are broadcast, each as long as its lines; beyond they are joined
 
 
 def masked(line: Column) -> Column:
@@ -34,52 +39,61 @@ def _document(doc_id: Column, key: Column) -> Column:
     return F.struct(doc_id.isNull().alias("last"), doc_id.alias("doc_id"), key.alias("text_key"))
 
 
-def _lines(docs: DataFrame, depth: int) -> DataFrame:
-    """Every line that is not blank, with its leaf and its masked text."""
+def _fixed(text: Column, tokens: Column) -> Column:
+    """How many of a masked line's tokens are not variable."""
+    return tokens - (F.length(text) - F.length(F.replace(text, F.lit(VARIABLE), F.lit("")))) / len(VARIABLE)
+
+
+def _lines(docs: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """Every line that is not blank, with its leaf, its masked text and whether enough of it is fixed for a template."""
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("text_key"),
                        F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
     rows = rows.where(F.trim("line") != "").withColumn("masked", masked(F.col("line")))
     tokens = F.length("masked") - F.length(F.translate("masked", " ", "")) + 1
-    return (rows.withColumn("tokens", tokens)
+    spelled = F.when(F.col("fixed"), F.col("masked")).otherwise(F.col("line"))
+    return (rows.withColumn("tokens", tokens).withColumn("fixed", _fixed(F.col("masked"), F.col("tokens")) / F.col("tokens") >= similarity)
             .withColumn("leaf", F.xxhash64("tokens", F.substring_index("masked", " ", depth)))
-            .withColumn("template", F.xxhash64("leaf", "masked")).drop("line"))
+            .withColumn("template", F.xxhash64("leaf", "fixed", spelled)).drop("line"))
 
 
 def _first_and_last(doc: Column) -> list[Column]:
     return [F.min(doc).alias("first"), F.max(doc).alias("last")]
 
 
+def _leaf_templates(in_leaf: DataFrame) -> DataFrame:
+    """(leaf, spelled): at each position the hash of the token that most of the leaf's distinct lines have, or null."""
+    counted = (in_leaf.select("leaf", F.posexplode("words").alias("at", "word")).groupBy("leaf", "at", "word").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("leaf", "at").agg(F.max(F.struct("n", "word")).alias("most"), F.sum("n").alias("lines")))
+    fixed = F.when((2 * F.col("most.n") > F.col("lines")) & (F.col("most.word") != F.xxhash64(F.lit(VARIABLE))), F.col("most.word"))
+    return (counted.select("leaf", F.struct("at", fixed.alias("word")).alias("place")).groupBy("leaf")
+            .agg(F.transform(F.array_sort(F.collect_list("place")), lambda p: p["word"]).alias("spelled")))
+
+
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_key, drops): of each document that loses lines, their numbers, from 0.
 
     Rows with the same doc_id and text are one document.
     """
-    lines = _lines(docs, depth)
-    places = stored(lines.select("doc_id", "text_key", "line_no", "tokens", "leaf", "template"), "lines")
+    lines = _lines(docs, depth, similarity)
+    places = stored(lines.select("doc_id", "text_key", "line_no", "tokens", "leaf", "template", "fixed"), "lines")
     doc = _document(F.col("doc_id"), F.col("text_key"))
-    alike = stored(places.groupBy("template").agg(F.min("leaf").alias("leaf"), F.min("tokens").alias("tokens"),
+    alike = stored(places.groupBy("template").agg(F.min("leaf").alias("leaf"), F.min("tokens").alias("tokens"), F.min("fixed").alias("fixed"),
                                                  *_first_and_last(doc)), "masked-lines")
 
     # Leaves in which lines of several documents differ; with fewer tokens one
     # variable is already too many.
-    mixed = (alike.where((F.col("tokens") - 1) / F.col("tokens") >= similarity).groupBy("leaf")
+    mixed = (alike.where(F.col("fixed") & ((F.col("tokens") - 1) / F.col("tokens") >= similarity)).groupBy("leaf")
              .agg(F.count(F.lit(1)).alias("_n"), F.min("first").alias("a"), F.max("last").alias("z"))
              .where((F.col("_n") > 1) & (F.col("a") != F.col("z"))).select("leaf"))
     mixed = bounded_broadcast(stored(mixed, "mixed-leaves"), MAX_LISTED)
-    in_leaf = lines.join(mixed, "leaf", "left_semi").groupBy("leaf", "template").agg(
-        F.min("masked").alias("masked"), F.min("tokens").alias("tokens"), *_first_and_last(doc))
-    tokens = stored(in_leaf.select("leaf", "template", "tokens", "first", "last",
-                                   F.posexplode(F.split("masked", " ", -1)).alias("at", "token"))
-                    .withColumn("token", F.xxhash64("token")), "leaf-tokens")
-    constant = (tokens.groupBy("leaf", "at", "token").agg(F.min("first").alias("a"), F.max("last").alias("z"))
-                .where(F.col("a") != F.col("z")).select("leaf", "at", "token", F.lit(True).alias("constant")))
-    spelled = F.xxhash64("at", F.when(F.col("constant"), F.col("token")))
-    general = (tokens.join(constant, ["leaf", "at", "token"], "left").groupBy("leaf", "template")
-               .agg(F.sum(F.col("constant").cast("int")).alias("_constant"), F.min("tokens").alias("_tokens"),
-                    F.bit_xor(spelled).alias("_spelled"))
-               .where((F.col("_constant") < F.col("_tokens")) & (F.col("_constant") / F.col("_tokens") >= similarity))
-               .select("template", F.xxhash64("leaf", "_tokens", "_spelled").alias("_general")))
+    in_leaf = (lines.where("fixed").join(mixed, "leaf", "left_semi").groupBy("leaf", "template").agg(F.min("masked").alias("masked"))
+               .select("leaf", "template", F.transform(F.split("masked", " ", -1), lambda w: F.xxhash64(w)).alias("words")))
+    in_leaf = stored(in_leaf, "leaf-lines")
+    templates = stored(_leaf_templates(in_leaf), "leaf-templates")
+    agreed = F.size(F.filter(F.zip_with("words", "spelled", lambda a, b: a == b), lambda same: same))
+    general = (in_leaf.join(bounded_broadcast(templates, MAX_TEMPLATES), "leaf").where(agreed / F.size("words") >= similarity)
+               .select("template", F.xxhash64("leaf", F.lit(VARIABLE)).alias("_general")))
     named = alike.join(general, "template", "left").withColumn("name", F.coalesce("_general", "template"))
     recurring = (named.groupBy("name").agg(F.min("first").alias("keeper"), F.max("last").alias("z"))
                  .where(F.col("keeper") != F.col("z")).select("name", "keeper"))
@@ -132,37 +146,40 @@ WITH l AS (
         FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL))
 ),
 t AS (
-  SELECT doc_id, line_no,
+  SELECT doc_id, line_no, line,
          list_transform(string_split(line, ' '), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tok
   FROM l WHERE trim(line, ' ') <> ''
 ),
 m AS (
-  SELECT doc_id, line_no, array_to_string(tok, ' ') AS masked, len(tok) AS n,
-         array_to_string(tok[1:3], ' ') AS lead FROM t
+  SELECT doc_id, line_no, array_to_string(tok, ' ') AS masked, len(tok) AS n, array_to_string(tok[1:3], ' ') AS lead, line,
+         (len(tok) - (length(array_to_string(tok, ' ')) - length(replace(array_to_string(tok, ' '), '<*>', ''))) / 3) / len(tok) >= 0.8 AS fixed
+  FROM t
 ),
-alike AS (SELECT n, lead, masked, min(doc_id) AS a, max(doc_id) AS z FROM m GROUP BY ALL),
+k AS (SELECT *, CASE WHEN fixed THEN masked ELSE line END AS spelled FROM m),
+alike AS (SELECT n, lead, fixed, spelled, min(doc_id) AS a, max(doc_id) AS z FROM k GROUP BY ALL),
 mixed AS (
-  SELECT n, lead FROM alike WHERE (n - 1) / n >= 0.8 GROUP BY ALL HAVING count(*) > 1 AND min(a) <> max(z)
+  SELECT n, lead FROM alike WHERE fixed AND (n - 1) / n >= 0.8 GROUP BY ALL HAVING count(*) > 1 AND min(a) <> max(z)
 ),
 g AS (
-  SELECT n, lead, masked, a, z, unnest(range(1, n + 1)) AS i, string_split(masked, ' ') AS tok
-  FROM alike SEMI JOIN mixed USING (n, lead)
+  SELECT n, lead, spelled, unnest(range(1, n + 1)) AS i, string_split(spelled, ' ') AS tok
+  FROM alike SEMI JOIN mixed USING (n, lead) WHERE fixed
+),
+p AS (SELECT n, lead, spelled, i, tok[i] AS token FROM g),
+c AS (
+  SELECT n, lead, i, token, count(*) AS lines, sum(count(*)) OVER (PARTITION BY n, lead, i) AS of_leaf FROM p GROUP BY n, lead, i, token
 ),
-p AS (SELECT n, lead, masked, a, z, i, tok[i] AS token FROM g),
-c AS (SELECT n, lead, i, token FROM p GROUP BY ALL HAVING min(a) <> max(z)),
-s AS (
-  SELECT n, lead, masked, count(c.token) AS constant,
-         string_agg(coalesce(c.token, chr(1)), ' ' ORDER BY p.i) AS spelled
-  FROM p LEFT JOIN c USING (n, lead, i, token) GROUP BY n, lead, masked
+general AS (
+  SELECT n, lead, spelled FROM p JOIN c USING (n, lead, i, token) WHERE 2 * lines > of_leaf AND token <> '<*>'
+  GROUP BY n, lead, spelled HAVING count(*) / n >= 0.8
 ),
 named AS (
-  SELECT alike.*, coalesce(spelled, masked) AS name, spelled IS NOT NULL AS general
-  FROM alike LEFT JOIN (SELECT * FROM s WHERE constant < n AND constant / n >= 0.8) USING (n, lead, masked)
+  SELECT alike.*, CASE WHEN g.n IS NULL THEN spelled ELSE '' END AS name
+  FROM alike LEFT JOIN (SELECT *, true AS fixed FROM general) g USING (n, lead, fixed, spelled)
 ),
-recurring AS (SELECT n, lead, name, general, min(a) AS keeper FROM named GROUP BY ALL HAVING min(a) <> max(z)),
+recurring AS (SELECT n, lead, fixed, name, min(a) AS keeper FROM named GROUP BY ALL HAVING min(a) <> max(z)),
 gone AS (
   SELECT DISTINCT m.doc_id, m.line_no
-  FROM m JOIN named USING (n, lead, masked) JOIN recurring USING (n, lead, name, general)
+  FROM k AS m JOIN named USING (n, lead, fixed, spelled) JOIN recurring USING (n, lead, fixed, name)
   WHERE m.doc_id <> keeper
 ),
 kept AS (
