@@ -25,7 +25,7 @@ SCALE = 64
 BLOCK_ROWS = 65_536
 QUERIES_AT_ONCE = 64
 TASKS_A_CORE = 4
-MAX_COMPONENT = 2 ** 24  # beyond this an inner product could leave the range of a long
+MAX_SUM = 2.0 ** 62  # what a sum of products may reach in a long, with room for the slices' offsets
 
 _BLOCK_SCHEMA = "dim int, size int, vec_ids binary, uids binary, lows binary, slice_counts binary, slices binary"
 _QUERY_SCHEMA = "dim int, query_ids binary, query_uids binary, weights binary"
@@ -35,14 +35,24 @@ _FOUND_SCHEMA = "query_uid long, query_id long, vec_id long, uid long, score lon
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """``uid`` (a number of the row's own), ``vec_id`` and ``q``: floor(scale * x) of each component.
 
-    Rows take no part if the vector is null or has a component that is null, not
-    finite, or beyond MAX_COMPONENT after scaling.
+    Rows take no part if the vector is null or has a component that is null or not finite.
     """
     scaled = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < F.lit(float(MAX_COMPONENT))))
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
     return (vectors.where(F.col("embedding").isNotNull() & fine)
-            .select(F.monotonically_increasing_id().alias("uid"), F.col("vec_id").cast("long").alias("vec_id"),
-                    F.transform(scaled, lambda x: x.cast("int")).alias("q")))
+            .select(F.monotonically_increasing_id().alias("uid"), F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("q")))
+
+
+def check_range(rows: DataFrame) -> None:
+    """Raise if an inner product of ``rows`` (see ``quantised``) could leave the range of a long.
+
+    By Cauchy's inequality none does while every vector's squared length stays below
+    MAX_SUM, half of it for the offsets from a block's smallest values.
+    """
+    length = F.aggregate("q", F.lit(0.0), lambda a, x: a + F.pow(x.cast("double"), F.lit(2)))
+    most, widest = rows.agg(F.max(length), F.max(F.size("q") * F.pow(F.array_max(F.transform("q", lambda x: F.abs(x.cast("double")))), F.lit(2)))).first()
+    if most is not None and max(most, (widest or 0.0) * 4) >= MAX_SUM:
+        raise ValueError("quantised components are too large: an inner product would leave the range of a long; divide the vectors by a common factor")
 
 
 def _matrix(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -260,15 +270,17 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = SCALE,
     ``vec_id`` and ``score``, the inner product of the quantised vectors; equal
     scores are ranked by smaller vec_id (nulls last). A query's own row is no
     candidate; a row that repeats its vec_id is, and is a query of its own.
-    Vectors that are null, or hold a null, non-finite or out-of-range component
+    Vectors that are null, or hold a null or non-finite component
     take no part, and vectors are compared with those of their own length. An
-    empty table gives no rows; fewer than k candidates are all returned.
+    empty table gives no rows; fewer than k candidates are all returned. A table
+    whose inner products could leave the range of a long raises (``check_range``).
 
     Every block of queries meets every block of the index once. A pair yields
     at most k rows per query, and Spark keeps the best k of these before and
     after the shuffle.
     """
     rows = stored(quantised(vectors, scale), "quantised")
+    check_range(rows)
     index = stored(build_index(rows.repartition(max(1, -(-rows.count() // block_rows))), block_rows), "bit-sliced")
     queries = rows.where(F.col("vec_id") % every == 0).mapInArrow(on_workers(__name__, "_query_batches", QUERIES_AT_ONCE), _QUERY_SCHEMA)
     # Pairs of blocks meet by an ordinary join on a number for the index block and,
@@ -289,14 +301,15 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = SCALE,
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  SELECT row_number() OVER () AS uid, vec_id, len(embedding) AS dim,
+         list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
-e AS (SELECT vec_id, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM v),
+e AS (SELECT uid, vec_id, dim, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM v),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, sum(a.x * b.x)::BIGINT AS score
-  FROM e a JOIN e b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 GROUP BY ALL
+  SELECT a.uid AS query_uid, a.vec_id AS query_id, b.uid, b.vec_id, sum(a.x * b.x)::BIGINT AS score
+  FROM e a JOIN e b ON a.i = b.i AND a.dim = b.dim AND a.uid <> b.uid WHERE a.vec_id % 20 = 0 GROUP BY ALL
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY query_uid ORDER BY score DESC, vec_id NULLS LAST, uid)::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
 """

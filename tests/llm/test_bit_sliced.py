@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -34,7 +36,7 @@ def test_block_top_equals_sorting(rows, dim, seed, size, k):
 
 
 def brute(rows, every=20, k=20):
-    fine = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) and abs(64 * x) < bs.MAX_COMPONENT for x in v)]
+    fine = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for a, (i, q) in enumerate(fine):
         if i is None or i % every:
@@ -49,7 +51,7 @@ def test_top_k(spark):
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8)]) for i in range(300)]
     rows += [(i, [0.5] * 8) for i in range(300, 420)]                       # a very common vector
     rows += [(20, [0.1] * 8), (40, rows[40][1]), (None, [0.9] * 8), (None, [0.5] * 8)]  # repeated and null ids
-    rows += [(460, None), (480, [1.0, None] * 4), (500, [float("nan")] * 8), (520, [float("inf")] * 8), (540, [1e30] * 8)]
+    rows += [(460, None), (480, [1.0, None] * 4), (500, [float("nan")] * 8), (520, [float("inf")] * 8), (540, [3e5] * 8), (541, [-3e5, 3e5] * 4)]
     rows += [(560, [0.25, 0.5]), (561, [1.0, 1.0]), (580, []), (581, [])]   # other lengths
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr(
         "*", "1 AS uid", "2 AS q", "3 AS shard", "4 AS dim", "5 AS score", "6 AS `rank`")
@@ -57,3 +59,14 @@ def test_top_k(spark):
         got = bs.top_k(frame.repartition(4), block_rows=block_rows).collect()
         assert sorted((r.query_id, r.rank, -1 if r.vec_id is None else r.vec_id, r.score) for r in got) == brute(rows)
     assert bs.top_k(frame.where("false")).count() == 0
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert sorted((q, r, -1 if v is None else v, s) for q, r, v, s in con.execute(bs.ORACLE).fetchall()) == brute(rows)
+
+
+def test_products_beyond_a_long_raise(spark):
+    for big in (1e30, 1e8):
+        rows = [(i, [big] * 8) for i in (0, 1)]
+        with pytest.raises(ValueError):
+            bs.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
