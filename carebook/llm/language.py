@@ -358,7 +358,8 @@ def _score_batches(batches: Iterator[pa.RecordBatch], shared, blocks, carried: l
         for part in slices(batch, "text", SLICE):
             text = part.column("text").cast(pa.string())
             entropy, n = scorer.entropies(text)
-            blank = ~pc.fill_null(pc.match_substring_regex(text, _LETTER), False).to_numpy(zero_copy_only=False)
+            wordless = ~pc.fill_null(pc.match_substring_regex(text, _LETTER), False).to_numpy(zero_copy_only=False)
+            blank = wordless.copy()
             if len(names):
                 best = entropy.argmin(1)
                 least = entropy[np.arange(len(entropy)), best]
@@ -372,12 +373,13 @@ def _score_batches(batches: Iterator[pa.RecordBatch], shared, blocks, carried: l
                 [*[part.column(c) for c in carried],
                  pc.if_else(pa.array(blank), pa.scalar(UNDETERMINED), guess),
                  pa.array(np.where(blank, 0.0, confidence)),
-                 pa.array(np.where(blank, 0.0, least)), pa.array(np.where(blank, 0, n).astype(np.int64))],
-                names=[*carried, "lang_pred", "score", "entropy", "symbols"])
+                 pa.array(np.where(blank, 0.0, least)), pa.array(np.where(blank, 0, n).astype(np.int64)), pa.array(wordless)],
+                names=[*carried, "lang_pred", "score", "entropy", "symbols", "wordless"])
 
 
 def scored(docs: DataFrame, model: dict) -> DataFrame:
-    """``doc_id``, ``text_key``, ``lang`` (as it came) and, of each row, ``lang_pred``, ``score``, ``entropy`` and ``symbols``.
+    """``doc_id``, ``text_key``, ``lang`` (as it came) and, of each row, ``lang_pred``, ``score``, ``entropy``, ``symbols``
+    and ``wordless`` (null, or without a letter).
 
     ``score`` (0 to 1) is the share of the named language when each language
     weighs exp(-cross-entropy). Texts that are null or have no letter are
@@ -389,7 +391,7 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text").cast("string")).alias("text_key"),
                        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(on_workers(__name__, "_score_batches", shared, blocks, ["doc_id", "text_key", "lang"]),
-                           "doc_id long, text_key long, lang string, lang_pred string, score double, entropy double, symbols long")
+                           "doc_id long, text_key long, lang string, lang_pred string, score double, entropy double, symbols long, wordless boolean")
 
 
 def _median(column: Column) -> Column:
@@ -397,9 +399,14 @@ def _median(column: Column) -> Column:
 
 
 def calibrated(scores: DataFrame, training: Column, sigmas: float = REJECT_SIGMAS) -> DataFrame:
-    """``scores`` with ``rejected``; one row per language is gathered from the training rows."""
+    """``scores`` with ``rejected``; one row per language is gathered from the distinct training texts.
+
+    Copies of a text count once, so a text that fills much of the table does not
+    set the limit for others. A language without a training text rejects nothing.
+    """
     n, h = F.col("symbols").cast("double"), F.col("entropy")
-    texts = scores.where(training & (F.col("symbols") > 0))
+    texts = stored(scores.where(training & (F.col("symbols") > 0)).groupBy("lang_pred", "text_key").agg(
+        F.min("symbols").alias("symbols"), F.min("entropy").alias("entropy")), "training-texts")
     middle = bounded_broadcast(stored(texts.groupBy("lang_pred").agg(_median(h).alias("_mean"), _median(n).alias("_half")), "medians"), MAX_LANGUAGES)
     away = F.abs(h - F.col("_mean"))
     levels = texts.join(middle, "lang_pred").groupBy("lang_pred").agg(
@@ -409,8 +416,8 @@ def calibrated(scores: DataFrame, training: Column, sigmas: float = REJECT_SIGMA
     sigma = F.sqrt(F.greatest(F.pow("_between", F.lit(2)), F.lit(LEAST_SIGMA ** 2)) + F.col("_variance") / n)
     far = h > F.col("_mean") + sigmas * sigma
     return (scores.join(bounded_broadcast(levels, MAX_LANGUAGES), "lang_pred", "left")
-            .withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | F.coalesce(far, F.lit(False)))
-            .drop("_mean", "_between", "_variance"))
+            .withColumn("rejected", F.when(F.col("lang_pred") == UNDETERMINED, F.col("wordless")).otherwise(F.coalesce(far, F.lit(False))))
+            .drop("_mean", "_between", "_variance", "wordless"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -425,8 +432,10 @@ def identify(docs: DataFrame, sigmas: float = REJECT_SIGMAS) -> DataFrame:
     ``lang``; a prediction uses the text alone. Returns ``doc_id``, ``text_key``,
     ``held_out``, ``lang_pred``, ``score`` (0 to 1), ``entropy``, ``symbols``
     and ``rejected``. Null texts and texts without a letter are ``und`` with
-    score 0 and rejected; without any labelled row every text is. Calibration
-    takes the labelled rows whose language was named rightly. Ties go to
+    score 0 and rejected. Without any labelled row there is no language to name:
+    every text is ``und`` with score 0, and those with letters are not rejected, so
+    a table that nobody labelled passes through unjudged. Calibration
+    takes the distinct texts of labelled rows whose language was named rightly. Ties go to
     the alphabetically first language. Repeated rows are each scored; very long
     texts are read whole; other columns are not read.
     """

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -68,13 +70,6 @@ def test_predictions_use_the_text_alone(spark):
     assert once == {r.doc_id: (r.lang_pred, r.score) for r in lm.identify(documents(spark, moved)).collect()}
 
 
-def test_a_bounded_model_still_scores(spark):
-    model = lm.fit(documents(spark, corpus()), max_runs=20)
-    assert len(model["full"][0]) <= 20
-    got = lm.scored(documents(spark, corpus(30)), model).collect()
-    assert len(got) == 30 and all(np.isfinite(r.entropy) for r in got)
-
-
 def test_a_model_in_blocks_scores_like_a_whole_one(spark):
     rnd = random.Random(14)
     few = [(5000 + i, "".join(rnd.choice("xyzq") for _ in range(6)), "dd") for i in range(3)]  # a language with few rows
@@ -102,4 +97,51 @@ def test_one_long_odd_text_does_not_widen_the_limit(spark):
 def test_empty_and_unlabelled(spark):
     assert lm.identify(empty(spark)).count() == 0
     got = lm.identify(documents(spark, [(1, "some words", None), (2, None, None)])).collect()
-    assert all(r.lang_pred == "und" and r.rejected and r.score == 0 for r in got) and len(got) == 2
+    assert all(r.lang_pred == "und" and r.score == 0 for r in got) and {r.doc_id: r.rejected for r in got} == {1: False, 2: True}
+    rows = [(i, t, None) for i, t, _ in corpus(20)]  # nobody labelled anything: all pass
+    assert sorted(r.doc_id for r in lm.accepted(documents(spark, rows + [(50, "12 + 1", None)])).collect()) == list(range(20))
+
+
+def test_many_copies_do_not_set_the_limit(spark):
+    """300 copies of one text beside ordinary ones of its language: none of these is rejected, junk still is."""
+    rows = [r for r in corpus(400) if r[2] != "bb"]
+    copied = text(random.Random(19), "aa", 40)
+    rows += [(9000 + i, copied, "aa") for i in range(300)]
+    junk = [(20_000 + i, " ".join("xqzw"[random.Random(i).randrange(4):] * 3 for _ in range(200)), None) for i in range(5)]
+    got = {r.doc_id: r.rejected for r in lm.identify(documents(spark, rows + junk).repartition(3)).collect()}
+    assert not any(got[i] for i, _, _ in rows) and all(got[i] for i, _, _ in junk)
+
+
+def test_model_equals_plain_kneser_ney(spark):
+    """Log-probabilities against counting in dictionaries, by the textbook recursion."""
+    rows = [(i, t, lang) for i, t, lang in corpus(40)]
+    model = lm.fit(documents(spark, rows))
+    counts = {}
+    for _, t, lang in rows:
+        for word in re.findall(r"[^\W\d_]+", t.lower()):
+            padded = "\x02" * 3 + word + "\x03"
+            for i in range(3, len(padded)):
+                run = padded[i - 3:i + 1]
+                counts.setdefault(lang, Counter())[run] += 1
+    symbols = {r[-1] for c in counts.values() for r in c}
+
+    def level(c, k):
+        for _ in range(4 - k):
+            c = Counter(g[1:] for g in c)
+        return c
+
+    def p(c, run):
+        if not run:
+            return 1 / (len(symbols) + 1)
+        own = level(c, len(run))
+        once, twice = sum(v == 1 for v in own.values()), sum(v == 2 for v in own.values())
+        d = once / (once + 2 * twice) if once and twice else 0.5
+        after = [v for g, v in own.items() if g[:-1] == run[:-1]]
+        below = p(c, run[1:])
+        return (max(own[run] - d, 0) + d * len(after) * below) / sum(after) if after else below
+
+    runs = sorted({r for c in counts.values() for r in c})[::37] + ["zzzz", "\x02\x02\x02z", "kalo", "ßenk"]
+    codes = np.frombuffer("".join(runs).encode("utf-32-le"), np.uint32)
+    got = lm._log_probabilities(model, codes, np.arange(3, len(codes), 4))
+    want = np.log([[p(counts[lang], r) for lang in model["languages"]] for r in runs])
+    assert np.allclose(got, want, atol=1e-4)
