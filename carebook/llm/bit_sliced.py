@@ -305,10 +305,10 @@ WITH v AS (
          list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
-e AS (SELECT uid, vec_id, dim, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM v),
 s AS (
-  SELECT a.uid AS query_uid, a.vec_id AS query_id, b.uid, b.vec_id, sum(a.x * b.x)::BIGINT AS score
-  FROM e a JOIN e b ON a.i = b.i AND a.dim = b.dim AND a.uid <> b.uid WHERE a.vec_id % 20 = 0 GROUP BY ALL
+  SELECT a.uid AS query_uid, a.vec_id AS query_id, b.uid, b.vec_id,
+         coalesce(list_sum(list_transform(range(1, a.dim + 1), lambda i: a.q[i] * b.q[i])), 0)::BIGINT AS score
+  FROM v a JOIN v b ON a.dim = b.dim AND a.uid <> b.uid WHERE a.vec_id % 20 = 0
 )
 SELECT query_id, row_number() OVER (PARTITION BY query_uid ORDER BY score DESC, vec_id NULLS LAST, uid)::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
