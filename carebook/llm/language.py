@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from carebook.llm.common import on_workers, rows_without, stored, text_key
 from carebook.llm.tokenizing import slices
+from carebook.llm.worker_memory import drop_kept, release
 from carebook.operators.broadcast import bounded_broadcast
 
 ORDER = 4
@@ -84,8 +85,10 @@ def _predicted(n: int, firsts: np.ndarray) -> np.ndarray:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop_kept()
     for batch in batches:
         for part in slices(batch, "text", SLICE):
+            release()
             offsets, words = _words(part.column("text"))
             names = part.column("lang").dictionary_encode()
             lang = np.repeat(names.indices.to_numpy(), np.diff(offsets))
@@ -351,6 +354,7 @@ class _Scorer:
 
 
 def _score_batches(batches: Iterator[pa.RecordBatch], shared, blocks, carried: list[str]) -> Iterator[pa.RecordBatch]:
+    drop_kept()
     model = shared.value
     scorer = _Scorer(model, blocks)
     names = pa.array(model["languages"], pa.string())
@@ -375,6 +379,7 @@ def _score_batches(batches: Iterator[pa.RecordBatch], shared, blocks, carried: l
                  pa.array(np.where(blank, 0.0, confidence)),
                  pa.array(np.where(blank, 0.0, least)), pa.array(np.where(blank, 0, n).astype(np.int64)), pa.array(wordless)],
                 names=[*carried, "lang_pred", "score", "entropy", "symbols", "wordless"])
+            release()
 
 
 def scored(docs: DataFrame, model: dict) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from carebook.llm.common import on_workers
 from carebook.llm.tokenizing import encoder, list_parts, slices, with_end_id
+from carebook.llm.worker_memory import release
 
 # Sequence ids: the bucket's number (log2 of its length) above this many bits,
 # the piece's own number below.
@@ -65,6 +66,7 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int,
                 [part.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(n[doc]),
                  pa.array(crc), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))],
                 schema=_ARROW)
+            release()
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, max_length: int = 2048) -> DataFrame:

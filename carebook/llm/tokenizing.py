@@ -17,6 +17,8 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from carebook.llm.worker_memory import keep
+
 # Texts are cut before white space only if the byte after it is none of these:
 # white space, or the first byte of a UTF-8 white-space character.
 _NO_CUT_AFTER = np.zeros(256, bool)
@@ -140,14 +142,9 @@ def gather(ids: np.ndarray, ends: np.ndarray, which: np.ndarray) -> pa.ListArray
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[at]))
 
 
-_ENCODERS: dict[tuple, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for this file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return keep(("tokens", path), lambda: PieceEncoder(path))
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES):
