@@ -45,7 +45,10 @@ def _fixed(text: Column, tokens: Column) -> Column:
 
 
 def _lines(docs: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """Every line that is not blank, with its leaf, its masked text and whether enough of it is fixed for a template."""
+    """Every line that is not blank, with its leaf, its masked text and whether enough of it is fixed for a template.
+
+    Lines of which too little is fixed have leaves of their own.
+    """
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("text_key"),
                        F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
@@ -53,8 +56,8 @@ def _lines(docs: DataFrame, depth: int, similarity: float) -> DataFrame:
     tokens = F.length("masked") - F.length(F.translate("masked", " ", "")) + 1
     spelled = F.when(F.col("fixed"), F.col("masked")).otherwise(F.col("line"))
     return (rows.withColumn("tokens", tokens).withColumn("fixed", _fixed(F.col("masked"), F.col("tokens")) / F.col("tokens") >= similarity)
-            .withColumn("leaf", F.xxhash64("tokens", F.substring_index("masked", " ", depth)))
-            .withColumn("template", F.xxhash64("leaf", "fixed", spelled)).drop("line"))
+            .withColumn("leaf", F.xxhash64("fixed", "tokens", F.substring_index("masked", " ", depth)))
+            .withColumn("template", F.xxhash64("leaf", spelled)).drop("line"))
 
 
 def _first_and_last(doc: Column) -> list[Column]:
@@ -87,7 +90,7 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
              .agg(F.count(F.lit(1)).alias("_n"), F.min("first").alias("a"), F.max("last").alias("z"))
              .where((F.col("_n") > 1) & (F.col("a") != F.col("z"))).select("leaf"))
     mixed = bounded_broadcast(stored(mixed, "mixed-leaves"), MAX_LISTED)
-    in_leaf = (lines.where("fixed").join(mixed, "leaf", "left_semi").groupBy("leaf", "template").agg(F.min("masked").alias("masked"))
+    in_leaf = (lines.join(mixed, "leaf", "left_semi").groupBy("leaf", "template").agg(F.min("masked").alias("masked"))
                .select("leaf", "template", F.transform(F.split("masked", " ", -1), lambda w: F.xxhash64(w)).alias("words")))
     in_leaf = stored(in_leaf, "leaf-lines")
     templates = stored(_leaf_templates(in_leaf), "leaf-templates")
