@@ -49,18 +49,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
     """Encode every text, add ``end_id`` and write the ids in ascending doc_id order.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. Documents
-    are range-partitioned and sorted by (doc_id, hash of the text), so file
+    are range-partitioned and sorted by (doc_id, hash of the text, row), so file
     order is document order, null doc_ids come first, and rows that repeat one
-    doc_id still spread over files. A null text is the empty text: its ids are
+    doc_id, or a doc_id and its text, still spread over files. A null text is the empty text: its ids are
     the end id alone. An empty table gives a folder without rows.
 
     One shuffle, of the texts. Ids go from the encoder straight to the file; a
     task that is run again writes its own file anew.
     """
-    key = [F.col("doc_id").asc_nulls_first(), F.col("_text_key")]
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    key = [F.col("doc_id").asc_nulls_first(), F.col("_text_key"), F.col("_row")]
+    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                           F.monotonically_increasing_id().alias("_row"))
                .withColumn("_text_key", text_key(F.col("text")))
-               .repartitionByRange(*key).sortWithinPartitions(*key).drop("_text_key"))
+               .repartitionByRange(*key).sortWithinPartitions(*key).drop("_text_key", "_row"))
     writer = (ordered.mapInArrow(on_workers(__name__, "_encode_batches", tokenizer, end_id), FILE_SCHEMA).write
               .option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
               .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)

@@ -119,3 +119,22 @@ def test_buckets_and_empty(spark):
     assert token_files.token_digests(token_files.read_tokens(spark, path)).count() == 0
     with pytest.raises(ValueError):
         packing.pack(empty(spark), TOKENIZER, max_length=100)
+
+
+def test_equal_rows_are_spread(spark):
+    """One doc_id and text in half of all rows lies in many files."""
+    rows = [(7, "the same text again")] * 600 + [(10 + i, prose(random.Random(i), 5)) for i in range(600)]
+    path = tempfile.mkdtemp(prefix="carebook-tok-") + "/tokens"
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        token_files.write_tokens(documents(spark, rows).repartition(4), path, TOKENIZER)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    copies = token_files.read_tokens(spark, path).where("doc_id = 7")
+    n = len(ids_of(rows[0][1], 2))
+    assert sorted(r.start for r in copies.collect()) == [n * i for i in range(600)]
+    shards = [r["count"] for r in spark.read.parquet(path).where("doc_id = 7").groupBy("shard").count().collect()]
+    assert len(shards) >= 3 and max(shards) < 300
