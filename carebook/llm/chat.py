@@ -68,8 +68,9 @@ def rotate(turns: DataFrame) -> DataFrame:
     ``train_start`` and ``train_end`` (the characters to learn: the text and end
     mark of the assistant's turns; both null for others).
 
-    Turns are ordered by ``turn``, then speaker and text, so ties and repeated
-    rows have a fixed place and are all rendered. A null role is ``unnamed``, a
+    Turns are ordered by ``turn``, then speaker, then segment; segments that tie in
+    all these and in their first RANGE_CHARS characters go by a hash of the whole.
+    So ties and repeated rows have a fixed place and are all rendered. A null role is ``unnamed``, a
     null text is empty, a null turn comes first; rows with a null conv_id form
     one dialogue. CONTEXT_ROLES take part but are no perspective; a dialogue of
     these alone has none and gives no rows, nor does an empty table.
@@ -79,19 +80,20 @@ def rotate(turns: DataFrame) -> DataFrame:
     """
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                         F.coalesce(F.col("role").cast("string"), F.lit(UNNAMED)).alias("speaker"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row"))
     people = rows.where(~F.col("speaker").isin(*CONTEXT_ROLES)).select(
         F.col("conv_id").alias("_conv"), F.col("speaker").alias("perspective")).distinct()
     seen = rows.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
     head = _head(F.col("speaker"), F.col("perspective"))
     seen = seen.select("conv_id", "perspective", "turn", "speaker", F.length(head).cast("long").alias("head_length"),
-                       F.concat(head, "text", F.lit(END)).alias("segment")).withColumn("length", F.length("segment").cast("long"))
-    order = ["conv_id", "perspective", "turn", "speaker", "segment"]
+                       F.concat(head, "text", F.lit(END)).alias("segment"), "_row").withColumn("length", F.length("segment").cast("long"))
+    seen = seen.withColumns({"_begins": F.substring("segment", 1, RANGE_CHARS), "_hash": F.xxhash64("segment")})
+    order = ["conv_id", "perspective", "turn", "speaker", "_begins", "_hash", "_row"]
     schema = ("conv_id long, perspective string, turn long, speaker string, head_length long, segment string, length long, "
               "part int, local_position long, local_start long")
-    # The driver samples what ranges are cut by, so that is a segment's beginning;
-    # segments that begin alike lie in one part, where the whole ones are sorted.
-    parts = stored(seen.repartitionByRange(*order[:4], F.substring("segment", 1, RANGE_CHARS)).sortWithinPartitions(*order)
+    # The driver samples what ranges are cut by, so that is a segment's beginning and
+    # a hash; the row's number cuts rows that are the same throughout.
+    parts = stored(seen.repartitionByRange(*order).sortWithinPartitions(*order).drop("_begins", "_hash", "_row")
                    .mapInArrow(on_workers(__name__, "_running_batches"), schema), "turns")
     sums = parts.groupBy("conv_id", "perspective", "part").agg(F.count(F.lit(1)).alias("_rows"), F.sum("length").alias("_chars"))
     dialogue = Window.partitionBy("conv_id", "perspective").orderBy("part")

@@ -61,3 +61,23 @@ def test_many_ties_over_several_partitions(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_equal_beginnings_are_spread(spark):
+    """A third of all rows tie in turn, speaker and their first 2,000 characters, or are the same throughout."""
+    rows = [(1, None, "ann", "x" * 2000 + (str(i) if i % 2 else "")) for i in range(1000)] + [(2, t, "bob", "y") for t in range(300)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    real, parts = chat.stored, []
+    try:
+        chat.stored = lambda df, purpose: parts.append(real(df, purpose)) or parts[-1]
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = chat.rotate(frame).where("conv_id = 1").collect()
+        assert sorted(r.position for r in got) == list(range(1000)) and sum(len(r.segment) for r in got) == max(r.end for r in got)
+        sizes = [r["count"] for r in parts[0].groupBy("part").count().collect()]
+        assert len(sizes) >= 6 and max(sizes) < 400
+    finally:
+        chat.stored = real
+        for k, v in kept.items():
+            spark.conf.set(k, v)
