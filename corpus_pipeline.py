@@ -4,6 +4,13 @@
 that its predecessor kept and the input folder, and its rows are written as
 Parquet and read again before the next one. All but the last return the columns
 of ``documents``.
+
+Every stage takes any rows of these columns: a null text is kept or dropped as the
+stage says, texts of any length are read whole, rows with a null or repeated
+doc_id are rows of their own (told apart by their text, so rows that agree in both
+share their fate), an empty table gives an empty one, and columns besides
+``doc_id`` and ``text`` (``lang`` for the first stage) are carried, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -18,7 +25,11 @@ from carebook.session import fresh_dir
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language identification: documents that it rejects go."""
+    """Language identification: documents that it rejects go.
+
+    Null texts and texts without a letter go. If no document is labelled with a
+    language, there is nothing to judge by and all others stay.
+    """
     return language.accepted(docs)
 
 
@@ -36,17 +47,20 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates (3-word shingles, at most 2 differing bits): one document of each group stays."""
+    """SimHash near-duplicates (3-word shingles, at most 2 differing bits): one document of each group stays.
+
+    Texts without a word have fingerprint zero and are one group.
+    """
     return simhash.one_per_component(docs, shingle=3, max_distance=2)
 
 
 def no_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents that hold a copy of an item go."""
+    """Benchmark decontamination: documents that hold a copy of an item go. A null text holds none; without items all stay."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: one row per sequence, with its ids."""
+    """Packing: one row per sequence, with its ids. A null text is the empty one: its end id alone."""
     return packing.pack(docs, TOKENIZER, end_id=1, max_length=2048)
 
 
