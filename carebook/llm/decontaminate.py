@@ -1,11 +1,15 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-The test items are the stated query set; every n-gram of an item is a seed,
-however often the corpus holds it. Where a document holds a seed, the passage
-around it is aligned with the item word by word; the score counts equal words
-against edits, so paraphrased and edited copies score high and chance meetings
-do not. Items are taken in blocks whose seeds have a bounded size, and each
-block meets every document.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+The test items are the stated query set; the n-grams of an item are its seeds.
+A seed that few items hold is rare: where a document holds one, the passage around
+it may be the item. One that many items hold (an opening that questions share)
+says little: it takes a second seed that puts the item at about the same place.
+Before a passage is aligned it must hold enough of the item's words for the
+score that counts, whatever their order; so what is aligned are near copies, and
+their number does not grow as documents times items. The alignment, word by word,
+counts equal words against edits, so paraphrased and edited copies score high and
+chance meetings do not. Items are taken in blocks whose seeds have a bounded size,
+and each block meets every document.
 """
 
 from __future__ import annotations
@@ -22,12 +26,14 @@ from pyspark.sql import functions as F
 from carebook.llm.common import on_workers, rows_without, stored, text_key
 from carebook.llm.tokenizing import slices
 
-SEED_WORDS = 4
+SEED_WORDS = 3
+RARE_ITEMS = 20  # a seed of more items of a block is common
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 BLOCK_WORDS = 1_000_000
 SLICE = 4 << 20
 CELLS = 50_000  # passage words aligned side by side
+CHECKED = 500_000  # words of passages and items compared at a time
 _BREAK = r"[^\p{L}\p{M}\p{N}]+"
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -162,7 +168,7 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
     return best, start, end
 
 
-def _passages(block: dict, offsets: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
+def _passages(block: dict, offsets: np.ndarray, words: np.ndarray, min_score: float) -> tuple[np.ndarray, ...]:
     """(document, item, first word, end word) of every passage to align."""
     at, place = _gram_places(offsets, words, block["keys"], SEED_WORDS)
     times = np.diff(block["seed_upto"])[place]
@@ -170,22 +176,49 @@ def _passages(block: dict, offsets: np.ndarray, words: np.ndarray) -> tuple[np.n
     nth = np.arange(len(hit)) - np.repeat(np.cumsum(times) - times, times)
     seed = block["seed_upto"][place[hit]] + nth
     item, begin = block["seed_item"][seed], at[hit] - block["seed_at"][seed]
+    rare = times[hit] <= RARE_ITEMS
     doc = np.searchsorted(offsets, at[hit], side="right") - 1
     if not len(hit):
         return (np.zeros(0, np.int64),) * 4
     # Hits that place the item at about the same word are one passage.
     order = np.lexsort((begin, item, doc))
-    doc, item, begin = doc[order], item[order], begin[order]
+    doc, item, begin, rare = doc[order], item[order], begin[order], rare[order]
     length = np.diff(block["offsets"])[item]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > length[1:])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(doc)) - 1
+    # One rare seed, or two. An item that has no other seed counts with what it has.
+    seeds = np.maximum(1, length[first] - SEED_WORDS + 1)
+    told = np.logical_or.reduceat(rare, first) | (last - first + 1 >= np.minimum(2, seeds))
+    first, last = first[told], last[told]
     slack = length[first] // 2 + SEED_WORDS
-    doc, item = doc[first], item[first]
+    doc, item, length = doc[first], item[first], length[first]
     low = np.maximum(begin[first] - slack, offsets[doc])
-    high = np.minimum(begin[last] + length[first] + slack, offsets[doc + 1])
-    return doc, item, low, high
+    high = np.minimum(begin[last] + length + slack, offsets[doc + 1])
+    enough = np.zeros(len(doc), bool)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(high - low + length) // CHECKED)) + 1, [len(doc)]])
+    for a, z in zip(edges[:-1], edges[1:]):
+        enough[a:z] = _shared(block, words, item[a:z], low[a:z], high[a:z]) >= min_score * length[a:z]
+    return doc[enough], item[enough], low[enough], high[enough]
+
+
+def _flat(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every place of the runs that begin at ``starts``, and each place's run."""
+    run = np.repeat(np.arange(len(starts)), lengths)
+    return np.arange(len(run)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + starts[run], run
+
+
+def _shared(block: dict, words: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """How many words of each item its passage holds at all. An alignment matches no more."""
+    if not len(item):
+        return np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        at, run = _flat(low, high - low)
+        held = np.unique(words[at] ^ (run.astype(np.uint64) * _P))
+        at, run = _flat(block["offsets"][item], np.diff(block["offsets"])[item])
+        there = _places(held, block["words"][at] ^ (run.astype(np.uint64) * _P)) >= 0
+    return np.bincount(run, weights=there, minlength=len(item))
 
 
 def _align_batches(batches: Iterator[pa.RecordBatch], shared, min_score: float) -> Iterator[pa.RecordBatch]:
@@ -194,7 +227,7 @@ def _align_batches(batches: Iterator[pa.RecordBatch], shared, min_score: float)
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             offsets, words = _word_hashes(part.column("text"))
-            doc, item, low, high = _passages(block, offsets, words)
+            doc, item, low, high = _passages(block, offsets, words, min_score)
             score, start, end = np.zeros(len(doc)), np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
             order = np.argsort(high - low, kind="stable")
             # The shorter passages of a group are padded to its longest one.
@@ -236,7 +269,8 @@ def contaminated(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE
     What a block of items broadcasts is bounded by ``block_words``. One pass
     over the texts per block, without a shuffle of texts or of matches: a
     passage that very many documents hold is aligned where each of them lies.
-    A passage that shares no SEED_WORDS words in a row with an item has no seed.
+    A copy is found if it shares SEED_WORDS words in a row with its item that at most
+    RARE_ITEMS items of the block hold, or two such runs that more hold.
     """
     spark = docs.sparkSession
     distinct = stored(distinct_items(items), "items")
