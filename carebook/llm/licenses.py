@@ -1,14 +1,19 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance along directories.
 
-A file is scored by its statements (sentences of its lines, and sentences that
+A file is scored by its statements (lines, their sentences, and sentences that
 run over several lines) and, if its name marks it as a licence file, also as a
-whole, against licence templates. Weights come from the document frequencies of
+whole, against licence templates: statements, headers, identifiers and whole texts
+(``licence_texts``). Near relatives are told apart by what sets them apart: a
+statement must hold the version numbers of its template, an identifier line all of
+the identifier, and of the two BSD licences, whose sentences are the same, a
+file has the three-clause one if it holds the third clause. Weights come from the document frequencies of
 all words over all files. A file without a licence of its own takes that of the nearest ancestor directory
 that holds a licence file.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carebook.llm.common import on_workers, stored
+from carebook.llm.licence_texts import SPDX_MARK, TEMPLATES, THIRD_CLAUSE
 from carebook.llm.tokenizing import slices
 from carebook.operators.broadcast import bounded_broadcast
 
@@ -31,34 +37,6 @@ _SENTENCE = r"\n|[.!?;][\x20\t\r]+"
 _WRAPPED = r"\n[^\p{L}\p{N}\n]*\n|[.!?;]\s+"
 MAX_WORDS = 1_000_000
 
-# Licence statements, and the openings of licence texts.
-TEMPLATES = (
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "Released under CC0 1.0 Universal."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("Proprietary", "All rights reserved."),
-    # Full sentences of the licence texts and headers, of which those above are the openings.
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
-    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-)
-
-
 def _words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
     """Offsets of each text, its words, and which of them are not empty."""
     lists = pc.split_pattern_regex(pc.utf8_lower(texts), _BREAK)
@@ -101,6 +79,19 @@ def weights(counted: DataFrame) -> tuple[list[str], np.ndarray, int]:
     return terms, np.array([1 + np.log((1 + total) / (1 + n.get(t, 0))) for t in terms]), total
 
 
+def required(name: str, text: str) -> set[str]:
+    """Words that a statement must hold to be of this template: the numbers of its licence's version, or the whole identifier."""
+    words = set(re.findall(r"[^\W_]+", text.lower()))
+    if text.startswith(SPDX_MARK):
+        return set(re.findall(r"[^\W_]+", text[len(SPDX_MARK):].lower()))
+    return {w for w in re.findall(r"[0-9]+", name) if w in words}
+
+
+def by_clauses(name: str, text: str) -> str | None:
+    """Which of the two BSD licences a template stands for, if their sentences alone do not tell."""
+    return name if name.startswith("BSD-") and "Redistribution" in text else None
+
+
 class Scorer:
     """What cosines of statements to all templates are made of."""
 
@@ -112,9 +103,14 @@ class Scorer:
         owner = np.repeat(np.arange(len(TEMPLATES)), np.diff(offsets))
         np.add.at(self.matrix, (place[there], owner[there]), idf[place[there]])
         self.matrix /= np.linalg.norm(self.matrix, axis=0)
-
-    def products(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
-        """Of the texts that hold a template word: their numbers, best product with
+        self.required = np.array([[t in required(*template) for template in TEMPLATES] for t in terms], np.int64).reshape(len(terms), -1)
+        self.needed = self.required.sum(0)
+        clauses = [by_clauses(*template) for template in TEMPLATES]
+        self.two, self.three = (np.array([c == n for c in clauses]) for n in ("BSD-2-Clause", "BSD-3-Clause"))
+
+    def products(self, texts: pa.Array, file: np.ndarray, files: pa.Array) -> tuple[np.ndarray, ...]:
+        """Of the statements ``texts`` (``file`` numbers the one of ``files`` that each lies in) that hold a
+        template word: their numbers, best product with
         a template, the template that has it (the first, of equal ones) and the
         squared norm of their template words. And the text, word (as a place in
         the dictionary given last) and times of each of their other words.
@@ -139,6 +135,15 @@ class Scorer:
         known = np.bincount(r[hit], weights=weight ** 2, minlength=len(some))
         dots = np.zeros((len(some), len(TEMPLATES)))
         np.add.at(dots, r[hit], weight[:, None] * self.matrix[place[hit]])
+        told = np.flatnonzero(self.required[place].any(1) & hit) if len(self.terms) else np.zeros(0, np.int64)
+        have = np.zeros((len(some), len(TEMPLATES)), np.int32)
+        np.add.at(have, r[told], self.required[place[told]])
+        dots[have < self.needed] = 0
+        if len(some):
+            either = np.flatnonzero((self.two | self.three)[dots.argmax(1)])
+            third = pc.match_substring_regex(files.take(pa.array(file[some[either]])), THIRD_CLAUSE).to_numpy(zero_copy_only=False)
+            dots[np.ix_(either[third], self.two)] = 0
+            dots[np.ix_(either[~third], self.three)] = 0
         which = dots.argmax(1) if len(some) else np.zeros(0, np.int64)
         return some, dots[np.arange(len(some)), which], which, known, r[~hit], word[~hit], times[~hit], words.dictionary
 
@@ -171,7 +176,7 @@ def _score_batches(batches: Iterator[pa.RecordBatch], terms: list[str], idf: np.
             whole = np.flatnonzero(part.column("licence_file").to_numpy(zero_copy_only=False))
             owner = np.concatenate([lines, wrapped, whole])
             some, dot, which, known, r, word, times, dictionary = scorer.products(
-                pa.concat_arrays([pc.list_flatten(statements), over, text.take(pa.array(whole))]))
+                pa.concat_arrays([pc.list_flatten(statements), over, text.take(pa.array(whole))]), owner, text)
             others = np.bincount(r, weights=times.astype(float) ** 2, minlength=len(some))
             high, low = dot / np.sqrt(known + others), dot / np.sqrt(known + others * rarest ** 2)
             bar = np.full(len(text), least)
