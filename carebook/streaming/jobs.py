@@ -18,6 +18,7 @@ from carebook.functions.columns import instant_day, instant_to_ntz
 from carebook.plans.register import register
 from carebook.session import fresh_dir
 from carebook.sources.tables import Tables
+from carebook.streaming.register_copy import RegisterCopy
 from carebook.streaming.sink import drain_and_read, finish, read_batches, start_batches
 from carebook.streaming.source import EVENT_TIME, read_entries_table_stream
 
@@ -101,13 +102,14 @@ def start_enrich(spark: SparkSession, base_dir: str, entries: DataFrame, out_dir
                  **trigger) -> StreamingQuery:
     """Start enriching an entry stream into ``out_dir``.
 
-    Each micro-batch reads the register anew, so a person registered while the
-    query runs is found from the next batch on. Entries of persons not in the
+    The register is kept bucketed by person and copied anew when its files change
+    (``RegisterCopy``), so a micro-batch shuffles its own rows and never the register, and
+    a person registered while the query runs is found from the next batch on. Entries of persons not in the
     register are written too, apart from the others (see ``read_batches``), so
     they can be enriched later (``late_matches``); none is lost.
     """
-    return start_batches(spark, entries, lambda batch: enrich(batch, register(Tables(spark, base_dir))),
-                         MATCHED, out_dir, checkpoint_dir, **trigger)
+    copy = RegisterCopy(spark, base_dir)
+    return start_batches(spark, entries, lambda batch: enrich(batch, copy.persons_of(batch)), MATCHED, out_dir, checkpoint_dir, **trigger)
 
 
 def late_matches(spark: SparkSession, base_dir: str, out_dir: str) -> DataFrame:

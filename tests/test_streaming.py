@@ -186,3 +186,66 @@ def test_streams_equal_their_batch_twins(spark):
     enriched = jobs.enrich_stream(spark, SMOKE_DIR)
     batch = diary_enriched(spark, SMOKE_DIR).select(*enriched.columns)
     assert enriched.exceptAll(batch).count() == 0 and batch.exceptAll(enriched).count() == 0
+
+
+def _register_dir(persons):
+    import shutil
+    d = tempfile.mkdtemp(prefix="carebook-register-")
+    for t in ("nation", "region"):
+        shutil.copy(f"{SMOKE_DIR}/{t}.parquet", f"{d}/{t}.parquet")
+    write_customers(d, persons)
+    return d
+
+
+def test_register_copy_is_made_anew_only_when_files_change(spark):
+    from carebook.streaming.register_copy import RegisterCopy
+    d = _register_dir([1, 2, 3])
+    copy = RegisterCopy(spark, d, buckets=4)
+    assert copy.current().count() == 3
+    name = copy._table
+    copy.current()
+    assert copy._table == name
+    write_customers(d, [1, 2, 3, 4])
+    os.utime(f"{d}/customer.parquet", (1_800_000_000, 1_800_000_000))
+    assert copy.current().count() == 4 and copy._table != name
+    assert not spark.catalog.tableExists(name)
+
+
+def test_a_batch_does_not_shuffle_the_register(spark):
+    """The copy is read by bucket: the only exchange below the join with it carries the batch's distinct persons."""
+    from carebook.streaming.register_copy import RegisterCopy
+    for buckets in (4, None):
+        _check_plan(spark, RegisterCopy(spark, _register_dir(list(range(200))), buckets))
+
+
+def _check_plan(spark, copy):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = Tables(spark, SMOKE_DIR).events
+        plan = copy.persons_of(batch)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "c_custkey" in line and "FileScan" in line)
+    above = lines[next(i for i, line in enumerate(lines) if "SortMergeJoin" in line) + 1:scan]
+    assert "Bucketed: true" in lines[scan] and not any("Exchange" in line for line in above), plan
+    assert any("Exchange hashpartitioning(_person" in line for line in lines[scan:]), plan
+
+
+def test_enrich_writes_each_entry_once_with_a_hot_person(spark):
+    from carebook.plans.register import diary_enriched
+    from carebook.session import fresh_dir
+    from carebook.streaming.sink import finish, read_batches
+    d = _register_dir(list(range(50)))
+    rows = [_e(i, "2024-01-01 10:00:00", user=7 if i % 3 == 0 else i % 80) for i in range(600)] + [_e(1000, "2024-01-01 10:00:00", user=None)]
+    write_events(f"{d}/events.parquet", rows[:300], name="part-0.parquet")
+    write_events(f"{d}/events.parquet", rows[300:], name="part-1.parquet")
+    out = fresh_dir(spark, "t-enrich-hot")
+    finish(jobs.start_enrich(spark, d, read_entries_stream(spark, f"{d}/events.parquet", glob=None, max_files_per_trigger=1), out,
+                             fresh_dir(spark, "t-enrich-hot-checkpoint"), available_now=True))
+    schema = jobs._enriched_schema(spark, d)
+    found, missing = (read_batches(spark, out, schema, "matched", m) for m in (True, False))
+    assert found.count() + missing.count() == 601
+    batch = diary_enriched(spark, d).select(*found.columns)
+    assert found.exceptAll(batch).count() == 0 and batch.exceptAll(found).count() == 0
