@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from carebook.llm.common import on_workers, stored
 from carebook.llm.licence_texts import SPDX_MARK, TEMPLATES, THIRD_CLAUSE
 from carebook.llm.tokenizing import slices
+from carebook.llm.worker_memory import drop_kept, release
 from carebook.operators.broadcast import bounded_broadcast
 
 MIN_COSINE = 0.75
@@ -53,8 +54,10 @@ def _terms() -> list[str]:
 
 def _frequency_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, files) of each slice, and the number of files under the empty term."""
+    drop_kept()
     for batch in batches:
         for part in slices(batch, "text", SLICE):
+            release()
             offsets, words, there = _words(part.column("text"))
             owner = np.repeat(np.arange(len(part)), np.diff(offsets))[there]
             seen = np.unique(words.indices.to_numpy()[there].astype(np.int64) * len(part) + owner) // max(1, len(part))
@@ -169,6 +172,7 @@ def _score_batches(batches: Iterator[pa.RecordBatch], terms: list[str], idf: np.
     scorer, number = Scorer(terms, idf), TaskContext.get().partitionId() << 40
     for batch in batches:
         for part in slices(batch, "text", SLICE):
+            release()
             text = part.column("text")
             statements = pc.split_pattern_regex(text, _SENTENCE)
             lines = np.repeat(np.arange(len(text)), np.diff(statements.offsets.to_numpy().astype(np.int64)))
