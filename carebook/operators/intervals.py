@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from carebook.functions.columns import ntz_micros
 from carebook.operators.blocks import running_sums
+from carebook.operators.broadcast import bounded_broadcast
 from carebook.session import fresh_dir
 
+MAX_GROUPS = 100_000
+
 
 def open_counts(intervals: DataFrame, group: Sequence[str], start: str, end: str, parts: int | None = None) -> DataFrame:
     """(group, ``at``, ``open``): how many of the group's intervals [start, end) are open from ``at`` on, at
@@ -27,7 +30,11 @@ def open_counts(intervals: DataFrame, group: Sequence[str], start: str, end: str
 
 def busiest_times(intervals: DataFrame, group: Sequence[str], start: str, end: str, parts: int | None = None) -> DataFrame:
     """Per group the most intervals open at once (``peak``), since when first (``peak_start``) and
-    until when (``peak_end``, the next time at which fewer are open)."""
+    until when (``peak_end``, the next time at which fewer are open).
+
+    The counts are written once. Peaks, one row a group, are broadcast to them up to
+    MAX_GROUPS groups and joined by a shuffle, which AQE splits, beyond.
+    """
     group = list(group)
     counts = open_counts(intervals, group, start, end, parts)
     path = fresh_dir(intervals.sparkSession, "open-counts")
@@ -40,7 +47,7 @@ def busiest_times(intervals: DataFrame, group: Sequence[str], start: str, end: s
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"_peak_{i}"))
     after = (F.col("at") > F.col("peak_start")) & (F.col("open") < F.col("peak"))
-    return (counts.join(peaks, same).groupBy(*group)
+    return (counts.join(bounded_broadcast(peaks, MAX_GROUPS), same).groupBy(*group)
             .agg(F.first("peak").alias("peak"), F.first("peak_start").alias("peak_start"), F.min(F.when(after, F.col("at"))).alias("peak_end")))
 
 

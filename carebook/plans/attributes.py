@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carebook.functions.columns import day_of
+from carebook.session import fresh_dir
 from carebook.sources.tables import Tables
 
 FAULTS = ("malformed", "missing", "not_object")
@@ -81,5 +84,9 @@ def worker_rota(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.lineitem.where(F.col("l_suppkey").isNotNull()).select("l_orderkey", "l_suppkey")
     dated = lines.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
     spans = dated.groupBy("l_suppkey").agg(F.min(day_of("o_orderdate")).alias("_first"), F.max(day_of("o_orderdate")).alias("_last"))
-    spans.select("l_suppkey", F.trunc("_first", "month").alias("first_day"), F.last_day("_last").alias("last_day")).createOrReplaceTempView("carebook_spans")
-    return spark.sql(f"SELECT r.worker_id AS l_suppkey, r.day FROM carebook_spans, LATERAL {create_rota(spark)}(l_suppkey, first_day, last_day) AS r")
+    spans = spans.select("l_suppkey", F.trunc("_first", "month").alias("first_day"), F.last_day("_last").alias("last_day"))
+    path = fresh_dir(spark, "worker-spans")  # one row a worker; a lateral join reads its outer side more than once
+    spans.write.parquet(path)
+    view = f"carebook_spans_{uuid.uuid4().hex}"
+    spark.read.schema(spans.schema).parquet(path).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT r.worker_id AS l_suppkey, r.day FROM {view}, LATERAL {create_rota(spark)}(l_suppkey, first_day, last_day) AS r")
