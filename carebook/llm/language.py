@@ -6,8 +6,9 @@ over the whole corpus by Spark. From them the driver compiles interpolated
 Kneser-Ney models: absolute discounting at the highest order, continuation
 counts below, down to single characters and a uniform floor. Models are kept
 in sorted hash arrays: hash of the run, and its log-probability in every
-language. Where there are more runs than one array should hold, Spark compiles
-the same models and they are broadcast whole, in blocks by hash. A text's cross-entropy in a language is its mean negative
+language. Where there are more runs than one array should hold, the same models
+stay tables: the runs of the corpus' distinct words are joined with them, and texts
+with the scores of their words. A text's cross-entropy in a language is its mean negative
 log-probability a character; the lowest one names the language.
 
 Rejection is calibrated on the training texts by medians, so that no few texts
@@ -191,55 +192,23 @@ def compile_model(languages: list[str], lang: np.ndarray, runs: list[str], n: np
     return model
 
 
-def _log_probabilities(model: dict, codes: np.ndarray, ends: np.ndarray, blocks=()) -> np.ndarray:
-    """log P of the symbol at each of ``ends`` given the ORDER - 1 before it, in each language.
-
-    ``blocks`` has the (order, broadcast) pairs of a model in blocks (see ``fit``).
-    """
-    size = len(model["languages"])
-    p = np.full((len(ends), size), model["floor"], np.float64)
+def _log_probabilities(model: dict, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """log P of the symbol at each of ``ends`` given the ORDER - 1 before it, in each language."""
+    p = np.full((len(ends), len(model["languages"])), model["floor"], np.float64)
     for k in range(1, ORDER + 1):
         grams = _run_hashes(codes, k)[ends]
         contexts = _run_hashes(codes, k - 1)[ends - 1] if k > 1 else np.zeros(len(ends), np.uint64)
-        if k in model["orders"]:
-            gram_keys, share, context_keys, weight = model["orders"][k]
-            gram, context = _lookup(gram_keys, grams), _lookup(context_keys, contexts)
-            p = np.where((context >= 0)[:, None], p * weight[context], p) if len(weight) else p
-            if len(share):
-                p += np.where((gram >= 0)[:, None], share[gram], 0.0)
-            continue
-        shares, weights = np.zeros((len(ends), size)), np.ones((len(ends), size))
-        for block in (b for order, b in blocks if order == k):
-            gram_rows, context_rows = block.value
-            _spread(shares, gram_rows, grams)
-            _spread(weights, context_rows, contexts)
-            if getattr(block, "_path", None):
-                block.__dict__.pop("_value", None)  # one block at a time in memory; it is read again from the worker's disk
-        p = p * weights + shares
+        gram_keys, share, context_keys, weight = model["orders"][k]
+        gram, context = _lookup(gram_keys, grams), _lookup(context_keys, contexts)
+        p = np.where((context >= 0)[:, None], p * weight[context], p) if len(weight) else p
+        if len(share):
+            p += np.where((gram >= 0)[:, None], share[gram], 0.0)
     return np.log(p).astype(np.float32)
 
 
-def _spread(out: np.ndarray, rows: tuple, wanted: np.ndarray) -> None:
-    """Put the values of each wanted hash into its row of ``out``, in the columns of their languages."""
-    keys, upto, lang, value = rows
-    at = _lookup(keys, wanted)
-    hit = np.flatnonzero(at >= 0)
-    times = (upto[1:] - upto[:-1])[at[hit]]
-    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    source = np.repeat(upto[at[hit]], times) + nth
-    out[np.repeat(hit, times), lang[source]] = value[source]
-
-
-def _block_rows(hashes: np.ndarray, lang: np.ndarray, value: np.ndarray) -> tuple:
-    """Sorted hashes, where the rows of each begin and end, and the rows' languages and values."""
-    order = np.argsort(hashes, kind="stable")
-    keys, first = np.unique(hashes[order], return_index=True)
-    return keys, np.append(first, len(order)), lang[order].astype(np.int16), value[order].astype(np.float32)
-
-
-def _order_table(level: DataFrame, k: int, blocks: int) -> DataFrame:
-    """(block, is_gram, lang, part, value): of order ``k``, the discounted shares of
-    its runs and the weights of their contexts, from all of its counts (lang, run, n)."""
+def _order_table(level: DataFrame, k: int, languages: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Of order ``k``, from all of its counts (lang, run, n): (run, ``shares``), the discounted share
+    of each run, and (context, ``weights``), the weight that goes to the order below, in every language."""
     ones, twos = F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long"))
     discounts = bounded_broadcast(level.groupBy("lang").agg(ones.alias("_ones"), twos.alias("_twos")).select(
         "lang", F.when((F.col("_ones") > 0) & (F.col("_twos") > 0), F.col("_ones") / (F.col("_ones") + 2 * F.col("_twos")))
@@ -247,46 +216,36 @@ def _order_table(level: DataFrame, k: int, blocks: int) -> DataFrame:
     runs = level.withColumn("context", F.substring("run", 1, k - 1)).join(discounts, "lang")
     contexts = runs.groupBy("lang", "context", "discount").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
     shares = runs.join(contexts.select("lang", "context", "total"), ["lang", "context"]).select(
-        F.lit(True).alias("is_gram"), "lang", F.col("run").alias("part"), ((F.col("n") - F.col("discount")) / F.col("total")).alias("value"))
-    weights = contexts.select(F.lit(False).alias("is_gram"), "lang", F.col("context").alias("part"),
-                              (F.col("discount") * F.col("kinds") / F.col("total")).alias("value"))
-    rows = shares.unionByName(weights)
-    return rows.withColumn("block", F.pmod(F.xxhash64("part"), F.lit(blocks))).sort("block", "part", "lang")
+        "run", "lang", ((F.col("n") - F.col("discount")) / F.col("total")).alias("value"))
+    weights = contexts.select("context", "lang", (F.col("discount") * F.col("kinds") / F.col("total")).alias("value"))
 
+    def by_language(rows: DataFrame, key: str, missing: float, name: str) -> DataFrame:
+        own = F.map_from_entries(F.collect_list(F.struct("lang", "value")))
+        names = F.array(*[F.lit(x) for x in languages])
+        filled = F.transform(names, lambda x: F.coalesce(F.try_element_at(F.col("_own"), x), F.lit(missing)))
+        return stored(rows.groupBy(key).agg(own.alias("_own")).select(key, filled.alias(name)), "language-order")
 
-def _fit_in_blocks(counts: DataFrame, languages: list[str], max_runs: int) -> dict:
-    """The model that ``compile_model`` gives of all ``counts``, in blocks of about ``max_runs`` runs.
+    return by_language(shares, "run", 0.0, "shares"), by_language(weights, "context", 1.0, "weights")
 
-    Spark computes its statistics; the driver holds one block at a time, and so
-    does a worker.
-    """
-    context = counts.sparkSession.sparkContext
+
+def _fit_tables(counts: DataFrame, languages: list[str]) -> dict:
+    """The model that ``compile_model`` gives of all ``counts``, as two tables an order; nothing of it is gathered."""
     symbols = counts.select(F.substring("run", -1, 1)).distinct().count()
-    level, blocks = counts, []
+    level, tables = counts, {}
     for k in range(ORDER, 0, -1):
-        n = -(-level.count() // max_runs)
-        rows = stored(_order_table(level, k, n), "language-blocks")
-        for b in range(n):
-            part = rows.where(F.col("block") == b).select("is_gram", "lang", "part", "value").toArrow()
-            lang = pc.index_in(part.column("lang"), value_set=pa.array(languages, pa.string())).to_numpy().astype(np.int64)
-            grams = part.column("is_gram").to_numpy()
-            texts, value = np.array(part.column("part").to_pylist(), object), part.column("value").to_numpy()
-            context_hash = _hash_texts(texts[~grams].tolist()) if k > 1 else np.zeros(int((~grams).sum()), np.uint64)
-            blocks.append((k, context.broadcast((_block_rows(_hash_texts(texts[grams].tolist()), lang[grams], value[grams]),
-                                                 _block_rows(context_hash, lang[~grams], value[~grams])))))
+        tables[k] = _order_table(level, k, languages)
         if k > 1:
             level = stored(level.groupBy("lang", F.substring("run", 2, k - 1).alias("run")).agg(F.count(F.lit(1)).alias("n")), "lower-runs")
-    return {"languages": languages, "orders": {}, "floor": 1.0 / (symbols + 1), "blocks": blocks,
-            "full": (np.zeros(0, np.uint64), np.zeros((0, len(languages)), np.float32))}
+    return {"languages": languages, "floor": 1.0 / (symbols + 1), "tables": tables}
 
 
 def fit(labelled: DataFrame, max_runs: int = MAX_RUNS) -> dict:
     """Model of every language in ``labelled`` (``lang``, ``text``; rows with a null are left out).
 
     Counts cover all rows and the model holds all runs. With more than
-    ``max_runs`` of them (counted per language) it comes in blocks by hash of
-    about so many each, in ``blocks``; probabilities are the same. So what the
-    driver and a worker hold at a time is bounded, however large the corpus; at
+    ``max_runs`` of them (counted per language) it stays in Spark, in ``tables``;
+    probabilities are the same. So what the driver gathers, and broadcasts, is
+    bounded, however large the corpus; at
     most ``MAX_LANGUAGES`` languages are allowed. Without any labelled row the
     model is empty.
     """
@@ -295,7 +254,7 @@ def fit(labelled: DataFrame, max_runs: int = MAX_RUNS) -> dict:
     if len(languages) > MAX_LANGUAGES:
         raise ValueError("too many languages for one model")
     if counts.count() > max_runs:
-        return _fit_in_blocks(counts, languages, max_runs)
+        return _fit_tables(counts, languages)
     rows = counts.toArrow()
     lang = pc.index_in(rows.column("lang"), value_set=pa.array(languages, pa.string())).to_numpy().astype(np.int64)
     return compile_model(languages, lang, rows.column("run").to_pylist(), rows.column("n").to_numpy())
@@ -306,8 +265,8 @@ def fit(labelled: DataFrame, max_runs: int = MAX_RUNS) -> dict:
 class _Scorer:
     """Scores texts; keeps the scores of at most ``max_kept`` words."""
 
-    def __init__(self, model: dict, blocks=(), max_kept: int = 250_000):
-        self.model, self.blocks, self.max_kept = model, blocks, max_kept
+    def __init__(self, model: dict, max_kept: int = 250_000):
+        self.model, self.max_kept = model, max_kept
         self.size = len(model["languages"])
         self.slot: dict[str, int] = {}
         self.kept = np.zeros((0, self.size + 1))
@@ -321,7 +280,7 @@ class _Scorer:
         logs = known[at].astype(np.float64) if len(known) else np.zeros((len(ends), self.size))
         new = np.flatnonzero(at < 0)
         if len(new):
-            logs[new] = _log_probabilities(self.model, codes, ends[new], self.blocks)
+            logs[new] = _log_probabilities(self.model, codes, ends[new])
         starts = np.searchsorted(ends, firsts)
         out = np.empty((len(words), self.size + 1))
         out[:, :-1] = np.add.reduceat(logs, starts, axis=0)
@@ -353,10 +312,10 @@ class _Scorer:
         return -sums[:, :-1] / np.maximum(n, 1)[:, None], n
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], shared, blocks, carried: list[str]) -> Iterator[pa.RecordBatch]:
+def _score_batches(batches: Iterator[pa.RecordBatch], shared, carried: list[str]) -> Iterator[pa.RecordBatch]:
     drop_kept()
     model = shared.value
-    scorer = _Scorer(model, blocks)
+    scorer = _Scorer(model)
     names = pa.array(model["languages"], pa.string())
     for batch in batches:
         for part in slices(batch, "text", SLICE):
@@ -390,15 +349,101 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
     weighs exp(-cross-entropy). Texts that are null or have no letter are
     ``und`` with score 0.
     """
-    spark = docs.sparkSession
-    blocks = model.get("blocks", [])
-    shared = spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "blocks"})  # bounded: see fit
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text").cast("string")).alias("text_key"),
                        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(on_workers(__name__, "_score_batches", shared, blocks, ["doc_id", "text_key", "lang"]),
+    if "tables" in model:
+        return _scored_by_tables(rows, model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: see fit
+    return rows.mapInArrow(on_workers(__name__, "_score_batches", shared, ["doc_id", "text_key", "lang"]),
                            "doc_id long, text_key long, lang string, lang_pred string, score double, entropy double, symbols long, wordless boolean")
 
 
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every text, numbered, with its distinct words and how often it has them."""
+    from pyspark import TaskContext
+    drop_kept()
+    number = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            release()
+            text = part.column("text").cast(pa.string())
+            wordless = ~pc.fill_null(pc.match_substring_regex(text, _LETTER), False).to_numpy(zero_copy_only=False)
+            offsets, words = _words(text)
+            owner = np.repeat(np.arange(len(text)), np.diff(offsets))
+            pair, times = np.unique(owner * max(1, len(words.dictionary)) + words.indices.to_numpy(), return_counts=True)
+            owner, word = pair // max(1, len(words.dictionary)), pair % max(1, len(words.dictionary))
+            upto = np.searchsorted(owner, np.arange(len(text) + 1)).astype(np.int32)
+            held = pa.StructArray.from_arrays([words.dictionary.take(pa.array(word)).cast(pa.string()), pa.array(times.astype(np.int64))], names=["word", "times"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(number, number + len(text))), *[part.column(c) for c in ("doc_id", "text_key", "lang")], pa.array(wordless),
+                 pa.ListArray.from_arrays(pa.array(upto), held)], names=["row", "doc_id", "text_key", "lang", "wordless", "words"])
+            number += len(text)
+
+
+def _run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w1, w2, run, n): the runs of every word, under the word's hashes."""
+    for batch in batches:
+        for part in slices(batch, "word", SLICE):
+            codes, firsts = _symbols(part.column("word").to_pylist())
+            ends = _predicted(len(codes), firsts)
+            owner = np.searchsorted(firsts, ends, side="right") - 1
+            _, sample, run = np.unique(_run_hashes(codes, ORDER)[ends], return_index=True, return_inverse=True)
+            runs = np.stack([codes[ends[sample] - back] for back in range(ORDER - 1, -1, -1)], axis=1).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            texts = pa.array([runs[i:i + ORDER] for i in range(0, len(runs), ORDER)], pa.string())
+            pair, n = np.unique(owner * max(1, len(sample)) + run.reshape(-1), return_counts=True)
+            word, run = pa.array(pair // max(1, len(sample))), pa.array(pair % max(1, len(sample)))
+            yield pa.RecordBatch.from_arrays([part.column("w1").take(word), part.column("w2").take(word), texts.take(run), pa.array(n.astype(np.int64))],
+                                             names=["w1", "w2", "run", "n"])
+
+
+def _sums(values: str, times: Column, size: int) -> Column:
+    """Element by element sums of the arrays in ``values``, each ``times``."""
+    return F.array(*[F.sum(F.col(values)[i] * times) for i in range(size)])
+
+
+def _scored_by_tables(rows: DataFrame, model: dict) -> DataFrame:
+    """``scored`` with a model in tables: every distinct run is scored once, then every distinct word, then texts.
+
+    Joins are on runs and on words' hashes (two of 64 bits); a frequent run or word
+    meets one row of the other side, so Spark's skew split cuts it. Nothing is
+    broadcast by hand.
+    """
+    size = len(model["languages"])
+    texts = stored(rows.mapInArrow(on_workers(__name__, "_word_batches"),
+                                   "row long, doc_id long, text_key long, lang string, wordless boolean, words array<struct<word: string, times: long>>"), "text-words")
+    ids = [F.xxhash64("word").alias("w1"), F.xxhash64("word", F.lit(1)).alias("w2")]
+    pairs = texts.select("row", F.explode("words").alias("_w")).select("row", "_w.word", "_w.times").where("word <> ''")
+    words = pairs.select("word").distinct().select("word", *ids)
+    runs = stored(words.mapInArrow(on_workers(__name__, "_run_batches"), "w1 long, w2 long, run string, n long"), "word-runs")
+    below = None
+    for k in range(1, ORDER + 1):
+        shares, weights = model["tables"][k]
+        need = runs.select(F.substring("run", ORDER + 1 - k, k).alias("run")).distinct().withColumns(
+            {"context": F.substring("run", 1, k - 1), "lower": F.substring("run", 2, k - 1)})
+        found = need.join(shares, "run", "left").join(weights, "context", "left")
+        p = F.array_repeat(F.lit(model["floor"]), size)
+        if below is not None:
+            found, p = found.join(below, "lower"), F.col("p")
+        p = F.zip_with(p, F.coalesce("weights", F.array_repeat(F.lit(1.0), size)), lambda a, b: a * b)
+        p = F.zip_with(p, F.coalesce("shares", F.array_repeat(F.lit(0.0), size)), lambda a, b: a + b)
+        scores = stored(found.select("run", p.alias("p")), "run-scores")
+        below = scores.withColumnRenamed("run", "lower")
+    logs = scores.select("run", F.transform("p", lambda x: F.log(x)).alias("logs"))
+    by_word = stored(runs.join(logs, "run").groupBy("w1", "w2").agg(_sums("logs", F.col("n"), size).alias("logs"), F.sum("n").alias("symbols")), "word-scores")
+    by_text = pairs.select("row", "times", *ids).join(by_word, ["w1", "w2"]).groupBy("row").agg(
+        _sums("logs", F.col("times"), size).alias("logs"), F.sum(F.col("symbols") * F.col("times")).alias("n"))
+    told = texts.drop("words").join(by_text, "row", "left")
+    entropy = F.transform("logs", lambda x: -x / F.col("n"))
+    told = told.withColumn("entropies", entropy).withColumn("least", F.array_min("entropies"))
+    blank = F.col("wordless") | F.col("n").isNull()
+    names = F.array(*[F.lit(x) for x in model["languages"]])
+    share = 1 / F.aggregate("entropies", F.lit(0.0), lambda a, e: a + F.exp(F.col("least") - e))
+    return told.select("doc_id", "text_key", "lang",
+                       F.when(blank, UNDETERMINED).otherwise(names[F.array_position("entropies", F.col("least")).cast("int") - 1]).alias("lang_pred"),
+                       F.when(blank, 0.0).otherwise(share).alias("score"), F.when(blank, 0.0).otherwise(F.col("least")).alias("entropy"),
+                       F.when(blank, 0).otherwise(F.col("n")).cast("long").alias("symbols"), "wordless")
+
+
 def _median(column: Column) -> Column:
     return F.percentile_approx(column, 0.5, 10_000)
 

@@ -70,16 +70,22 @@ def test_predictions_use_the_text_alone(spark):
     assert once == {r.doc_id: (r.lang_pred, r.score) for r in lm.identify(documents(spark, moved)).collect()}
 
 
-def test_a_model_in_blocks_scores_like_a_whole_one(spark):
+def test_a_model_in_tables_scores_like_a_whole_one(spark):
     rnd = random.Random(14)
     few = [(5000 + i, "".join(rnd.choice("xyzq") for _ in range(6)), "dd") for i in range(3)]  # a language with few rows
-    rows = corpus(150) + few + [(6000, "unseen ñandú xq", None), (6001, few[0][1], None)]
+    rows = corpus(150) + few + [(6000, "unseen ñandú xq", None), (6001, few[0][1], None), (6002, None, None), (6003, "12 + 1", None), (6004, "", None),
+                                (6005, "kalo " * 9000 + "x" * 30_000, None), (6006, "kalo", None), (6006, "kalo", None), (None, "Ünï é", None)]
     table = documents(spark, rows)
     whole, divided = lm.fit(table), lm.fit(table, max_runs=120)
-    one = {r.doc_id: r for r in lm.scored(table, whole).collect()}
-    got = {r.doc_id: r for r in lm.scored(table.repartition(3), divided).collect()}
-    assert got == one and got[6001].lang_pred == "dd"
-    assert len(divided["blocks"]) > 4 and divided["floor"] == whole["floor"] and not whole.get("blocks")
+    assert "tables" in divided and "tables" not in whole and divided["floor"] == whole["floor"]
+
+    def told(model):
+        return sorted(((r.doc_id or -1, r.text_key, r.lang, r.lang_pred, r.symbols, r.wordless, r.score, r.entropy)
+                       for r in lm.scored(table.repartition(3), model).collect()), key=str)
+    one, got = told(whole), told(divided)
+    assert [r[:6] for r in one] == [r[:6] for r in got] and len(got) == len(rows)
+    assert np.allclose([r[6:] for r in one], [r[6:] for r in got], atol=1e-5)
+    assert {r[0]: r[3] for r in got}[6001] == "dd"
 
 
 def test_one_long_odd_text_does_not_widen_the_limit(spark):
