@@ -36,6 +36,7 @@ def concurrent_care(spark: SparkSession, sf_dir: str, gap_seconds: int = EPISODE
 
     An episode is open from its start until its end, end exclusive. Districts
     without an episode, and persons who are not in the register, have no row.
+    Episodes meet the register by person; the calendar bounds how many one person has.
     """
     t = Tables(spark, sf_dir)
     persons = t.customer.select("c_custkey", "c_nationkey")
