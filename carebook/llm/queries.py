@@ -106,6 +106,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_bit_sliced": bit_sliced.ORACLE,
     "op5_chat": chat.ORACLE,
     "op7_line_templates": line_templates.ORACLE,
+    "op8_secrets": secrets.ORACLE,
     "op11_prefix_trie": prefix_trie.ORACLE,
     "op12_filter_audit": filter_audit.ORACLE,
 }

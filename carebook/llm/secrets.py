@@ -8,6 +8,7 @@ automata: leftmost, longest, not overlapping within a kind.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -47,8 +48,8 @@ BASE_RULES = (
     Rule("access", r"AKIA", r"[A-Z0-9]", 18, whole=True),
     Rule("hex", r"", r"[0-9a-f]", 16, whole=True),
 )
-# Beyond the base set: headers of private keys.
-MORE_RULES = (Rule("pem", r"-----BEGIN\x20", r"[A-Z\x20]", 22),)
+# Beyond the base set: headers of private keys, whatever the key's type.
+MORE_RULES = (Rule("pem", r"-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY(\x20BLOCK)?", r"-", 5),)
 RULES = BASE_RULES + MORE_RULES
 
 
@@ -166,3 +167,43 @@ def secret_digests(found: DataFrame) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in BASE_RULES]))
     return found.select("doc_id", *[count(r.kind) for r in BASE_RULES],
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def _branch(number: int, rule: Rule) -> str:
+    """SQL for the matches of one rule, in the order of the text: its pattern's matches, those with too short a body dropped."""
+    head = re.sub(r"\(\?i:([^)]*)\)", lambda m: "(?:" + re.sub("[a-z]", lambda c: f"[{c[0].upper()}{c[0]}]", m[1]) + ")", rule.head)
+    head = re.sub(r"\((?!\?)", "(?:", head).replace("'", "''")
+    plain = re.sub(r"\\x(..)", lambda m: chr(int(m[1], 16)), head)
+    pattern, body = f"{head}({rule.body}+)", rule.least - (len(plain) if rule.whole else 0)
+    return f"""
+  SELECT r, {number} AS k, '{rule.kind}' AS kind, {body} AS least,
+         unnest(list_concat(regexp_extract_all(t, '{pattern}'), [''])) AS hit,
+         unnest(list_concat(regexp_extract_all(t, '{pattern}', 1), [''])) AS body,
+         unnest(regexp_split_to_array(t, '{pattern}')) AS gap,
+         generate_subscripts(regexp_split_to_array(t, '{pattern}'), 1) AS i
+  FROM d WHERE regexp_matches(t, '{pattern}')"""
+
+
+_COUNTS = ", ".join(f"count(*) FILTER (WHERE k = {k}) AS n_{r.kind}" for k, r in enumerate(BASE_RULES))
+_ZEROS = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)
+# A match begins after all earlier matches and the gaps before them, its own included.
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL".join(_branch(k, rule) for k, rule in enumerate(RULES))}
+),
+placed AS (
+  SELECT r, k, kind, body, least, length(hit) AS size,
+         sum(length(gap) + length(hit)) OVER (PARTITION BY r, k ORDER BY i ROWS UNBOUNDED PRECEDING) AS stop
+  FROM m
+),
+s AS (SELECT r, k, (stop - size)::BIGINT AS start, kind || ':' || (stop - size)::BIGINT || ':' || stop::BIGINT AS span
+      FROM placed WHERE size > 0 AND length(body) >= least),
+found AS (
+  SELECT r, {_COUNTS},
+         string_agg(span, ',' ORDER BY start, k) FILTER (WHERE k < {len(BASE_RULES)}) AS base,
+         string_agg(span, ',' ORDER BY start, k) AS spans
+  FROM s GROUP BY r
+)
+SELECT d.doc_id::BIGINT AS doc_id, {_ZEROS}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN found USING (r)
+"""

@@ -14,10 +14,10 @@ BASE = [
     ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), lambda m: len(m[2]) >= 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
     ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16),
-    ("pem", re.compile(r"-----BEGIN\x20([A-Z\x20]+)"), lambda m: len(m[1]) >= 22),
+    ("pem", re.compile(r"-----BEGIN\x20(?:[A-Z]+\x20)*PRIVATE\x20KEY(?:\x20BLOCK)?(-+)"), lambda m: len(m[1]) >= 5),
 ]
 PARTS = ["password", "Passwd", "SECRET", "token", "apikey", "api_key", '"', "'", " ", "  ", "=", ":", "abcdef0123456789", "AKIA", "ABCDEFGH12345678",
-         "é", "\n", "x", "-----BEGIN ", "RSA PRIVATE KEY AND MORE", "-----", "deadbeef", ".", "/", "ß", "0", "\x00"]
+         "é", "\n", "x", "-----BEGIN ", "RSA ", "PRIVATE KEY", " BLOCK", "-----", "deadbeef", ".", "/", "ß", "0", "\x00"]
 
 
 def spans(text):
@@ -44,6 +44,33 @@ def test_a_text_without_reset_bytes():
     assert SCANNER.scan([text.encode(), b"secret=0123456789ab"]) == [spans(text), spans("secret=0123456789ab")]
 
 
+def test_headers_of_private_keys():
+    for kind in ("", "RSA ", "EC ", "OPENSSH ", "ENCRYPTED "):
+        header = f"-----BEGIN {kind}PRIVATE KEY-----"
+        assert SCANNER.scan([f"é {header}\nMIIE\n".encode()]) == [[(2, 3, 2 + len(header))]]
+    assert SCANNER.scan([b"-----BEGIN PGP PRIVATE KEY BLOCK-----"]) == [[(0, 3, 37)]]
+    assert SCANNER.scan([b"-----BEGIN PUBLIC KEY-----", b"-----BEGIN CERTIFICATE-----", b"-----BEGIN PRIVATE KEY--", b"BEGIN PRIVATE KEY-----"]) == [[]] * 4
+
+
+def test_sql_on_odd_texts(spark):
+    import duckdb
+    import pyarrow as pa
+
+    rows = odd_rows(random.Random(6)) + [(300 + i, t) for i, t in enumerate(texts(98, 300))]
+    rows += [(700, "-----BEGIN PRIVATE KEY-----"), (701, "\u017fecret=abcdefghijkl to\u212aen=abcdefghijkl"), (701, "ß token: abcdefghijkl")]
+    got = secrets.secret_digests(secrets.find_secrets(documents(spark, rows)))
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows], pa.string())}))
+    want = con.execute(secrets.ORACLE)
+    names = [c[0] for c in want.description]
+    assert got.columns == names
+
+    def ordered(found):
+        return sorted((tuple(r) for r in found), key=repr)
+
+    assert ordered(got.collect()) == ordered(want.fetchall())
+
+
 def test_minimal_automaton():
     a = Automaton([r"(?:ab|cb)+"], anywhere=False)
     assert len(a.next) == 4  # start, after a or c, after b, dead
