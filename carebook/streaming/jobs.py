@@ -24,6 +24,7 @@ from carebook.streaming.source import EVENT_TIME, read_entries_table_stream
 
 LATENESS = "1 hour"
 EPISODE_GAP = "2 hours"
+DEDUP_LANES = 32
 MATCHED = "matched"
 
 
@@ -39,12 +40,26 @@ def daily_tally(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
             .select(instant_day("w.start").alias("day"), "event_type", "entries"))
 
 
-def dedup_entries(entries: DataFrame, lateness: str = LATENESS) -> DataFrame:
+def dedup_entries(entries: DataFrame, lateness: str = LATENESS, lanes: int = DEDUP_LANES) -> DataFrame:
     """Drop redelivered ``event_id``s seen within the watermark; state for an
     id expires once the watermark passes its first delivery + ``lateness``.
-    Entries without an id cannot be told from copies and all pass."""
+    Entries without an id cannot be told from copies and all pass.
+
+    ``dropDuplicatesWithinWatermark`` sends an id's copies to one task. So copies are
+    dropped twice: within their lane (the number of the task that read them, modulo
+    ``lanes``) and then over all lanes, where an id comes at most ``lanes`` times in
+    ``lateness``, however often it is redelivered. A source's micro-batch is cut into the same tasks when it is
+    run again, so a lost task finds the same lanes; after a shuffle of the entries that
+    would not hold: give ``lanes=1`` then, which is one step. State is one row per id in each step.
+    A copy that comes after its id's state has expired passes, unless its lane still
+    holds a later copy.
+    """
     timed = entries.withWatermark(EVENT_TIME, lateness)
-    return (timed.where(F.col("event_id").isNotNull()).dropDuplicatesWithinWatermark(["event_id"])
+    known = timed.where(F.col("event_id").isNotNull())
+    if lanes > 1:
+        known = (known.withColumn("_lane", F.spark_partition_id() % lanes)
+                 .dropDuplicatesWithinWatermark(["event_id", "_lane"]).drop("_lane"))
+    return (known.dropDuplicatesWithinWatermark(["event_id"])
             .unionByName(timed.where(F.col("event_id").isNull())).drop(EVENT_TIME))
 
 
@@ -88,14 +103,16 @@ def closed_episodes(entries: DataFrame, lateness: str = LATENESS, gap: str = EPI
                     instant_to_ntz("s.end").alias("episode_end"), "entries"))
 
 
-def daily_tally_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream: entries per closed day and kind (1 h watermark), drained once."""
-    return drain_and_read(spark, daily_tally(read_entries_table_stream(spark, sf_dir)), "daily-tally")
+def daily_tally_stream(spark: SparkSession, sf_dir: str, out_dir: str | None = None, checkpoint_dir: str | None = None,
+                       **limits) -> DataFrame:
+    """Stream: entries per closed day and kind (1 h watermark), drained once (folders and limits: ``drain_and_read``)."""
+    return drain_and_read(spark, daily_tally(read_entries_table_stream(spark, sf_dir, **limits)), "daily-tally", out_dir, checkpoint_dir)
 
 
-def dedup_entries_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream: entries without redelivered ids (1 h watermark), drained once."""
-    return drain_and_read(spark, dedup_entries(read_entries_table_stream(spark, sf_dir)), "dedup-entries")
+def dedup_entries_stream(spark: SparkSession, sf_dir: str, out_dir: str | None = None, checkpoint_dir: str | None = None,
+                         **limits) -> DataFrame:
+    """Stream: entries without redelivered ids (1 h watermark), drained once (folders and limits: ``drain_and_read``)."""
+    return drain_and_read(spark, dedup_entries(read_entries_table_stream(spark, sf_dir, **limits)), "dedup-entries", out_dir, checkpoint_dir)
 
 
 def start_enrich(spark: SparkSession, base_dir: str, entries: DataFrame, out_dir: str, checkpoint_dir: str,
@@ -131,9 +148,14 @@ def enrich_stream(spark: SparkSession, sf_dir: str, out_dir: str | None = None)
     return read_batches(spark, out_dir, _enriched_schema(spark, sf_dir), MATCHED, True)
 
 
-def episodes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream: closed episodes of care (2 h gap, 1 h watermark), drained once."""
-    return drain_and_read(spark, closed_episodes(read_entries_table_stream(spark, sf_dir)), "episodes")
+def episodes_stream(spark: SparkSession, sf_dir: str, out_dir: str | None = None, checkpoint_dir: str | None = None,
+                    **limits) -> DataFrame:
+    """Stream: closed episodes of care (2 h gap, 1 h watermark), drained once (folders and limits: ``drain_and_read``).
+
+    Only open sessions are state: with a limit, and files that arrive in time order,
+    those of the last micro-batches instead of the whole table's.
+    """
+    return drain_and_read(spark, closed_episodes(read_entries_table_stream(spark, sf_dir, **limits)), "episodes", out_dir, checkpoint_dir)
 
 
 # Transformations for long-running queries (python -m carebook stream ...):

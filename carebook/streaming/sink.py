@@ -48,11 +48,19 @@ def finish(q: StreamingQuery) -> None:
         raise RuntimeError(f"stream {q.name} failed: {err}")
 
 
-def drain_and_read(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
-    """Drain ``stream`` into fresh folders under the shared checkpoint root and
-    return the committed output as a batch DataFrame."""
-    out_dir = fresh_dir(spark, f"{purpose}-out")
-    drain_to_parquet(stream, out_dir, fresh_dir(spark, f"{purpose}-checkpoint"))
+def drain_and_read(spark: SparkSession, stream: DataFrame, purpose: str, out_dir: str | None = None,
+                   checkpoint_dir: str | None = None) -> DataFrame:
+    """Drain ``stream`` and return the committed output as a batch DataFrame.
+
+    Without folders it goes into fresh ones under the shared checkpoint root. A caller
+    who gives both can drain again later: only what has arrived since is read,
+    and the output holds the rows of all drains. The two belong together, so
+    one without the other is an error.
+    """
+    if (out_dir is None) != (checkpoint_dir is None):
+        raise ValueError("give out_dir and checkpoint_dir, or neither")
+    out_dir = out_dir or fresh_dir(spark, f"{purpose}-out")
+    drain_to_parquet(stream, out_dir, checkpoint_dir or fresh_dir(spark, f"{purpose}-checkpoint"))
     return spark.read.schema(stream.schema).parquet(out_dir)
 
 

@@ -2,7 +2,7 @@
 stage that read shuffle data, its job, records read and the largest share of
 them read by one task.
 
-    python -m tests.skew_probe FIXTURE_DIR LOG_DIR JOB [JOB ...]
+    python -m tests.skew_probe FIXTURE_DIR LOG_DIR JOB [JOB ...] [--conf KEY=VALUE ...]
 
 ``plain_person_window`` is a control: a running sum over
 ``Window.partitionBy(person)``, which sends each person's rows to one task.
@@ -27,7 +27,9 @@ def main(argv: list[str]) -> None:
     from carebook.sources.tables import Tables
     from tools.stages import read_events, stage_summary
 
-    fixture, log_dir, jobs = argv[0], argv[1], argv[2:]
+    more = argv.index("--conf") if "--conf" in argv else len(argv)
+    fixture, log_dir, jobs = argv[0], argv[1], argv[2:more]
+    conf = dict(pair.split("=", 1) for pair in argv[more + 1:])
     spark = build_session(master="local[4]", shuffle_partitions=8, app_name="carebook-skew-probe", extra_conf={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
         "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
@@ -37,6 +39,7 @@ def main(argv: list[str]) -> None:
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         # persons with more than 1,000 visits go through day buckets
         "spark.carebook.plainWindowMaxRows": "1000",
+        **conf,
     })
     for job in jobs:
         spark.sparkContext.setJobDescription(job)

@@ -136,6 +136,73 @@ def test_restarted_stream_resumes_from_its_checkpoint(spark):
     assert ids == [1, 2, 3]
 
 
+def test_copies_of_one_id_are_dropped_in_lanes_first(spark, tmp_path):
+    """One id redelivered 4,000 times over eight files: each of the tasks that
+    drop copies reads at most a lane of them, and the last step a row per lane."""
+    import json
+    import subprocess
+    import sys
+
+    d = str(tmp_path / "diary")
+    for part in range(8):
+        rows = [_e(1, "2024-01-01 10:00:00")] * 500 + [_e(100 * part + i + 2, "2024-01-01 10:05:00") for i in range(10)]
+        write_events(f"{d}/events.parquet", rows, name=f"part-{part}.parquet")
+    assert sorted(r.event_id for r in jobs.dedup_entries_stream(spark, d).collect()) == sorted([1, *(100 * p + i + 2 for p in range(8) for i in range(10))])
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    log = tmp_path / "log"
+    log.mkdir()
+    # files are not packed together, so that there are eight reading tasks
+    out = subprocess.run([sys.executable, "-m", "tests.skew_probe", d, str(log), "dedup_entries_stream", "--conf", "spark.sql.files.openCostInBytes=128m"],
+                         cwd=root, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    stages = [(records, top) for _, records, top in json.loads(out.stdout.strip().splitlines()[-1])]
+    lanes = [top for records, top in stages if records >= 4000]
+    assert lanes and max(lanes) <= 0.55, stages                 # two or three of eight lanes may share a task
+    assert any(records == 88 for records, _ in stages), stages  # 8 lanes' copies of id 1, and 80 others
+
+
+def test_dedup_over_lanes_and_batches(spark):
+    """Copies in other files and batches, in the same lane and in others, are dropped; so they are with one lane."""
+    folder = _batches([
+        [_e(1, "2024-01-01 10:00:00"), _e(1, "2024-01-01 10:00:00"), _e(None, "2024-01-01 10:01:00")],
+        [_e(2, "2024-01-01 10:20:00"), _e(1, "2024-01-01 10:00:00"), _e(None, "2024-01-01 10:01:00")],
+        [_e(2, "2024-01-01 10:20:00"), _e(3, "2024-01-01 10:40:00")],
+        [_e(3, "2024-01-01 10:40:00"), _e(1, "2024-01-01 10:00:00")],
+    ])
+    for lanes in (1, 2, 32):
+        for files in (1, 4):
+            stream = read_entries_stream(spark, folder, glob="*.parquet", max_files_per_trigger=files)
+            out = drain_and_read(spark, jobs.dedup_entries(stream, lanes=lanes), "t-dedup-lanes")
+            assert sorted((r.event_id or 0) for r in out.collect()) == [0, 0, 1, 2, 3]
+
+
+def test_drains_into_the_callers_folders_go_on_where_they_ended(spark):
+    import pytest
+
+    from carebook.session import fresh_dir
+
+    d = tempfile.mkdtemp(prefix="carebook-drains-")
+    days = [[_e(10 * day + i, f"2024-01-0{day} {8 + 4 * i:02d}:00:00") for i in range(3)] for day in (1, 2, 3, 4)]
+
+    def arrive(day):
+        path = write_events(f"{d}/events.parquet", days[day - 1], name=f"part-{day}.parquet")
+        os.utime(path, (1_700_000_000 + 100 * day, 1_700_000_000 + 100 * day))
+
+    streams = {jobs.daily_tally_stream: [1, 3], jobs.dedup_entries_stream: [6, 12], jobs.episodes_stream: [5, 11]}
+    folders = {job: (fresh_dir(spark, "t-drain-out"), fresh_dir(spark, "t-drain-chk")) for job in streams}
+    for turn, arriving in enumerate(((1, 2), (3, 4))):
+        for day in arriving:
+            arrive(day)
+        for job, rows in streams.items():
+            found = job(spark, d, *folders[job], max_files_per_trigger=1)
+            assert found.count() == rows[turn], (job.__name__, turn)
+    for job, rows in streams.items():  # nothing new: nothing is written again
+        assert job(spark, d, *folders[job]).count() == rows[1]
+    with pytest.raises(ValueError):
+        jobs.episodes_stream(spark, d, out_dir=folders[jobs.episodes_stream][0])
+
+
 def test_combined_dedup_collapses_massive_redelivery(spark):
     # id 1 is delivered 300 times across three files; ids 2 and 3 once.
     hot = [_e(1, "2024-01-01 10:00:00")] * 100
