@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from carebook.llm import (bit_sliced, chat, decontaminate, filter_audit, hamming_search, language, licenses, line_templates, packing, prefix_trie, secrets,
-                          simhash, token_files)
+                          simhash, simhash_sql, token_files)
 from carebook.llm.common import table
 from carebook.session import fresh_dir
 
@@ -103,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_simhash": simhash_sql.oracle(shingle=3, max_distance=2),
     "op4_bit_sliced": bit_sliced.ORACLE,
     "op5_chat": chat.ORACLE,
     "op7_line_templates": line_templates.ORACLE,

@@ -8,7 +8,7 @@ import re
 import numpy as np
 from xxhash import xxh64_intdigest
 
-from carebook.llm import simhash
+from carebook.llm import simhash, simhash_sql
 from carebook.llm.components import connected_components
 from tests.llm.data import CLASHING, documents, empty, odd_rows, prose
 
@@ -121,3 +121,36 @@ def test_long_text_in_windows(spark, monkeypatch):
 def test_empty(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
     assert simhash.one_per_component(empty(spark)).count() == 0
+
+
+def test_sql_hash_equals_the_library():
+    import duckdb
+    import pyarrow as pa
+
+    rnd = random.Random(4)
+    texts = sorted({"".join(rnd.choice("abcé z日") for _ in range(n)) for n in list(range(150)) * 3})
+    con = duckdb.connect()
+    con.register("texts", pa.table({"s": texts}))
+    for seed in (0, 42):
+        got = dict(con.execute(f"WITH {simhash_sql.xxh64('texts', seed)} SELECT s, h FROM hashed").fetchall())
+        assert got == {t: xxh64_intdigest(t.encode(), seed) for t in texts}
+
+
+def test_sql_on_odd_rows(spark):
+    import duckdb
+    import pyarrow as pa
+
+    rnd = random.Random(11)
+    rows = odd_rows(rnd)
+    for i in range(30):
+        text = prose(rnd, 120)
+        rows += [(100 + 3 * i, text), (101 + 3 * i, text.replace(" the ", " a ", 1)), (102 + 3 * i, text + " end")]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows], pa.string())}))
+
+    def ordered(found):
+        return sorted((tuple(r) for r in found), key=repr)
+
+    got = simhash.near_duplicates(documents(spark, rows)).select("doc_id", "fingerprint", "component_id").collect()
+    assert ordered(got) == ordered(con.execute(simhash_sql.oracle()).fetchall())
+    assert len({r.component_id for r in got}) < len({r.fingerprint for r in got})  # some different fingerprints are linked
